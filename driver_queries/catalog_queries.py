@@ -10,6 +10,7 @@ from driver_queries.data_queries import (
 from driver_queries.views import LABELED_COLUMNS, LOANS, labeled, sql_list
 from loanweft.operators import governance
 from loanweft.operators.profile import column_profile
+from loanweft.session import materialize
 
 QUERIES: dict = {}
 
@@ -78,7 +79,7 @@ FINAL = REVIEW + f""", decisions(column_name, primary_purpose, uses) AS (VALUES
 
 
 def _profile(spark, folder) -> DataFrame:
-    return column_profile(labeled(spark, folder))
+    return materialize(column_profile(labeled(spark, folder)), "profile")
 
 
 def _review(spark, folder) -> DataFrame:
@@ -94,7 +95,7 @@ def _final(spark, folder) -> DataFrame:
 
 
 def _catalog(spark, folder) -> DataFrame:
-    return governance.with_position(_final(spark, folder))
+    return materialize(governance.with_position(_final(spark, folder)), "catalog")
 
 
 @register("g1_column_roles", ROLES + "SELECT column_name, column_role FROM roles")
@@ -244,7 +245,7 @@ SELECT 'feature_without_profile' AS rule, 'not_profiled' AS offender
 UNION ALL SELECT 'unexpected_feature_type', 'mystery' FROM feature_profile WHERE column_name = 'purpose'""")
 def g15_feature_group_violations(spark, folder):
     approved = spark.createDataFrame([("purpose",), ("dti",), ("not_profiled",)], "column_name string")
-    broken = feature_profile(spark, folder).withColumn("inferred_feature_type", F.when(
+    broken = materialize(feature_profile(spark, folder), "types").withColumn("inferred_feature_type", F.when(
         F.col("column_name") == "purpose", "mystery").otherwise(F.col("inferred_feature_type")))
     return governance.feature_group_violations(broken, approved)
 

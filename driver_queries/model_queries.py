@@ -46,14 +46,19 @@ PREPARED = SLOTS + ", prepared AS (SELECT id, modeling_split, bad_loan, " + " +
     for i, c in enumerate(CATEGORICAL)) + " AS known FROM splits)"
 
 
+def _splits(spark, folder):
+    """The split loans as the written table that the fitting steps read several times."""
+    return writers.write_splits(split_loans(spark, folder), scratch(spark), temporary=())
+
+
 def _train(spark, folder):
-    return split_loans(spark, folder).where(F.col("modeling_split") == "train")
+    return _splits(spark, folder).where(F.col("modeling_split") == "train")
 
 
 def _prepared(spark, folder, columns=COLUMNS):
-    rows = split_loans(spark, folder)
+    rows = _splits(spark, folder)
     fitted = features.fit_features(rows.where(F.col("modeling_split") == "train"), columns)
-    return rows, fitted, fitted.transform(rows, KEEP)
+    return rows, fitted, writers.write_table(fitted.transform(rows, KEEP), scratch(spark), ["modeling_split"])
 
 
 @register("m1_numeric_statistics", STATISTICS + """
@@ -111,7 +116,7 @@ FROM prepared GROUP BY 1""")
 def m5_prepared_splits(spark, folder):
     """Everything written: vectors by split, names, fitted stages, summary."""
     from loanweft.plans.training import prepare_features
-    _, prepared = prepare_features(split_loans(spark, folder), COLUMNS, scratch(spark))
+    _, prepared = prepare_features(_splits(spark, folder), COLUMNS, scratch(spark))
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b)
     return prepared.groupBy("modeling_split").agg(
         F.count(F.lit(1)).alias("row_count"), F.round(F.sum(total), 3).alias("total"),
@@ -157,7 +162,7 @@ def s8_checked_features(spark, folder):
 def s14_saved_preparation(spark, folder):
     """Rows prepared by the saved and loaded stages."""
     path = scratch(spark)
-    rows = split_loans(spark, folder)
+    rows = _splits(spark, folder)
     fitted = features.fit_features(rows.where(F.col("modeling_split") == "train"), COLUMNS)
     writers.save_model(fitted.pipeline, path)
     loaded = writers.load_model(spark, path, "pipeline")
@@ -406,8 +411,7 @@ def m16_training_to_decisions(spark, folder):
     from loanweft.plans.calibration import compare_calibrations, finalize_calibration
     from loanweft.plans.decisions import evaluate_policy
     path = scratch(spark)
-    _, _, prepared = _prepared(spark, folder)
-    written = writers.write_table(prepared, f"{path}/features", ["modeling_split"])
+    _, _, written = _prepared(spark, folder)
     model = models.fit_logistic(written.where(F.col("modeling_split") == "train"))
     compare_calibrations(model, written, f"{path}/comparison")
     final = finalize_calibration(model, written, f"{path}/final")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loanweft.functions.checks import enforce_scores
 from loanweft.functions.numeric import ratio, row_log_loss
 from loanweft.operators.position import Order, exact_quantile_buckets, running_totals
+from loanweft.session import materialize
 
 # Default probability thresholds.
 THRESHOLDS = (0.10, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
@@ -221,12 +222,16 @@ def unpivot_candidates(df: DataFrame, candidates: Mapping[str, str], reference:
 
 def compare_candidates(df: DataFrame, candidates: Mapping[str, str], reference: str = "uncalibrated",
                        key: str = "id", label: str = "bad_loan", **tuning: int) -> dict[str, DataFrame]:
-    """E13. Four reports for several probability columns of the same rows, in method order."""
+    """E13. Four reports for several probability columns of the same rows, in method order.
+
+    Pass a written table: it is read several times.
+    """
     long = unpivot_candidates(df, candidates, reference, key, label)
     by = ["method_order", "method"]
     enforce_scores(long, "p", label, by)
-    metrics = probability_metrics(long, "p", label, by)
-    bins = calibration_bins(long, "p", label, by)
+    # a few rows each, read by two reports
+    metrics = materialize(probability_metrics(long, "p", label, by), "metrics")
+    bins = materialize(calibration_bins(long, "p", label, by), "bins")
     correlation = rank_correlation(long, "reference_p", "p", by)
     named = F.col("method").alias("calibration_method")
     return {

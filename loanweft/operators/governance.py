@@ -1,7 +1,8 @@
 """Which columns a model may use: tables about columns, one row per column.
 
 These tables have as many rows as the data has columns, so they may be joined,
-numbered and listed freely; only the profile they start from reads the data.
+numbered and listed freely. Only the profile they start from reads the data:
+write it once (``materialize``) before it is checked from several sides.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from loanweft.functions.checks import (
 from loanweft.functions.text import (
     has_repeated_items, normalize_list, parse_list, starts_with_any, strip, unknown_items)
 from loanweft.operators.features import FeatureColumns
+from loanweft.session import materialize
 
 # The vocabulary of the catalog.
 PURPOSES = (
@@ -224,6 +226,7 @@ def build_catalog(inventory: DataFrame, decisions: DataFrame, expected_count: in
                   fail_on_extra: bool = False) -> DataFrame:
     """G7. Final catalog, checked."""
     require_columns(inventory, ["column_name", "column_role"], "review inventory")
+    inventory = materialize(inventory, "review-inventory")
     coverage = review_coverage(inventory, decisions)
     enforce(coverage if fail_on_extra else coverage.where(F.col("rule") == "missing_decision"), "review decisions")
     raw = decisions.select(F.col("additional_use_cases").alias("u"))
@@ -231,7 +234,7 @@ def build_catalog(inventory: DataFrame, decisions: DataFrame, expected_count: in
     enforce(union_violations([
         violations(raw, "unknown_use_case", F.array_join(unknown, ","), F.size(unknown) > 0),
         violations(raw, "repeated_use_case", F.col("u"), has_repeated_items(F.col("u")))]), "review decisions")
-    final = final_usage(inventory, decisions)
+    final = materialize(final_usage(inventory, decisions), "column-catalog")
     enforce(final_usage_violations(final, inventory, expected_count), "final inventory")
     return final
 

@@ -42,7 +42,7 @@ def compare_scored(scored: DataFrame, date: str = "issue_month", key: str = "id"
     earlier = parted.where(F.col("calibration_part") == "calibration_fit")
     later = parted.where(F.col("calibration_part") == "calibration_comparison")
     fitted = fit_calibrators(earlier)
-    candidates = fitted.apply(later)
+    candidates = materialize(fitted.apply(later).select(key, "bad_loan", *CANDIDATES.values()), "candidates")
     return Comparison(fitted, compare_candidates(candidates, CANDIDATES, key=key, **tuning))
 
 
@@ -68,7 +68,8 @@ def finalize_calibration(model: LogisticRegressionModel, prepared: DataFrame,
     """M16. Isotonic fit on all validation rows, frozen, judged on the test rows."""
     split = F.col("modeling_split")
     isotonic = fit_isotonic(_scores(model, prepared.where(split == "validation"), "validation-scores"))
-    test = apply_isotonic(isotonic, _scores(model, prepared.where(split == "test"), "test-scores"))
+    test = materialize(apply_isotonic(isotonic, _scores(model, prepared.where(split == "test"), "test-scores")),
+                       "calibrated-test-scores")
     reports = compare_candidates(test, {"uncalibrated": "p", "isotonic": "p_isotonic"})
     if folder:
         save_model(isotonic, f"{folder}/isotonic")

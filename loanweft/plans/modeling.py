@@ -11,6 +11,7 @@ from loanweft.operators.governance import (
 from loanweft.operators.profile import feature_type_profile, missingness_profile
 from loanweft.operators.quality import enforce_labeled_table
 from loanweft.operators.splits import add_parsed_month, enforce_parsed_months, fit_time_split, split_summary
+from loanweft.session import materialize
 from loanweft.sources.readers import read_columns, read_projection
 from loanweft.sources.writers import write_report, write_splits, write_table
 
@@ -18,6 +19,7 @@ from loanweft.sources.writers import write_report, write_splits, write_table
 def build_modeling_base(spark: SparkSession, labeled_path: str, catalog: DataFrame, path: str,
                         report_path: str | None = None) -> DataFrame:
     """G14. Checked projection of the labeled table; every check on names comes before the scan."""
+    catalog = materialize(catalog, "catalog")
     enforce_catalog(catalog)
     enforce(selection_violations(catalog, read_columns(spark, labeled_path)), "column selection")
     order = selected_columns(catalog).orderBy("modeling_base_column_order").collect()
@@ -32,6 +34,7 @@ def build_modeling_base(spark: SparkSession, labeled_path: str, catalog: DataFra
 
 def feature_type_reports(spark: SparkSession, base_path: str, catalog: DataFrame, folder: str) -> DataFrame:
     """A19. Feature-type and missingness profile of the approved columns."""
+    catalog = materialize(catalog, "catalog")
     enforce_catalog(catalog)
     features = names(modeling_columns(catalog))
     key = names(identifier_columns(catalog))[0]
@@ -45,6 +48,7 @@ def feature_type_reports(spark: SparkSession, base_path: str, catalog: DataFrame
 def build_splits(spark: SparkSession, base_path: str, catalog: DataFrame, path: str, report_path: str | None = None,
                  whole_months: bool = False, **fractions: float) -> DataFrame:
     """W1, S10, A21. Time splits of the modeling base as one table with a folder per split."""
+    catalog = materialize(catalog, "catalog")
     date, target = names(time_split_columns(catalog))[0], names(target_columns(catalog))[0]
     key = names(identifier_columns(catalog))[0]
     base = spark.read.parquet(base_path)
