@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +13,7 @@ from loanweft.functions.dates import month_text, parse_month
 from loanweft.functions.text import parse_list, strip
 from loanweft.operators import labels, profile, quality, sets, splits
 from loanweft.operators.governance import USE_CASES
-from loanweft.session import shared_folder
+from loanweft.session import shared_path
 from loanweft.sources import readers, writers
 from loanweft.streaming import label_new_files
 
@@ -30,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/loanweft/query-{uuid.uuid4().hex}"
+    return shared_path(spark, "query")
 
 
 # --- sources and sinks -------------------------------------------------------

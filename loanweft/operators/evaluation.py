@@ -21,7 +21,7 @@ THRESHOLDS = (0.10, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
 
 
 def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = ()) -> DataFrame:
-    """Rows, bad and good rows per distinct score, with the totals of all lower scores.
+    """Rows and bad rows per distinct score, with the totals of all higher scores.
 
     Equal scores are combined map-side, so a score shared by many rows is one
     row here.
@@ -29,34 +29,24 @@ def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by
     largest = df.groupBy(*by).agg(F.approx_count_distinct(score).alias("n")).agg(F.max("n")).first()[0] or 0
     grouped = df.groupBy(*by, F.col(score).alias("p")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("long")).alias("bad"))
-    return running_totals(grouped, "p", ("rows", "bad"), by, approx_rows=largest)
+    return running_totals(grouped, "p", ("rows", "bad"), by, ascending=False, approx_rows=largest)
 
 
 def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan",
                         by: Sequence[str] = ()) -> DataFrame:
     """E1 with E2 to E5 and E11: ranking and probability quality per group.
 
-    ROC AUC counts ties half. Average precision is the step sum over distinct
+    ROC AUC counts, for every good row, the bad rows with a higher score and
+    half of those with the same. Average precision is the step sum over distinct
     scores. Both are NULL unless the group holds both classes.
     """
-    scores = distinct_scores(df, score, label, by)
     p, rows, bad = F.col("p"), F.col("rows"), F.col("bad")
     good = rows - bad
-    good_below = F.col("rows_before") - F.col("bad_before")
-    pairs_won = bad.cast("double") * (good_below.cast("double") + good.cast("double") / 2.0)
-    totals = scores.groupBy(*by).agg(F.sum("rows").alias("all_rows"), F.sum("bad").alias("all_bad"))
     one = F.lit(1.0)
-    # precision at a score needs the group's totals, a table of one row per group
-    if by:
-        joined = scores.join(F.broadcast(totals), list(by))
-        all_rows, all_bad = F.col("all_rows"), F.col("all_bad")
-    else:
-        joined = scores
-        all_rows = scores.agg(F.sum("rows")).scalar()
-        all_bad = scores.agg(F.sum("bad")).scalar()
-    reached_bad = (all_bad - F.col("bad_before")).cast("double")
-    reached = (all_rows - F.col("rows_before")).cast("double")
-    return joined.groupBy(*by).agg(
+    pairs_won = good.cast("double") * (F.col("bad_before").cast("double") + bad.cast("double") / 2.0)
+    reached_bad = (F.col("bad_before") + bad).cast("double")
+    reached = (F.col("rows_before") + rows).cast("double")
+    return distinct_scores(df, score, label, by).groupBy(*by).agg(
         F.sum(rows).alias("row_count"),
         (F.sum(bad) / F.sum(rows)).alias("observed_bad_loan_rate"),
         (F.sum(p * rows) / F.sum(rows)).alias("mean_predicted_bad_loan_probability"),

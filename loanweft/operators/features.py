@@ -21,7 +21,7 @@ from loanweft.functions.checks import DataCheckError, require_columns
 from loanweft.operators.position import Order, rows_at_ranks
 
 MISSING_CATEGORY = "Missing"
-FEW_VALUES = 100_000  # up to this many distinct values a column's median comes from value counts
+FEW_VALUES = 10_000  # up to this many distinct values a column's median comes from value counts
 MAX_CATEGORIES = 10_000  # categories become vector slots, listed on the driver
 
 
@@ -68,7 +68,8 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], **tuning: int) ->
     """M1. Median, and mean and population deviation after the median has filled the gaps.
 
     The moments of the filled column follow from those of the present values,
-    so one aggregation without a second scan is enough.
+    so one aggregation without a second scan is enough. A column with one value
+    is divided by 1.
     """
     medians = exact_medians(df, columns, **tuning)
     empty = [name for name in columns if name not in medians]
@@ -79,16 +80,19 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], **tuning: int) ->
     measures = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(columns):
         column = F.col(f"`{name}`").cast("double")
-        measures += [F.count(column).alias(f"n{i}"), F.avg(column).alias(f"m{i}"), F.var_pop(column).alias(f"v{i}")]
+        measures += [F.count(column).alias(f"n{i}"), F.avg(column).alias(f"m{i}"), F.var_pop(column).alias(f"v{i}"),
+                     F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
     row = df.agg(*measures).first()
     result = {}
     for i, name in enumerate(columns):
         rows, present, mean, variance = row["_rows"], row[f"n{i}"], row[f"m{i}"], row[f"v{i}"]
         gaps, median = rows - present, medians[name]
+        if row[f"low{i}"] == row[f"high{i}"]:
+            result[name] = NumericStatistics(median, median, 1.0)
+            continue
         filled_mean = (present * mean + gaps * median) / rows
         filled_variance = (present * variance + present * gaps / rows * (mean - median) ** 2) / rows
-        deviation = math.sqrt(filled_variance)
-        result[name] = NumericStatistics(median, filled_mean, deviation if deviation > 0 else 1.0)
+        result[name] = NumericStatistics(median, filled_mean, math.sqrt(filled_variance))
     return result
 
 

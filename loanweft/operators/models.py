@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError
 from loanweft.functions.numeric import direction_label
+from loanweft.session import shared_path
 
 PENALTY_C = 1.0  # fixed value: inverse penalty weight of the baseline
 MAX_ITERATIONS = 1000
@@ -41,7 +42,11 @@ def fit_logistic(train: DataFrame, label: str = "bad_loan", features: str = "fea
         featuresCol=features, labelCol="_label", regParam=1.0 / (penalty_c * rows[0]), elasticNetParam=0.0,
         standardization=False, fitIntercept=True, family="binomial", maxIter=max_iterations, tol=tolerance,
         aggregationDepth=aggregation_depth)
-    return estimator.fit(train.select(features, F.col(label).cast("double").alias("_label")))
+    fitted = estimator.fit(train.select(features, F.col(label).cast("double").alias("_label")))
+    # read back from disk the model has no training summary, which would travel with every task
+    path = shared_path(train.sparkSession, "logistic")
+    fitted.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def score_logistic(model: LogisticRegressionModel, df: DataFrame, keep: Sequence[str], score: str = "p",

@@ -28,6 +28,7 @@ SMALL_ROWS = 200_000  # rows that one window partition may hold
 CELLS = 1024  # counters per cell and pass
 MAX_GROUPS = 512  # groups are compiled into literals
 MAX_EDGES = 4096  # bucket edges of running_totals
+BROADCAST_ROWS = 200_000  # offsets of running_totals, a few numbers each
 
 Group = tuple
 Key = tuple
@@ -300,38 +301,42 @@ def exact_quantile_buckets(df: DataFrame, orders: Sequence[Order], buckets: int,
     return df.withColumn(name, (bucket_number(orders, cuts, by) + F.lit(1)).cast("int"))
 
 
-def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (),
+def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), ascending: bool = True,
                    approx_rows: int | None = None, bucket_rows: int = 1_000_000) -> DataFrame:
-    """Add ``<sum>_before``: totals of the group's rows with a smaller ``order`` value.
+    """Add ``<sum>_before``: totals of the group's rows that come earlier in ``order``.
 
     ``df`` has one row per group and ``order`` value, so no key repeats. Beyond
     ``bucket_rows`` rows it is written once and cut into value ranges; only the
-    per-range totals, at most ``MAX_EDGES`` per group, are summed globally and
-    broadcast.
+    per-range totals are summed per group and joined back.
     """
-    before = Window.unboundedPreceding
+
+    def exclusive(window: Window, column: str) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    def sort(column: str) -> Column:
+        return F.col(column).asc() if ascending else F.col(column).desc()
+
     if approx_rows is None:
         approx_rows = df.count()
     if approx_rows <= bucket_rows:
-        window = Window.partitionBy(*by).orderBy(order).rowsBetween(before, -1)
-        return df.select("*", *[F.coalesce(F.sum(s).over(window), F.lit(0)).alias(f"{s}_before") for s in sums])
+        window = Window.partitionBy(*by).orderBy(sort(order))
+        return df.select("*", *[exclusive(window, s).alias(f"{s}_before") for s in sums])
 
     df = materialize(df, "distinct-keys")
     parts = min(math.ceil(approx_rows / bucket_rows) * 2, MAX_EDGES)
     fractions = [i / parts for i in range(1, parts)]
-    edges = sorted({
-        value
-        for row in df.groupBy(*by).agg(F.percentile_approx(order, fractions, 10_000).alias("_edges")).collect()
-        for value in row["_edges"]
-    })
-    if len(edges) > MAX_EDGES:
-        edges = edges[::math.ceil(len(edges) / MAX_EDGES)]
+    quantiles = df.groupBy(*by).agg(F.percentile_approx(order, fractions, 10_000).alias("_edges")).limit(
+        MAX_GROUPS + 1).collect()
+    if len(quantiles) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups of {list(by)}")
+    edges = sorted({value for row in quantiles for value in row["_edges"]})
+    edges = edges[::math.ceil(len(edges) / MAX_EDGES)] if edges else edges
     bucketed = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol=order, outputCol="_part").transform(df)
     per_part = bucketed.groupBy(*by, "_part").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
-    across = Window.partitionBy(*by).orderBy("_part").rowsBetween(before, -1)
-    offsets = per_part.select(*by, "_part", *[F.coalesce(F.sum(f"_{s}").over(across), F.lit(0)).alias(f"_{s}_offset")
-                                              for s in sums])
-    inside = Window.partitionBy(*by, "_part").orderBy(order).rowsBetween(before, -1)
-    joined = bucketed.join(F.broadcast(offsets), [*by, "_part"])
-    return joined.select(*df.columns, *[
-        (F.coalesce(F.sum(s).over(inside), F.lit(0)) + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])
+    across = Window.partitionBy(*by).orderBy(sort("_part"))
+    offsets = per_part.select(*by, "_part", *[exclusive(across, f"_{s}").alias(f"_{s}_offset") for s in sums])
+    if len(quantiles) * len(edges) <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    inside = Window.partitionBy(*by, "_part").orderBy(sort(order))
+    joined = bucketed.join(offsets, [*by, "_part"])
+    return joined.select(*df.columns, *[(exclusive(inside, s) + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])

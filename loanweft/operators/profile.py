@@ -140,8 +140,7 @@ def column_statistics(df: DataFrame, columns: Sequence[str], row_key: str,
     listed = df.sparkSession.createDataFrame(
         [(i, name, is_numeric_type(df.schema[name].dataType)) for i, name in enumerate(columns)],
         "position int, column_name string, is_numeric boolean")
-    text_values = values.join(F.broadcast(listed.where(~F.col("is_numeric")).select("column_name")),
-                              "column_name", "left_semi")
+    text_values = values.join(listed.where(~F.col("is_numeric")), "column_name", "left_semi")
     zero = F.lit(0).cast("long")
     rows = (
         listed.join(count_missing(df.select(*columns)), "column_name")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from loanweft.operators.labels import add_target, keep_labeled, status_distribution, target_summary
 from loanweft.operators.profile import column_profile
 from loanweft.operators.quality import (
     duplicate_summary, enforce_identifier, enforce_issue_dates, enforce_labeled_table, identifier_integrity,
-    issue_date_integrity, labeled_counts, missingness_report)
+    issue_date_integrity, missingness_report)
 from loanweft.sources.writers import write_report, write_table
 
 
@@ -18,10 +19,14 @@ def raw_reports(raw: DataFrame, folder: str, status: str = "loan_status") -> Non
     write_report(target_summary(add_target(raw, status)), f"{folder}/bad_loan_target_summary")
 
 
-def label_table(raw: DataFrame, path: str, status: str = "loan_status") -> tuple[DataFrame, DataFrame]:
-    """S9. Write the rows with a resolved outcome; returns them and the in/out row counts."""
-    labeled = write_table(keep_labeled(add_target(raw, status)), path)
-    return labeled, labeled_counts(raw, status)
+def label_table(raw: DataFrame, path: str, status: str = "loan_status") -> tuple[DataFrame, dict[str, int]]:
+    """S9. Write the rows with a resolved outcome; returns them and the row counts seen while writing."""
+    seen = Observation()
+    marked = add_target(raw, status).observe(
+        seen, F.count(F.lit(1)).alias("raw_row_count"), F.count("bad_loan").alias("labeled_row_count"))
+    labeled = write_table(keep_labeled(marked), path)
+    counts = seen.get
+    return labeled, {**counts, "excluded_row_count": counts["raw_row_count"] - counts["labeled_row_count"]}
 
 
 def quality_reports(labeled: DataFrame, folder: str, identifier: str = "id", date: str = "issue_d",

@@ -42,6 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/loanweft/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -49,6 +54,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     columns and skip row groups.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/loanweft/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

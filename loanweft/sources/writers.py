@@ -8,9 +8,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.ml.util import MLReadable, MLWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
+from loanweft.session import materialize
 
 MODEL_KINDS: Mapping[str, type[MLReadable]] = {
     "pipeline": PipelineModel, "logistic": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}
@@ -35,9 +37,11 @@ def write_splits(df: DataFrame, path: str, temporary: Sequence[str] = ("issue_mo
 def write_report(df: DataFrame, path: str, file_format: str = "csv", allow_empty: bool = False,
                  compression: str | None = None) -> None:
     """S11. A report as one CSV or Parquet file. Reports are aggregated, so one file is enough."""
-    if not allow_empty and df.isEmpty():
+    seen = Observation()  # counts the rows while they are computed, once
+    report = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), "report")
+    if not allow_empty and not seen.get["rows"]:
         raise DataCheckError(f"report for {path} has no rows")
-    writer = df.coalesce(1).write.mode("overwrite")
+    writer = report.coalesce(1).write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
     if file_format == "csv":
