@@ -10,7 +10,7 @@ from driver_queries.data_queries import (
 from driver_queries.views import LABELED_COLUMNS, LOANS, labeled, sql_list
 from loanweft.operators import governance
 from loanweft.operators.profile import column_profile
-from loanweft.session import materialize
+from loanweft.session import literal_table, materialize
 
 QUERIES: dict = {}
 
@@ -87,7 +87,7 @@ def _review(spark, folder) -> DataFrame:
 
 
 def _decisions(spark) -> DataFrame:
-    return spark.createDataFrame(list(DECISIONS), "column_name string, primary_purpose string, additional_use_cases string")
+    return literal_table(spark, list(DECISIONS), "column_name string, primary_purpose string, additional_use_cases string")
 
 
 def _final(spark, folder) -> DataFrame:
@@ -125,7 +125,7 @@ UNION ALL SELECT 'extra_decision', column_name FROM given WHERE column_name NOT
 def g4_review_coverage(spark, folder):
     """One decision left out, one too many."""
     given = _decisions(spark).select("column_name").where("column_name <> 'dti'").union(
-        spark.createDataFrame([("url",)], "column_name string"))
+        literal_table(spark, [("url",)], "column_name string"))
     return governance.review_coverage(_review(spark, folder), given)
 
 
@@ -236,7 +236,7 @@ SELECT column_name, CASE WHEN inferred_feature_type LIKE 'numeric%' THEN 'numeri
   WHEN inferred_feature_type IN ('binary_or_two_value', 'categorical_low_cardinality') THEN 'categorical' ELSE 'excluded' END
   AS feature_group FROM feature_profile WHERE column_name IN ({sql_list(_APPROVED)})""")
 def g15_feature_groups(spark, folder):
-    approved = spark.createDataFrame([(name,) for name in _APPROVED], "column_name string")
+    approved = literal_table(spark, [(name,) for name in _APPROVED], "column_name string")
     return governance.feature_groups(feature_profile(spark, folder), approved).select("feature_group", "column_name")
 
 
@@ -244,7 +244,7 @@ def g15_feature_groups(spark, folder):
 SELECT 'feature_without_profile' AS rule, 'not_profiled' AS offender
 UNION ALL SELECT 'unexpected_feature_type', 'mystery' FROM feature_profile WHERE column_name = 'purpose'""")
 def g15_feature_group_violations(spark, folder):
-    approved = spark.createDataFrame([("purpose",), ("dti",), ("not_profiled",)], "column_name string")
+    approved = literal_table(spark, [("purpose",), ("dti",), ("not_profiled",)], "column_name string")
     broken = materialize(feature_profile(spark, folder), "types").withColumn("inferred_feature_type", F.when(
         F.col("column_name") == "purpose", "mystery").otherwise(F.col("inferred_feature_type")))
     return governance.feature_group_violations(broken, approved)

@@ -12,6 +12,7 @@ from driver_queries.views import LOANS, SCORED, rounded, scored, split_loans
 from loanweft.operators import calibration, evaluation, features, models
 from loanweft.operators.splits import fit_time_split
 from loanweft.sources import readers, writers
+from loanweft.session import literal_table
 
 QUERIES: dict = {}
 
@@ -66,7 +67,7 @@ SELECT column_name, round(median, 6) AS median, round(mean, 6) AS mean, round(sc
 def m1_numeric_statistics(spark, folder):
     found = features.numeric_statistics(_train(spark, folder), NUMERIC)
     rows = [(name, s.median, s.mean, s.scale) for name, s in found.items()]
-    return rounded(spark.createDataFrame(rows, "column_name string, median double, mean double, scale double"),
+    return rounded(literal_table(spark, rows, "column_name string, median double, mean double, scale double"),
                    "median", "mean", "scale")
 
 
@@ -76,7 +77,7 @@ def m1_exact_medians_by_rank(spark, folder):
     """The counting method, as used for columns with very many values."""
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     medians = features.exact_medians(spark.read.parquet(f"{folder}/lineitem.parquet"), names, few_values=1)
-    return rounded(spark.createDataFrame([tuple(medians[n] for n in names)], ", ".join(f"{n} double" for n in names)), *names)
+    return rounded(literal_table(spark, [tuple(medians[n] for n in names)], ", ".join(f"{n} double" for n in names)), *names)
 
 
 @register("m2_one_hot_counts", SLOTS + """, counted AS (""" + " UNION ALL ".join(
@@ -107,7 +108,7 @@ def m3_assembled_vectors(spark, folder):
 @register("m4_feature_names", SLOTS + "SELECT cast(slot AS integer) AS slot, feature_name FROM slots")
 def m4_feature_names(spark, folder):
     fitted = features.fit_features(_train(spark, folder), COLUMNS)
-    return spark.createDataFrame(list(enumerate(fitted.names)), "slot int, feature_name string")
+    return literal_table(spark, list(enumerate(fitted.names)), "slot int, feature_name string")
 
 
 @register("m5_prepared_splits", PREPARED + """
@@ -143,7 +144,7 @@ def s7_feature_names_file(spark, folder):
     path = scratch(spark)
     _, fitted, prepared = _prepared(spark, folder)
     writers.write_features(prepared, fitted.names, f"{path}/features", f"{path}/names")
-    return spark.createDataFrame(list(enumerate(readers.read_feature_names(spark, f"{path}/names"))),
+    return literal_table(spark, list(enumerate(readers.read_feature_names(spark, f"{path}/names"))),
                                  "slot int, feature_name string")
 
 
@@ -212,7 +213,7 @@ def _one_feature(spark, folder):
 @register("m7_logistic_one_feature", FITTED + "SELECT round(w, 5) AS slope, round(b, 5) AS intercept FROM fit")
 def m7_logistic_one_feature(spark, folder):
     _, _, model = _one_feature(spark, folder)
-    return rounded(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
+    return rounded(literal_table(spark, [(float(model.coefficients[0]), float(model.intercept))],
                                          "slope double, intercept double"), "slope", "intercept", digits=5)
 
 
@@ -226,7 +227,7 @@ def m7_logistic_all_features(spark, folder):
     scored_rows = model.transform(train).select(residual.alias("r"), vector_to_array("features").alias("x"))
     slots = F.posexplode(F.transform("x", lambda value: value * F.col("r")))
     slopes = scored_rows.select(slots.alias("slot", "v")).groupBy("slot").agg(F.sum("v").alias("loss_slope"))
-    weights = spark.createDataFrame([(i, name, float(model.coefficients[i])) for i, name in enumerate(fitted.names)],
+    weights = literal_table(spark, [(i, name, float(model.coefficients[i])) for i, name in enumerate(fitted.names)],
                                     "slot int, feature_name string, coefficient double")
     return weights.join(slopes, "slot").select(
         "feature_name", F.round(F.col("loss_slope") + F.col("coefficient"), 2).alias("penalized_slope"))
@@ -316,7 +317,7 @@ SHIFT = _recursive(POINTS + shift_sql("shift", "points"))
 @register("m11_intercept_shift", SHIFT + "SELECT round(c, 6) AS shift FROM shift")
 def m11_intercept_shift(spark, folder):
     shift = calibration.fit_intercept_shift(scored(spark, folder))
-    return rounded(spark.createDataFrame([(shift,)], "shift double"), "shift")
+    return rounded(literal_table(spark, [(shift,)], "shift double"), "shift")
 
 
 @register("m12_shifted_probability", SHIFT + "SELECT id, round(1 / (1 + exp(-(z + c))), 6) AS p_intercept FROM scored, shift")
@@ -332,7 +333,7 @@ PLATT = _recursive(POINTS + newton_sql("platt", "points", "0e0"))
 @register("m13_platt_scaling", PLATT + "SELECT round(w, 6) AS scale, round(b, 6) AS intercept FROM platt")
 def m13_platt_scaling(spark, folder):
     platt = calibration.fit_platt(scored(spark, folder))
-    return rounded(spark.createDataFrame([(platt.scale, platt.intercept)], "scale double, intercept double"), "scale", "intercept")
+    return rounded(literal_table(spark, [(platt.scale, platt.intercept)], "scale double, intercept double"), "scale", "intercept")
 
 
 @register("m13_platt_probability", PLATT + "SELECT id, round(1 / (1 + exp(-(w * z + b))), 6) AS p_platt FROM scored, platt")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError
 from loanweft.functions.numeric import clip, sigmoid
+from loanweft.session import literal_table
 
 MAX_STEPS = 100
 TOLERANCE = 1e-12
@@ -147,7 +148,7 @@ def apply_isotonic(model: IsotonicRegressionModel, df: DataFrame, log_odds: str
 def isotonic_steps(model: IsotonicRegressionModel, df: DataFrame) -> DataFrame:
     """Boundaries and fitted values of the model as a table."""
     rows = list(zip([float(b) for b in model.boundaries], [float(v) for v in model.predictions]))
-    return df.sparkSession.createDataFrame(rows, "boundary double, fitted double")
+    return literal_table(df.sparkSession, rows, "boundary double, fitted double")
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
 from loanweft.operators.position import Order, rows_at_ranks
+from loanweft.session import literal_table
 
 MISSING_CATEGORY = "Missing"
 FEW_VALUES = 10_000  # up to this many distinct values a column's median comes from value counts
@@ -203,7 +204,7 @@ def preprocessing_summary(inputs: DataFrame, prepared: DataFrame, columns: Featu
         *[F.coalesce(F.sum(F.when(F.col(split) == s, nonzero_count().cast("long"))), F.lit(0).cast("long"))
           .alias(f"{s}_nonzero_values") for s in splits])
     spark = inputs.sparkSession
-    fixed = spark.createDataFrame(
+    fixed = literal_table(spark,
         [("preprocessed_feature_count", len(names)), ("numeric_feature_count", len(columns.numeric)),
          ("categorical_feature_count", len(columns.categorical)), ("excluded_feature_count", len(columns.excluded))],
         "metric string, value long")

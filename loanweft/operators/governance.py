@@ -18,7 +18,7 @@ from loanweft.functions.checks import (
 from loanweft.functions.text import (
     has_repeated_items, normalize_list, parse_list, starts_with_any, strip, unknown_items)
 from loanweft.operators.features import FeatureColumns
-from loanweft.session import materialize
+from loanweft.session import literal_table, materialize
 
 # The vocabulary of the catalog.
 PURPOSES = (
@@ -134,7 +134,7 @@ def assign_roles(profile: DataFrame, rules: RoleRules = RoleRules()) -> DataFram
 
 
 def role_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ROLE_ACTIONS), "column_role string, recommended_action string, reason string")
+    return literal_table(spark, list(ROLE_ACTIONS), "column_role string, recommended_action string, reason string")
 
 
 def unknown_roles(roles: DataFrame, table: DataFrame) -> DataFrame:
@@ -166,8 +166,8 @@ def final_usage(inventory: DataFrame, decisions: DataFrame, role_purposes=ROLE_P
                 automatic_uses=AUTOMATIC_USES) -> DataFrame:
     """G5. Purpose and uses: decided for unresolved columns, automatic for the rest."""
     spark = inventory.sparkSession
-    purposes = spark.createDataFrame(list(role_purposes), "column_role string, _purpose string")
-    uses = spark.createDataFrame(list(automatic_uses), "column_name string, _uses string")
+    purposes = literal_table(spark, list(role_purposes), "column_role string, _purpose string")
+    uses = literal_table(spark, list(automatic_uses), "column_name string, _uses string")
     decided = decisions.select("column_name", F.col("primary_purpose").alias("_decided_purpose"),
                                F.col("additional_use_cases").alias("_decided_uses"))
     review = F.col("column_role") == "requires_review"
@@ -318,8 +318,8 @@ def selected_columns(catalog: DataFrame) -> DataFrame:
 def selection_violations(catalog: DataFrame, available: Sequence[str]) -> DataFrame:
     """G12. Everything that makes a selection unsafe or impossible; no data is read."""
     spark = catalog.sparkSession
-    present = spark.createDataFrame([(name,) for name in available], "column_name string")
-    groups = spark.createDataFrame(
+    present = literal_table(spark, [(name,) for name in available], "column_name string")
+    groups = literal_table(spark,
         [("target", True, 1), ("time_split", True, 1), ("identifier_tracking", False, 1), ("model_feature", False, 1)],
         "role string, exact boolean, wanted int")
     roles = column_roles(catalog)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import require_columns
 from loanweft.functions.text import strip
+from loanweft.session import literal_table
 
 # Statuses with a resolved outcome, and those left out on purpose.
 GOOD_STATUSES = (
@@ -80,7 +81,7 @@ def target_summary(df: DataFrame, target: str = "bad_loan") -> DataFrame:
     """A4. Good, bad and missing in that order, zero where absent."""
     value = F.coalesce(F.col(target).cast("int").cast("string"), F.lit("MISSING"))
     counts = df.select(value.alias(target)).groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    domain = df.sparkSession.createDataFrame(
+    domain = literal_table(df.sparkSession,
         [(0, "0", "good_loan"), (1, "1", "bad_loan"), (2, "MISSING", "excluded_or_unmapped")],
         f"_order int, {target} string, target_label string")
     filled = domain.join(counts, target, "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError
 from loanweft.functions.numeric import direction_label
-from loanweft.session import shared_path
+from loanweft.session import literal_table, shared_path
 
 PENALTY_C = 1.0  # fixed value: inverse penalty weight of the baseline
 MAX_ITERATIONS = 1000
@@ -64,7 +64,7 @@ def coefficient_table(model: LogisticRegressionModel, names: Sequence[str], df:
     values = [float(value) for value in model.coefficients.toArray()]
     if len(values) != len(names):
         raise DataCheckError(f"{len(names)} feature names for {len(values)} coefficients")
-    return df.sparkSession.createDataFrame(list(zip(names, values)), "feature_name string, coefficient double")
+    return literal_table(df.sparkSession, list(zip(names, values)), "feature_name string, coefficient double")
 
 
 def coefficient_report(coefficients: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanweft.operators.labels import with_domain_share
+from loanweft.session import literal_table
 
 # Policy defaults.
 GOOD_RETURN_RATE = 0.10
@@ -67,7 +68,7 @@ class Policy:
         """The configuration as one row."""
         row = (self.good_return_rate, self.bad_loss_rate, self.breakeven, self.review_margin,
                self.approve_boundary, self.decline_boundary)
-        return spark.createDataFrame([row], "good_loan_return_rate double, bad_loan_loss_rate double, "
+        return literal_table(spark, [row], "good_loan_return_rate double, bad_loan_loss_rate double, "
                                      "breakeven_probability double, review_margin double, "
                                      "approve_boundary double, decline_boundary double")
 

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanweft.functions.checks import require_columns
-from loanweft.functions.dates import FALLBACK_FORMATS, MONTH_FORMAT
+from loanweft.functions.dates import FALLBACK_FORMATS, MONTH_FORMAT, parse_month
 from loanweft.functions.text import non_blank
 from loanweft.operators.quality import count_missing
+from loanweft.session import literal_table
 
 DATE_FORMATS = (MONTH_FORMAT, *FALLBACK_FORMATS)
 
@@ -103,7 +104,7 @@ def integer_like(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def looks_like_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(value, F.lit(fmt)) for fmt in formats]).isNotNull()
+    return parse_month(value, formats).isNotNull()
 
 
 def date_parse_rates(values: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
@@ -137,7 +138,7 @@ def column_statistics(df: DataFrame, columns: Sequence[str], row_key: str,
     require_columns(df, [*columns, row_key])
     values = column_values(df, columns, row_key)
     unique = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_non_missing_count"))
-    listed = df.sparkSession.createDataFrame(
+    listed = literal_table(df.sparkSession,
         [(i, name, is_numeric_type(df.schema[name].dataType)) for i, name in enumerate(columns)],
         "position int, column_name string, is_numeric boolean")
     text_values = values.join(listed.where(~F.col("is_numeric")), "column_name", "left_semi")

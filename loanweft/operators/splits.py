@@ -16,6 +16,7 @@ from loanweft.functions.checks import DataCheckError, require_columns, require_f
 from loanweft.functions.dates import parse_month_or_fallback
 from loanweft.operators.labels import with_domain_share
 from loanweft.operators.position import Order, bucket_number, rows_at_ranks
+from loanweft.session import literal_table
 
 SPLIT_NAMES = ("train", "validation", "test")
 SPLIT_COLUMN = "modeling_split"
@@ -98,7 +99,7 @@ def fit_halving(df: DataFrame, date: str = "issue_month", key: str = "id", fract
 def split_summary(df: DataFrame, date: str = "issue_month", target: str = "bad_loan", split: str = SPLIT_COLUMN,
                   names: Sequence[str] = SPLIT_NAMES) -> DataFrame:
     """A21. Rows, share, date range and outcomes per split, in the given order."""
-    domain = df.sparkSession.createDataFrame(list(enumerate(names)), "_order int, split string")
+    domain = literal_table(df.sparkSession, list(enumerate(names)), "_order int, split string")
     y = F.col(target)
     parts = df.groupBy(F.col(split).alias("split")).agg(
         F.count(F.lit(1)).alias("row_count"), F.min(date).alias("date_min"), F.max(date).alias("date_max"),

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -42,6 +45,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+ARROW_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few rows of constants as a local relation, whose size the optimizer knows."""
+    fields = T.StructType.fromDDL(schema)
+    columns = {field.name: pa.array([row[i] for row in rows], ARROW_TYPES[field.dataType.simpleString()])
+               for i, field in enumerate(fields)}
+    return spark.createDataFrame(pa.table(columns), schema=fields)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder."""
     return f"{shared_folder(spark)}/loanweft/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
-from loanweft.session import materialize
+from loanweft.session import literal_table, materialize
 
 MODEL_KINDS: Mapping[str, type[MLReadable]] = {
     "pipeline": PipelineModel, "logistic": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}
@@ -53,7 +53,7 @@ def write_report(df: DataFrame, path: str, file_format: str = "csv", allow_empty
 def write_features(df: DataFrame, names: Sequence[str], path: str, names_path: str,
                    split: str = "modeling_split") -> DataFrame:
     """S12. Keyed vectors and labels by split, and the slot names."""
-    listed = df.sparkSession.createDataFrame(list(enumerate(names)), "slot int, feature_name string")
+    listed = literal_table(df.sparkSession, list(enumerate(names)), "slot int, feature_name string")
     write_report(listed, names_path, "parquet")
     return write_table(df, path, [split])
 
