@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driver_queries.views import (
-    LABELED_COLUMNS, LOAN_COLUMNS, LOANS, dated, labeled, loans, month_sql, rounded, split_loans, table)
+    LABELED_COLUMNS, LOAN_COLUMNS, LOANS, dated_table, labeled, loans, month_sql, rounded, split_loans, table)
 from loanweft.functions import text
 from loanweft.functions.dates import month_text, parse_month
 from loanweft.functions.text import parse_list, strip
@@ -66,7 +66,7 @@ def s4_projected_scan(spark, folder):
 def s5_split_scan(spark, folder):
     """Write the splits as partitions, read one of them."""
     path = scratch(spark)
-    writers.write_splits(split_loans(spark, folder).select("id", "issue_d", "bad_loan", "issue_month", "modeling_split"), path)
+    writers.write_splits(split_loans(spark, folder, "issue_d", "bad_loan"), path)
     return readers.read_split(spark, path, "validation").select("id", "issue_d", "bad_loan")
 
 
@@ -147,7 +147,7 @@ def p3_features_and_label(spark, folder):
 
 @register("p4_dropped_columns", LOANS + "SELECT id, bad_loan, modeling_split FROM splits")
 def p4_dropped_columns(spark, folder):
-    rows = split_loans(spark, folder).select("id", "bad_loan", "modeling_split", "issue_month")
+    rows = split_loans(spark, folder, "bad_loan")
     return rows.drop("issue_month", "not_there")
 
 
@@ -490,7 +490,7 @@ def a11_types_counted(spark, folder):
 
 @register("w1_time_split", LOANS + "SELECT id, issue_d, modeling_split FROM splits")
 def w1_time_split(spark, folder):
-    return split_loans(spark, folder).select("id", "issue_d", "modeling_split")
+    return split_loans(spark, folder, "issue_d").select("id", "issue_d", "modeling_split")
 
 
 @register("w1_whole_month_split", LOANS + """
@@ -499,7 +499,7 @@ def w1_time_split(spark, folder):
 SELECT id, CASE WHEN issue_month <= a THEN 'train' WHEN issue_month <= b THEN 'validation' ELSE 'test' END AS modeling_split
 FROM splits, ends""")
 def w1_whole_month_split(spark, folder):
-    rows = dated(spark, folder)
+    rows = dated_table(spark, folder, "issue_d")
     return splits.fit_time_split(rows, whole_months=True).apply(rows).select("id", "modeling_split")
 
 
@@ -509,7 +509,7 @@ def w1_whole_month_split(spark, folder):
 SELECT id, CASE WHEN k <= cast(floor(c * 0.5e0) AS bigint) THEN 'calibration_fit' ELSE 'calibration_comparison' END AS part
 FROM v""")
 def w3_calibration_halves(spark, folder):
-    rows = split_loans(spark, folder).where(F.col("modeling_split") == "validation")
+    rows = split_loans(spark, folder, "bad_loan").where(F.col("modeling_split") == "validation")
     return splits.fit_halving(rows).apply(rows, "part").select("id", "part")
 
 
@@ -519,7 +519,7 @@ SELECT modeling_split AS split, count(*) AS row_count, count(*) / (SELECT count(
   count(*) FILTER (bad_loan = 0) AS good_loan_count, count(*) FILTER (bad_loan = 1) AS bad_loan_count,
   count(*) FILTER (bad_loan = 1) / count(*) AS bad_loan_rate FROM splits GROUP BY 1""")
 def a21_split_summary(spark, folder):
-    summary = splits.split_summary(split_loans(spark, folder))
+    summary = splits.split_summary(split_loans(spark, folder, "bad_loan"))
     return summary.withColumns({name: F.date_format(name, "yyyy-MM-dd") for name in ("date_min", "date_max")})
 
 

@@ -177,7 +177,7 @@ def s14_saved_preparation(spark, folder):
 SELECT id, round((SELECT avg(bad_loan) FROM splits WHERE modeling_split = 'train'), 6) AS p FROM splits
 WHERE modeling_split = 'validation'""")
 def m6_prior_baseline(spark, folder):
-    rows = split_loans(spark, folder)
+    rows = split_loans(spark, folder, "bad_loan")
     prior = models.prior_rate(rows.where(F.col("modeling_split") == "train"))
     return rounded(models.apply_prior(rows.where(F.col("modeling_split") == "validation"), prior, "p").select("id", "p"), "p")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.views import CANDIDATE_ROWS, CANDIDATES, SCORED, dated, loans, rounded, scored, table
+from driver_queries.views import CANDIDATE_ROWS, CANDIDATES, SCORED, loans, rounded, scored, table
 from loanweft.functions.checks import score_check
 from loanweft.functions.numeric import clip, direction_label, log_odds, sigmoid
 from loanweft.operators import evaluation, monitoring, policy

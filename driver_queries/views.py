@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loanweft.functions.text import WHITESPACE
 from loanweft.operators.labels import BAD_STATUSES, GOOD_STATUSES, UNRESOLVED_STATUSES, add_target, keep_labeled
 from loanweft.operators.splits import add_parsed_month, fit_time_split
+from loanweft.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,8 +91,14 @@ def dated(spark: SparkSession, folder: str) -> DataFrame:
     return add_parsed_month(labeled(spark, folder)).where(F.col("issue_month").isNotNull())
 
 
-def split_loans(spark: SparkSession, folder: str) -> DataFrame:
+def dated_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """``dated`` as a written table, for steps that read it several times."""
     rows = dated(spark, folder)
+    return materialize(rows.select("id", "issue_month", *columns) if columns else rows, "dated")
+
+
+def split_loans(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    rows = dated_table(spark, folder, *columns)
     return fit_time_split(rows).apply(rows)
 
 

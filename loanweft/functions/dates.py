@@ -17,26 +17,18 @@ FALLBACK_FORMATS = ("yyyy-MM-dd", "yyyy-MM", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss"
 # Texts that a format can match at all. The test is cheap, while the parser
 # raises and catches an error for every text it cannot read.
 SHAPES = {
+    "MMM-yyyy": "^[A-Za-z]{3}-[0-9]{4}$",
     "yyyy-MM-dd": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
     "yyyy-MM": "^[0-9]{4}-[0-9]{2}$",
     "MM/dd/yyyy": "^[0-9]{2}/[0-9]{2}/[0-9]{4}$",
     "yyyy-MM-dd HH:mm:ss": "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
 }
-MONTH_NAMES = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
-
-
-def month_start(column: Column) -> Column:
-    """First day of a month written like Dec-2015, in any letter case, without calling the date parser."""
-    place = F.position(F.upper(F.substring(column, 1, 3)), F.lit(MONTH_NAMES))
-    fits = F.rlike(column, F.lit("^[A-Za-z]{3}-[0-9]{4}$")) & (place % 3 == 1)
-    year, month = F.substring(column, 5, 4).cast("int"), F.floor((place + 2) / 3).cast("int")
-    return F.when(fits, F.make_date(year, month, F.lit(1)))
 
 
 def _parsed(column: Column, fmt: str) -> Column:
-    if fmt == MONTH_FORMAT:
-        return month_start(column)
-    value = F.try_to_timestamp(column, F.lit(fmt)).cast("date")
+    # month names may come in any letter case
+    text = F.initcap(column) if fmt == MONTH_FORMAT else column
+    value = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
     return F.when(F.rlike(column, F.lit(SHAPES[fmt])), value) if fmt in SHAPES else value
 
 

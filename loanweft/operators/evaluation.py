@@ -16,24 +16,35 @@ from loanweft.functions.numeric import ratio, row_log_loss
 from loanweft.operators.position import Order, exact_quantile_buckets, running_totals
 from loanweft.session import materialize
 
+MANY_PAIRS = 1_000_000  # from about this many distinct values on, value pairs are written once
 # Default probability thresholds.
 THRESHOLDS = (0.10, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
 
 
-def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = ()) -> DataFrame:
+def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = (),
+                    approx_scores: int | None = None) -> DataFrame:
     """Rows and bad rows per distinct score, with the totals of all higher scores.
 
     Equal scores are combined map-side, so a score shared by many rows is one
-    row here.
+    row here. ``approx_scores`` is about how many distinct scores the largest
+    group has, if known.
     """
-    largest = df.groupBy(*by).agg(F.approx_count_distinct(score).alias("n")).agg(F.max("n")).first()[0] or 0
+    if approx_scores is None:
+        approx_scores = _most_values(df, (score,), by)[0]
     grouped = df.groupBy(*by, F.col(score).alias("p")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("long")).alias("bad"))
-    return running_totals(grouped, "p", ("rows", "bad"), by, ascending=False, approx_rows=largest)
+    return running_totals(grouped, "p", ("rows", "bad"), by, ascending=False, approx_rows=approx_scores)
 
 
-def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan",
-                        by: Sequence[str] = ()) -> DataFrame:
+def _most_values(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> tuple[int, ...]:
+    """About how many distinct values each column has in the group with most of them."""
+    counts = df.groupBy(*by).agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)])
+    row = counts.agg(*[F.max(f"n{i}") for i in range(len(columns))]).first()
+    return tuple(value or 0 for value in row)
+
+
+def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = (),
+                        approx_scores: int | None = None) -> DataFrame:
     """E1 with E2 to E5 and E11: ranking and probability quality per group.
 
     ROC AUC counts, for every good row, the bad rows with a higher score and
@@ -46,7 +57,7 @@ def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan"
     pairs_won = good.cast("double") * (F.col("bad_before").cast("double") + bad.cast("double") / 2.0)
     reached_bad = (F.col("bad_before") + bad).cast("double")
     reached = (F.col("rows_before") + rows).cast("double")
-    return distinct_scores(df, score, label, by).groupBy(*by).agg(
+    return distinct_scores(df, score, label, by, approx_scores).groupBy(*by).agg(
         F.sum(rows).alias("row_count"),
         (F.sum(bad) / F.sum(rows)).alias("observed_bad_loan_rate"),
         (F.sum(p * rows) / F.sum(rows)).alias("mean_predicted_bad_loan_probability"),
@@ -158,24 +169,30 @@ def score_deciles(df: DataFrame, score: str = "p", label: str = "bad_loan", key:
         F.try_divide(F.sum("bad_loan_count").over(so_far), all_bad).alias("cumulative_bad_loan_share"))
 
 
-def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = ()) -> DataFrame:
+def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = (),
+                     approx_values: tuple[int, int] | None = None) -> DataFrame:
     """E12. Spearman correlation with average ranks; NULL for constant input.
 
     Rows are folded to distinct pairs. Ranks of ``left`` are joined to the pairs
     and summed per distinct ``right``, whose own ranks come from a running
-    total, so that only one join of distinct values is needed.
+    total, so that only one join of distinct values is needed. A value of
+    ``left`` that meets very many values of ``right`` is one join key; adaptive
+    execution splits such a key over several tasks.
     """
     keys = list(by)
-    pairs = df.groupBy(*keys, F.col(left).alias("l"), F.col(right).alias("r")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = df.groupBy(*keys).agg(F.approx_count_distinct(left).alias("l"), F.approx_count_distinct(right).alias("r"))
-    largest = sizes.agg(F.max("l"), F.max("r")).first()
+    present = df.where(F.col(left).isNotNull() & F.col(right).isNotNull())
+    pairs = present.groupBy(*keys, F.col(left).alias("l"), F.col(right).alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    if approx_values is None:
+        approx_values = _most_values(df, (left, right), keys)
+    if max(approx_values) > MANY_PAIRS:
+        pairs = materialize(pairs, "score-pairs")  # read for the ranks and for the join
     middle = F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)
     left_ranks = running_totals(pairs.groupBy(*keys, "l").agg(F.sum("n").alias("n")), "l", ("n",), keys,
-                                approx_rows=largest[0] or 0).select(*keys, "l", middle.alias("left_rank"))
+                                approx_rows=approx_values[0]).select(*keys, "l", middle.alias("left_rank"))
     per_right = pairs.join(left_ranks, [*keys, "l"]).groupBy(*keys, "r").agg(
         F.sum(F.col("n") * F.col("left_rank")).alias("left_sum"),
         F.sum(F.col("n") * F.col("left_rank") * F.col("left_rank")).alias("left_square"), F.sum("n").alias("n"))
-    ranked = running_totals(per_right, "r", ("n",), keys, approx_rows=largest[1] or 0).withColumn("right_rank", middle)
+    ranked = running_totals(per_right, "r", ("n",), keys, approx_rows=approx_values[1]).withColumn("right_rank", middle)
     n, rr = F.col("n").cast("double"), F.col("right_rank")
     total = F.sum(n)
     mean = (total + F.lit(1.0)) / F.lit(2.0)
@@ -220,9 +237,10 @@ def compare_candidates(df: DataFrame, candidates: Mapping[str, str], reference:
     by = ["method_order", "method"]
     enforce_scores(long, "p", label, by)
     # a few rows each, read by two reports
-    metrics = materialize(probability_metrics(long, "p", label, by), "metrics")
+    sizes = _most_values(long, ("reference_p", "p"), by)
+    metrics = materialize(probability_metrics(long, "p", label, by, sizes[1]), "metrics")
     bins = materialize(calibration_bins(long, "p", label, by), "bins")
-    correlation = rank_correlation(long, "reference_p", "p", by)
+    correlation = rank_correlation(long, "reference_p", "p", by, sizes)
     named = F.col("method").alias("calibration_method")
     return {
         "calibration_summary": metrics.join(weighted_calibration_gap(bins, by), by).orderBy("method_order").select(

@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from loanweft.functions.checks import require_columns
 from loanweft.functions.dates import FALLBACK_FORMATS, MONTH_FORMAT, parse_month
 from loanweft.functions.text import non_blank
-from loanweft.operators.quality import count_missing
-from loanweft.session import literal_table
+from loanweft.operators.quality import count_missing, missing_counts, per_column
+from loanweft.session import literal_table, materialize
 
 DATE_FORMATS = (MONTH_FORMAT, *FALLBACK_FORMATS)
 
@@ -85,8 +85,7 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def integer_like(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A13. Whether all non-missing values of a numeric column are whole numbers."""
+def _integer_flags(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     flags = []
     for name in columns:
         kind = df.schema[name].dataType
@@ -94,13 +93,16 @@ def integer_like(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if isinstance(kind, T.BooleanType):
             column = column.cast("int")
         if not is_numeric_type(kind):
-            flags.append(F.lit(False))
+            flags.append(F.bool_and(F.lit(False)))
             continue
-        whole = F.try_mod(column, F.lit(1)) == F.lit(0)
-        flags.append(F.coalesce(F.bool_and(F.when(column.isNotNull(), F.coalesce(whole, F.lit(False)))), F.lit(False)))
-    names = F.array(*[F.lit(name) for name in columns])
-    one = df.agg(F.array(*flags).alias("flags"))
-    return one.select(F.inline(F.arrays_zip(names.alias("column_name"), F.col("flags").alias("is_integer_like"))))
+        whole = F.coalesce(F.try_mod(column, F.lit(1)) == F.lit(0), F.lit(False))
+        flags.append(F.bool_and(F.when(column.isNotNull(), whole)))
+    return [F.coalesce(flag, F.lit(False)) for flag in flags]
+
+
+def integer_like(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A13. Whether all non-missing values of a numeric column are whole numbers."""
+    return per_column(df, columns, is_integer_like=_integer_flags(df, columns)).select("column_name", "is_integer_like")
 
 
 def looks_like_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -136,20 +138,24 @@ def column_statistics(df: DataFrame, columns: Sequence[str], row_key: str,
                       formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """A12 with A13 to A15: one row per column, ``position`` keeps the given order."""
     require_columns(df, [*columns, row_key])
-    values = column_values(df, columns, row_key)
-    unique = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_non_missing_count"))
-    listed = literal_table(df.sparkSession,
-        [(i, name, is_numeric_type(df.schema[name].dataType)) for i, name in enumerate(columns)],
-        "position int, column_name string, is_numeric boolean")
-    text_values = values.join(listed.where(~F.col("is_numeric")), "column_name", "left_semi")
-    zero = F.lit(0).cast("long")
+    # written once: the distinct values are counted, parsed and sampled
+    values = materialize(column_values(df, columns, row_key), "column-values")
+    listed = literal_table(df.sparkSession, [(i, name, is_numeric_type(df.schema[name].dataType))
+                                             for i, name in enumerate(columns)],
+                           "position int, column_name string, is_numeric boolean")
+    words = [name for name in columns if not is_numeric_type(df.schema[name].dataType)]
+    text = F.when(F.col("column_name").isin(*words), non_blank(F.col("value")))
+    readable = F.sum(F.when(looks_like_date(text, formats), F.col("n")).otherwise(0))
+    counted = values.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("unique_non_missing_count"),
+        F.try_divide(readable, F.sum(F.when(text.isNotNull(), F.col("n")))).alias("date_parse_success_rate"))
     rows = (
-        listed.join(count_missing(df.select(*columns)), "column_name")
-        .join(unique, "column_name", "left")
-        .join(integer_like(df, columns), "column_name")
-        .join(date_parse_rates(text_values, formats), "column_name", "left")
+        listed.join(per_column(df, columns, missing_count=missing_counts(columns),
+                               is_integer_like=_integer_flags(df, columns)), "column_name")
+        .join(counted, "column_name", "left")
         .join(sample_values(values), "column_name", "left")
     )
+    zero = F.lit(0).cast("long")
     non_missing = F.col("total_count") - F.col("missing_count")
     distinct = F.coalesce("unique_non_missing_count", zero)
     return rows.select(

@@ -43,17 +43,25 @@ def enforce_labeled_table(df: DataFrame, target: str = "bad_loan", expected_rows
         raise DataCheckError(f"{target} must hold the values 0 and 1")
 
 
+def per_column(df: DataFrame, columns: Sequence[str], **measures: Sequence[Column]) -> DataFrame:
+    """One row per column with its aggregates, all computed in one scan without a shuffle of rows."""
+    counts = df.agg(F.count(F.lit(1)).alias("total_count"),
+                    *[F.array(*columns_of).alias(name) for name, columns_of in measures.items()])
+    kinds = dict(df.dtypes)
+    zipped = F.arrays_zip(
+        F.array(*[F.lit(name) for name in columns]).alias("column_name"),
+        F.array(*[F.lit(kinds[name]) for name in columns]).alias("dtype"),
+        *[F.col(name) for name in measures])
+    return counts.select(F.inline(zipped), F.col("total_count")).select("column_name", "dtype", "total_count", *measures)
+
+
+def missing_counts(columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(f"`{name}`").isNull()) for name in columns]
+
+
 def count_missing(df: DataFrame) -> DataFrame:
-    """Rows (column_name, dtype, total_count, missing_count) from one scan without a shuffle of rows."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.array(*[F.count_if(F.col(f"`{name}`").isNull()) for name in df.columns]).alias("missing"),
-    )
-    names = F.array(*[F.lit(name) for name in df.columns])
-    kinds = F.array(*[F.lit(kind) for _, kind in df.dtypes])
-    zipped = F.arrays_zip(names.alias("column_name"), kinds.alias("dtype"), F.col("missing").alias("missing_count"))
-    return counts.select(F.inline(zipped), F.col("total").alias("total_count")).select(
-        "column_name", "dtype", "total_count", "missing_count")
+    """Rows (column_name, dtype, total_count, missing_count)."""
+    return per_column(df, df.columns, missing_count=missing_counts(df.columns))
 
 
 def missingness_report(df: DataFrame) -> DataFrame:

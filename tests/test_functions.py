@@ -28,7 +28,7 @@ def test_normalize_list(spark):
     assert one(spark, text.has_repeated_items(F.col("v")), "a, a") is True
 
 
-@pytest.mark.parametrize("raw, month", [("Dec-2015", "2015-12"), ("bad", None), (None, None), ("2015-12", None), ("Foo-2015", None)])
+@pytest.mark.parametrize("raw, month", [("Dec-2015", "2015-12"), ("bad", None), (None, None), ("2015-12", None), ("Foo-2015", None), ("DEC-2015", "2015-12"), ("dec-2015", "2015-12")])
 def test_strict_month(spark, raw, month):
     assert one(spark, month_text(parse_month(F.col("v"))), raw) == month
 
