@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def slices(batch: pa.RecordBatch, sizes: Sequence[str], most: int) -> Iterator[p
     lengths = np.zeros(batch.num_rows, np.int64)
     for name in sizes:
         column = batch.column(batch.schema.get_field_index(name))
-        lengths += np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), np.int64)
+        lengths += np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
     group = (np.cumsum(lengths) - lengths) // most
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     for low, high in zip(starts, np.r_[starts[1:], batch.num_rows]):
@@ -65,7 +66,7 @@ def slices(batch: pa.RecordBatch, sizes: Sequence[str], most: int) -> Iterator[p
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column without copying, and the n + 1 offsets; nulls are empty."""
     if column.null_count:
-        column = pa.compute.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
+        column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1]
@@ -114,3 +115,46 @@ def parts_of(df: DataFrame, rows_per_part: int, rows: int | None = None) -> int:
     """Number of partitions that holds ``rows_per_part`` rows each; at least the session's shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-(df.count() if rows is None else rows) // rows_per_part))
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SPACE = np.zeros(256, bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts (A-Z lower-cased), and the texts' offsets in them."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    low = LOWER[data]
+    inside = ~SPACE[low]
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    before = np.r_[False, inside[:-1]] & ~first[:-1]
+    starts = np.flatnonzero(inside & ~before)
+    after = np.r_[inside[1:], False] & ~first[1:]
+    ends = np.flatnonzero(inside & ~after) + 1
+    return mixed(polynomial(low)(starts, ends)), np.searchsorted(starts, offsets)
+
+
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``width`` words of each text, with the texts' offsets in them.
+
+    A text of fewer words has one shingle, the whole sequence; one without words has none.
+    """
+    words, at = word_hashes(data, offsets)
+    counts = np.diff(at)
+    made = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
+    out = np.zeros(len(at), np.int64)
+    np.cumsum(made, out=out[1:])
+    if not out[-1]:
+        return np.zeros(0, np.uint64), out
+    start = np.repeat(at[:-1] - out[:-1], made) + np.arange(out[-1])
+    reach = np.repeat(np.minimum(counts, width), made)
+    total = reach.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(width):
+            more = j < reach
+            total = np.where(more, total * MIX + words[np.where(more, start + j, 0)], total)
+    return mixed(total), out
