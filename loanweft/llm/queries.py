@@ -4,15 +4,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanweft.llm import forced_bpe
+from loanweft.llm import fingerprints, forced_bpe, ring
 from loanweft.llm.common import table
 
 
+def op1_bottom_k_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.with_neighbours(table(spark, folder, "documents"))
+
+
+def op5_bounded_load_ring(spark: SparkSession, folder: str) -> DataFrame:
+    placed = ring.assign(table(spark, folder, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return forced_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
+    "op5_bounded_load_ring": (op5_bounded_load_ring, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
 }
