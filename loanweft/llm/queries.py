@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import fingerprints, forced_bpe, ring
+from loanweft.llm import fingerprints, forced_bpe, ring, warc
 from loanweft.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_bottom_k_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.with_neighbours(table(spark, folder, "documents"))
 
 
+def op2_warc_index_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "range", "seq")
+
+
 def op5_bounded_load_ring(spark: SparkSession, folder: str) -> DataFrame:
     placed = ring.assign(table(spark, folder, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -25,6 +30,7 @@ def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
+    "op2_warc_index_merge": (op2_warc_index_merge, None),
     "op5_bounded_load_ring": (op5_bounded_load_ring, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
 }
