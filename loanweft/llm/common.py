@@ -123,18 +123,22 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def word_spans(low: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes of each text for which ``between`` is false."""
+    inside = ~between[low]
+    first = np.zeros(len(low) + 1, bool)
+    first[offsets] = True
+    before = np.r_[False, inside[:-1]] & ~first[:-1]
+    after = np.r_[inside[1:], False] & ~first[1:]
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts (A-Z lower-cased), and the texts' offsets in them."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     low = LOWER[data]
-    inside = ~SPACE[low]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets] = True
-    before = np.r_[False, inside[:-1]] & ~first[:-1]
-    starts = np.flatnonzero(inside & ~before)
-    after = np.r_[inside[1:], False] & ~first[1:]
-    ends = np.flatnonzero(inside & ~after) + 1
+    starts, ends = word_spans(low, offsets)
     return mixed(polynomial(low)(starts, ends)), np.searchsorted(starts, offsets)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import fingerprints, forced_bpe, ring, warc
+from loanweft.llm import fingerprints, forced_bpe, jaccard, ring, toxicity, warc
 from loanweft.llm.common import table
 
 
@@ -19,6 +19,17 @@ def op2_warc_index_merge(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "range", "seq")
 
 
+def op3_vertical_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_components(table(spark, folder, "documents"))
+
+
+def op4_weak_supervision_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_bounded_load_ring(spark: SparkSession, folder: str) -> DataFrame:
     placed = ring.assign(table(spark, folder, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -31,6 +42,8 @@ def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
     "op2_warc_index_merge": (op2_warc_index_merge, None),
+    "op3_vertical_jaccard_join": (op3_vertical_jaccard_join, None),
+    "op4_weak_supervision_toxicity": (op4_weak_supervision_toxicity, None),
     "op5_bounded_load_ring": (op5_bounded_load_ring, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
 }
