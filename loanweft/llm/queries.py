@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import fingerprints, forced_bpe, jaccard, ring, toxicity, warc
+from loanweft.llm import fingerprints, forced_bpe, jaccard, ring, substrings, toxicity, warc
 from loanweft.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return forced_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_prefix_doubling_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
     "op2_warc_index_merge": (op2_warc_index_merge, None),
@@ -46,4 +51,5 @@ QUERIES = {
     "op4_weak_supervision_toxicity": (op4_weak_supervision_toxicity, None),
     "op5_bounded_load_ring": (op5_bounded_load_ring, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
+    "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
 }
