@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import fingerprints, forced_bpe, jaccard, ring, substrings, toxicity, warc
+from loanweft.llm import decontaminate, fingerprints, forced_bpe, jaccard, ring, substrings, toxicity, training_order, warc
 from loanweft.llm.common import table
 
 
@@ -35,6 +35,15 @@ def op5_bounded_load_ring(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    made = training_order.materialised(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), key=20_240_601)
+    return made.select("slot", "shard", "doc_id", "sequence", "n_tokens", F.crc32(F.concat_ws(",", F.col("tokens").cast("array<string>")).cast("binary")).alias("ids_crc32"))
+
+
 def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return forced_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +59,8 @@ QUERIES = {
     "op3_vertical_jaccard_join": (op3_vertical_jaccard_join, None),
     "op4_weak_supervision_toxicity": (op4_weak_supervision_toxicity, None),
     "op5_bounded_load_ring": (op5_bounded_load_ring, None),
+    "op6_cgk_decontamination": (op6_cgk_decontamination, None),
+    "op7_training_order": (op7_training_order, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
     "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
 }
