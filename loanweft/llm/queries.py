@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import decontaminate, fingerprints, forced_bpe, jaccard, ring, substrings, toxicity, training_order, warc
+from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, ring, substrings, toxicity, training_order, warc
 from loanweft.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op7_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("slot", "shard", "doc_id", "sequence", "n_tokens", F.crc32(F.concat_ws(",", F.col("tokens").cast("array<string>")).cast("binary")).alias("ids_crc32"))
 
 
+def op8_crf_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html_crf.extract(pages, html_crf.fit(pages))
+
+
 def op9_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return forced_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op5_bounded_load_ring": (op5_bounded_load_ring, None),
     "op6_cgk_decontamination": (op6_cgk_decontamination, None),
     "op7_training_order": (op7_training_order, None),
+    "op8_crf_main_text": (op8_crf_main_text, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
     "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
 }
