@@ -76,7 +76,7 @@ def m1_numeric_statistics(spark, folder):
 def m1_exact_medians_by_rank(spark, folder):
     """The counting method, as used for columns with very many values."""
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    medians = features.exact_medians(spark.read.parquet(f"{folder}/lineitem.parquet"), names, few_values=1)
+    medians = features.exact_medians(spark.read.parquet(f"{folder}/lineitem.parquet"), names)
     return rounded(literal_table(spark, [tuple(medians[n] for n in names)], ", ".join(f"{n} double" for n in names)), *names)
 
 

@@ -322,8 +322,8 @@ def e12_rank_correlation(spark, folder):
                    "spearman_rank_correlation")
 
 
-def _comparison(spark, folder):
-    return evaluation.compare_candidates(scored(spark, folder), CANDIDATES)
+def _comparison(spark, folder, report):
+    return evaluation.compare_candidates(scored(spark, folder), CANDIDATES, reports=[report])[report]
 
 
 @register("e13_calibration_summary", CANDIDATE_ROWS + metrics_sql("long", "method") + bins_sql("long", "method") + """
@@ -332,21 +332,21 @@ SELECT m.method AS calibration_method, observed_bad_loan_rate, mean_predicted_ba
     SELECT method, round(sum(row_count * raw_gap) / sum(row_count), 6) AS weighted_mean_absolute_calibration_gap
     FROM bins GROUP BY method) USING (method)""")
 def e13_calibration_summary(spark, folder):
-    return rounded(_comparison(spark, folder)["calibration_summary"], "observed_bad_loan_rate", "log_loss", "brier_score",
+    return rounded(_comparison(spark, folder, "calibration_summary"), "observed_bad_loan_rate", "log_loss", "brier_score",
                    "mean_predicted_bad_loan_probability", "weighted_mean_absolute_calibration_gap")
 
 
 @register("e13_calibration_bands", CANDIDATE_ROWS + bins_sql("long", "method") + """
 SELECT * EXCLUDE (raw_gap, method), method AS calibration_method FROM bins""")
 def e13_calibration_bands(spark, folder):
-    return rounded(_comparison(spark, folder)["calibration_bands"], *BIN_VALUES)
+    return rounded(_comparison(spark, folder, "calibration_bands"), *BIN_VALUES)
 
 
 @register("e13_discrimination_summary", CANDIDATE_ROWS + metrics_sql("long", "method") + SPEARMAN + """
 SELECT method AS calibration_method, roc_auc, gini, average_precision,
   spearman_rank_correlation AS spearman_rank_correlation_to_uncalibrated FROM metrics JOIN spearman USING (method)""")
 def e13_discrimination_summary(spark, folder):
-    return rounded(_comparison(spark, folder)["discrimination_summary"], "roc_auc", "gini", "average_precision",
+    return rounded(_comparison(spark, folder, "discrimination_summary"), "roc_auc", "gini", "average_precision",
                    "spearman_rank_correlation_to_uncalibrated")
 
 
@@ -354,7 +354,7 @@ def e13_discrimination_summary(spark, folder):
 SELECT method AS calibration_method, score_decile, row_count, mean_predicted_bad_loan_probability,
   observed_bad_loan_rate, share_of_all_bad_loans, cumulative_bad_loan_share FROM deciles""")
 def e13_discrimination_deciles(spark, folder):
-    return rounded(_comparison(spark, folder)["discrimination_deciles"], *DECILE_VALUES)
+    return rounded(_comparison(spark, folder, "discrimination_deciles"), *DECILE_VALUES)
 
 
 @register("u1_threshold_reports", _wrapped(thresholds_sql("long", "method"), CANDIDATE_ROWS))

@@ -16,35 +16,22 @@ from loanweft.functions.numeric import ratio, row_log_loss
 from loanweft.operators.position import Order, exact_quantile_buckets, running_totals
 from loanweft.session import materialize
 
-MANY_PAIRS = 1_000_000  # from about this many distinct values on, value pairs are written once
 # Default probability thresholds.
 THRESHOLDS = (0.10, 0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
 
 
-def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = (),
-                    approx_scores: int | None = None) -> DataFrame:
+def distinct_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = ()) -> DataFrame:
     """Rows and bad rows per distinct score, with the totals of all higher scores.
 
     Equal scores are combined map-side, so a score shared by many rows is one
-    row here. ``approx_scores`` is about how many distinct scores the largest
-    group has, if known.
+    row here.
     """
-    if approx_scores is None:
-        approx_scores = _most_values(df, (score,), by)[0]
     grouped = df.groupBy(*by, F.col(score).alias("p")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("long")).alias("bad"))
-    return running_totals(grouped, "p", ("rows", "bad"), by, ascending=False, approx_rows=approx_scores)
+    return running_totals(grouped, "p", ("rows", "bad"), by, ascending=False)
 
 
-def _most_values(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> tuple[int, ...]:
-    """About how many distinct values each column has in the group with most of them."""
-    counts = df.groupBy(*by).agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)])
-    row = counts.agg(*[F.max(f"n{i}") for i in range(len(columns))]).first()
-    return tuple(value or 0 for value in row)
-
-
-def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = (),
-                        approx_scores: int | None = None) -> DataFrame:
+def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan", by: Sequence[str] = ()) -> DataFrame:
     """E1 with E2 to E5 and E11: ranking and probability quality per group.
 
     ROC AUC counts, for every good row, the bad rows with a higher score and
@@ -57,7 +44,7 @@ def probability_metrics(df: DataFrame, score: str = "p", label: str = "bad_loan"
     pairs_won = good.cast("double") * (F.col("bad_before").cast("double") + bad.cast("double") / 2.0)
     reached_bad = (F.col("bad_before") + bad).cast("double")
     reached = (F.col("rows_before") + rows).cast("double")
-    return distinct_scores(df, score, label, by, approx_scores).groupBy(*by).agg(
+    return distinct_scores(df, score, label, by).groupBy(*by).agg(
         F.sum(rows).alias("row_count"),
         (F.sum(bad) / F.sum(rows)).alias("observed_bad_loan_rate"),
         (F.sum(p * rows) / F.sum(rows)).alias("mean_predicted_bad_loan_probability"),
@@ -169,8 +156,7 @@ def score_deciles(df: DataFrame, score: str = "p", label: str = "bad_loan", key:
         F.try_divide(F.sum("bad_loan_count").over(so_far), all_bad).alias("cumulative_bad_loan_share"))
 
 
-def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = (),
-                     approx_values: tuple[int, int] | None = None) -> DataFrame:
+def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = ()) -> DataFrame:
     """E12. Spearman correlation with average ranks; NULL for constant input.
 
     Rows are folded to distinct pairs. Ranks of ``left`` are joined to the pairs
@@ -182,17 +168,13 @@ def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = (
     keys = list(by)
     present = df.where(F.col(left).isNotNull() & F.col(right).isNotNull())
     pairs = present.groupBy(*keys, F.col(left).alias("l"), F.col(right).alias("r")).agg(F.count(F.lit(1)).alias("n"))
-    if approx_values is None:
-        approx_values = _most_values(df, (left, right), keys)
-    if max(approx_values) > MANY_PAIRS:
-        pairs = materialize(pairs, "score-pairs")  # read for the ranks and for the join
+    pairs = materialize(pairs, "score-pairs")  # read for the ranks and for the join
     middle = F.col("n_before") + (F.col("n") + F.lit(1)) / F.lit(2.0)
-    left_ranks = running_totals(pairs.groupBy(*keys, "l").agg(F.sum("n").alias("n")), "l", ("n",), keys,
-                                approx_rows=approx_values[0]).select(*keys, "l", middle.alias("left_rank"))
+    left_ranks = running_totals(pairs.groupBy(*keys, "l").agg(F.sum("n").alias("n")), "l", ("n",), keys).select(*keys, "l", middle.alias("left_rank"))
     per_right = pairs.join(left_ranks, [*keys, "l"]).groupBy(*keys, "r").agg(
         F.sum(F.col("n") * F.col("left_rank")).alias("left_sum"),
         F.sum(F.col("n") * F.col("left_rank") * F.col("left_rank")).alias("left_square"), F.sum("n").alias("n"))
-    ranked = running_totals(per_right, "r", ("n",), keys, approx_rows=approx_values[1]).withColumn("right_rank", middle)
+    ranked = running_totals(per_right, "r", ("n",), keys).withColumn("right_rank", middle)
     n, rr = F.col("n").cast("double"), F.col("right_rank")
     total = F.sum(n)
     mean = (total + F.lit(1.0)) / F.lit(2.0)
@@ -205,7 +187,8 @@ def rank_correlation(df: DataFrame, left: str, right: str, by: Sequence[str] = (
 
 def evaluate_scores(df: DataFrame, score: str = "p", label: str = "bad_loan", key: str = "id",
                     by: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """E9. All four reports. Pass a written table: it is read several times."""
+    """E9. All four reports. The few columns that they read are written once."""
+    df = materialize(df.select(*by, key, score, label), "scored")
     enforce_scores(df, score, label, by)
     return {
         "probability_metrics": probability_metrics(df, score, label, by),
@@ -227,33 +210,42 @@ def unpivot_candidates(df: DataFrame, candidates: Mapping[str, str], reference:
     return df.select(key, label, F.col(candidates[reference]).alias("reference_p"), F.inline(listed))
 
 
-def compare_candidates(df: DataFrame, candidates: Mapping[str, str], reference: str = "uncalibrated",
-                       key: str = "id", label: str = "bad_loan", **tuning: int) -> dict[str, DataFrame]:
-    """E13. Four reports for several probability columns of the same rows, in method order.
+COMPARISONS = ("calibration_summary", "calibration_bands", "discrimination_summary", "discrimination_deciles")
+
 
-    Pass a written table: it is read several times.
+def compare_candidates(df: DataFrame, candidates: Mapping[str, str], reference: str = "uncalibrated", key: str = "id",
+                       label: str = "bad_loan", reports: Sequence[str] = COMPARISONS, **tuning: int) -> dict[str, DataFrame]:
+    """E13. Reports for several probability columns of the same rows, in method order; only those asked for are computed.
+
+    The columns that they read are written once, one row per row and method.
     """
-    long = unpivot_candidates(df, candidates, reference, key, label)
+    if unknown := set(reports) - set(COMPARISONS):
+        raise ValueError(f"no such reports: {sorted(unknown)}")
+    long = materialize(unpivot_candidates(df, candidates, reference, key, label), "scored")
     by = ["method_order", "method"]
     enforce_scores(long, "p", label, by)
-    # a few rows each, read by two reports
-    sizes = _most_values(long, ("reference_p", "p"), by)
-    metrics = materialize(probability_metrics(long, "p", label, by, sizes[1]), "metrics")
-    bins = materialize(calibration_bins(long, "p", label, by), "bins")
-    correlation = rank_correlation(long, "reference_p", "p", by, sizes)
     named = F.col("method").alias("calibration_method")
-    return {
-        "calibration_summary": metrics.join(weighted_calibration_gap(bins, by), by).orderBy("method_order").select(
+    made: dict[str, DataFrame] = {}
+    if {"calibration_summary", "discrimination_summary"} & set(reports):
+        metrics = materialize(probability_metrics(long, "p", label, by), "metrics")
+    if {"calibration_summary", "calibration_bands"} & set(reports):
+        bins = materialize(calibration_bins(long, "p", label, by), "bins")
+    if "calibration_summary" in reports:
+        made["calibration_summary"] = metrics.join(weighted_calibration_gap(bins, by), by).orderBy("method_order").select(
             named, "observed_bad_loan_rate", "mean_predicted_bad_loan_probability",
-            "weighted_mean_absolute_calibration_gap", "log_loss", "brier_score"),
-        "calibration_bands": bins.orderBy("bin_index", "method_order").select(
+            "weighted_mean_absolute_calibration_gap", "log_loss", "brier_score")
+    if "calibration_bands" in reports:
+        made["calibration_bands"] = bins.orderBy("bin_index", "method_order").select(
             named, "bin_index", "bin_lower", "bin_upper", "row_count", "mean_predicted_bad_loan_probability",
-            "observed_bad_loan_rate", "calibration_gap", "absolute_calibration_gap"),
-        "discrimination_summary": metrics.join(correlation, by).orderBy("method_order").select(
+            "observed_bad_loan_rate", "calibration_gap", "absolute_calibration_gap")
+    if "discrimination_summary" in reports:
+        correlation = rank_correlation(long, "reference_p", "p", by)
+        made["discrimination_summary"] = metrics.join(correlation, by).orderBy("method_order").select(
             named, "roc_auc", "gini", "average_precision",
-            F.col("spearman_rank_correlation").alias("spearman_rank_correlation_to_uncalibrated")),
-        "discrimination_deciles": score_deciles(long, "p", label, key, by, **tuning)
-        .orderBy("score_decile", "method_order").select(
+            F.col("spearman_rank_correlation").alias("spearman_rank_correlation_to_uncalibrated"))
+    if "discrimination_deciles" in reports:
+        made["discrimination_deciles"] = score_deciles(long, "p", label, key, by, **tuning).orderBy(
+            "score_decile", "method_order").select(
             named, "score_decile", "row_count", "mean_predicted_bad_loan_probability", "observed_bad_loan_rate",
-            "share_of_all_bad_loans", "cumulative_bad_loan_share"),
-    }
+            "share_of_all_bad_loans", "cumulative_bad_loan_share")
+    return made

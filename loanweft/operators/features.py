@@ -22,8 +22,6 @@ from loanweft.operators.position import Order, rows_at_ranks
 from loanweft.session import literal_table
 
 MISSING_CATEGORY = "Missing"
-FEW_VALUES = 10_000  # up to this many distinct values a column's median comes from value counts
-MAX_CATEGORIES = 10_000  # categories become vector slots, listed on the driver
 
 
 @dataclass(frozen=True)
@@ -33,36 +31,23 @@ class NumericStatistics:
     scale: float
 
 
-def _middle_ranks(rows: int) -> list[int]:
-    return sorted({(rows + 1) // 2, rows // 2 + 1})
+def _middle_ranks(rows: Column) -> Column:
+    half = ((rows - rows % 2) / 2).cast("bigint")
+    return F.array(half + rows % 2, half + 1)
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], few_values: int = FEW_VALUES, **tuning: int) -> dict[str, float]:
+def exact_medians(df: DataFrame, columns: Sequence[str], **tuning: int) -> dict[str, float]:
     """Median of the non-missing values per column, mean of the middle two for an even count.
 
-    Columns with few distinct values use Spark's exact ``percentile``, whose
-    state is one counter per distinct value. The others are ranked together by
-    counting passes, whose state does not depend on the data.
+    All columns are ranked together, each a group of its own.
     """
     if not columns:
         return {}
-    numeric = df.select(*[F.col(f"`{name}`").cast("double").alias(name) for name in columns])
-    distinct = numeric.agg(*[F.approx_count_distinct(f"`{name}`").alias(name) for name in columns]).first()
-    few = [name for name in columns if 0 < distinct[name] <= few_values]
-    many = [name for name in columns if distinct[name] > few_values]
-    medians: dict[str, float] = {}
-    if few:
-        row = numeric.agg(*[F.percentile(f"`{name}`", F.lit(0.5)).alias(name) for name in few]).first()
-        medians.update({name: row[name] for name in few})
-    if many:
-        indexed = numeric.select(*[F.col(f"`{name}`").alias(str(i)) for i, name in enumerate(many)])
-        long = indexed.unpivot([], [str(i) for i in range(len(many))], "_column", "_value").where(
-            F.col("_value").isNotNull()).withColumn("_column", F.col("_column").cast("int"))
-        found, sizes = rows_at_ranks(long, [Order("_value")], _middle_ranks, ["_column"], **tuning)
-        for group, keys in found.items():
-            medians[many[group[0]]] = sum(keys[k][0] for k in _middle_ranks(sizes[group])) / len(
-                _middle_ranks(sizes[group]))
-    return medians
+    indexed = df.select(*[F.col(f"`{name}`").cast("double").alias(str(i)) for i, name in enumerate(columns)])
+    long = indexed.unpivot([], [str(i) for i in range(len(columns))], "_column", "_value").where(
+        F.col("_value").isNotNull()).withColumn("_column", F.col("_column").cast("int"))
+    found, _ = rows_at_ranks(long, [Order("_value")], _middle_ranks, ["_column"], **tuning)
+    return {columns[group[0]]: sum(key[0] for key in keys.values()) / len(keys) for group, keys in found.items()}
 
 
 def numeric_statistics(df: DataFrame, columns: Sequence[str], **tuning: int) -> dict[str, NumericStatistics]:
@@ -97,15 +82,20 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], **tuning: int) ->
     return result
 
 
-def categories(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """M2. Categories per column in code-point order, missing values as one of them."""
+def categories(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict[str, list[str]]:
+    """M2. Categories per column in code-point order, missing values as one of them.
+
+    Every category is a slot of the vectors and so is listed; ``max_categories``
+    refuses a column with more of them.
+    """
     if not columns:
         return {}
     filled = df.select(*[filled_category(name).alias(name) for name in columns])
     long = filled.unpivot([], list(columns), "column_name", "value").groupBy("column_name", "value").count()
-    rows = long.select("column_name", "value").limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise DataCheckError(f"more than {max_categories} categories in {list(columns)}")
+    if max_categories is not None and (wide := long.groupBy("column_name").agg(F.count("*").alias("n")).where(
+            F.col("n") > max_categories).collect()):
+        raise DataCheckError(f"more than {max_categories} categories in {sorted(row.column_name for row in wide)}")
+    rows = long.select("column_name", "value").collect()
     listed: dict[str, list[str]] = {name: [] for name in columns}
     for row in rows:
         listed[row.column_name].append(row.value)

@@ -57,12 +57,12 @@ def band_mix(df: DataFrame, cohort: str, band: str = "risk_band", label: str = "
 def quantile_edges(df: DataFrame, column: str, bins: int = 10, **tuning: int) -> list[float]:
     """D4. Exact upper edges of equal-frequency bins: values at ranks ``ceil(i n / bins)``."""
 
-    def ranks(rows: int) -> list[int]:
-        return [-(-i * rows // bins) for i in range(1, bins)]
+    def ranks(rows: Column) -> Column:
+        over = [F.lit(i) * rows + (bins - 1) for i in range(1, bins)]
+        return F.array(*[((x - x % bins) / bins).cast("bigint") for x in over])
 
-    found, sizes = rows_at_ranks(df.where(F.col(column).isNotNull()), [Order(column)], ranks, **tuning)
-    keys = found.get((), {})
-    return sorted({float(keys[k][0]) for k in ranks(sizes.get((), 0)) if k in keys})
+    found, _ = rows_at_ranks(df.where(F.col(column).isNotNull()), [Order(column)], ranks, **tuning)
+    return sorted({float(key[0]) for key in found.get((), {}).values()})
 
 
 def stability_index(df: DataFrame, column: str, cohort: str, reference: DataFrame, edges: Sequence[float]) -> DataFrame:

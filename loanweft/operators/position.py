@@ -1,34 +1,28 @@
-"""Exact positions in a total order, without sorting all rows in one place.
+"""Exact positions in a total order, one way for every number of rows and groups.
 
-``rows_at_ranks`` finds the key of the k-th row by counting. Each pass is one
-``groupBy`` on a small cell number, so Spark combines it map-side and ships a
-few thousand counters, whatever the number of rows and however often one key
-repeats. A cell is narrowed until it is small or holds one value; a repeated
-value is then narrowed on the next order column. Splits and deciles follow as
-comparisons with a handful of literal keys, a map-only projection.
+Rows are folded to distinct keys first, map-side too, so a value that very many
+rows share is one key. The keys are written once in range order, each with the
+number of its range; the ranges' totals, a few numbers per range and group,
+give every range its offset, and a window runs inside a range. Hence no task
+holds more than a range, and a range's size is a parameter.
 
-``running_totals`` gives prefix sums over rows that are already grouped to
-distinct keys: bucket sums first, then a window inside each bucket.
+``rows_at_ranks`` and ``exact_quantile_buckets`` look up the ranges that hold a
+wanted rank and rank only those. ``running_totals`` gives prefix sums over rows
+that are already grouped to distinct keys.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanweft.session import materialize
 
-SMALL_ROWS = 200_000  # rows that one window partition may hold
-CELLS = 1024  # counters per cell and pass
-MAX_GROUPS = 512  # groups are compiled into literals
-MAX_EDGES = 4096  # bucket edges of running_totals
-BROADCAST_ROWS = 200_000  # offsets of running_totals, a few numbers each
+ROWS_PER_PART = 1_000_000  # distinct keys in a range
 
 Group = tuple
 Key = tuple
@@ -45,298 +39,142 @@ class Order:
         return F.col(self.name).asc() if self.ascending else F.col(self.name).desc()
 
 
-@dataclass
-class _Cell:
-    """A run of rows, contiguous in the order, that holds wanted ranks."""
-
-    group: Group
-    fixed: Key  # values of the leading order columns
-    low: object  # smallest value of the current column
-    high: object
-    low_code: float | None
-    high_code: float | None
-    below: int  # rows of the group before this run
-    rows: int
-    ranks: list[int] = field(default_factory=list)
-
-    @property
-    def level(self) -> int:
-        return len(self.fixed)
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)
-
-
-def _number(df: DataFrame, name: str) -> Column:
-    """The column as a double; the mapping never reverses two values."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    if isinstance(kind, T.StringType):
-        return F.lit(0.0)
-    raise TypeError(f"cannot order by {name} of type {kind.simpleString()}; cast it to date or timestamp")
-
-
-def _text_number(value: str, prefix: int) -> float:
-    part = value.encode("utf-8")[prefix:prefix + 6]
-    return float(int.from_bytes(part.ljust(6, b"\0"), "big"))
-
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal names, where NULL equals NULL; the columns of ``left`` stay."""
+    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
+    test = F.lit(True)
+    for name in names:
+        test = test & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
+    return left.join(renamed, test, how).drop(*[f"_r_{name}" for name in names])
 
-def _common_prefix(low: str, high: str) -> int:
-    a, b = low.encode("utf-8"), high.encode("utf-8")
-    size = 0
-    while size < min(len(a), len(b)) and a[size] == b[size]:
-        size += 1
-    return size
 
+def _in_ranges(df: DataFrame, by: Sequence[str], orders: Sequence[Order], rows_per_part: int) -> DataFrame:
+    """``df`` (one row per group and key) written in range order, with ``_part``, the number of the range."""
+    kept = materialize(df, "distinct-keys")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-kept.count() // rows_per_part))
+    placed = kept.repartitionByRange(parts, *by, *[order.sort() for order in orders])
+    return materialize(placed.withColumn("_part", F.spark_partition_id()), "ranges")
 
-def _code(df: DataFrame, order: Order, cell: _Cell) -> tuple[Column, float, float]:
-    """A double that grows along the order, with its bounds inside the cell."""
-    if _is_text(df, order.name):
-        prefix = _common_prefix(cell.low, cell.high)
-        digits = F.rpad(F.substring(F.hex(order.name), 2 * prefix + 1, 12), 12, "0")
-        code = F.conv(digits, 16, 10).cast("double")
-        low, high = _text_number(cell.low, prefix), _text_number(cell.high, prefix)
-    else:
-        code, low, high = _number(df, order.name), cell.low_code, cell.high_code
-    if order.ascending:
-        return code, low, high
-    return -code, -high, -low
 
+def _exclusive(window, column: str) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-def _inside(cell: _Cell, by: Sequence[str], orders: Sequence[Order]) -> Column:
-    test = F.lit(True)
-    for name, value in zip(by, cell.group):
-        test = test & F.col(name).eqNullSafe(F.lit(value))
-    for order, value in zip(orders, cell.fixed):
-        test = test & (F.col(order.name) == F.lit(value))
-    current = F.col(orders[cell.level].name)
-    return test & (current >= F.lit(cell.low)) & (current <= F.lit(cell.high))
 
+def _offsets(ranged: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Per group and range the totals ``_<sum>_part`` and those of the group's earlier ranges, ``_<sum>_offset``."""
+    per_part = ranged.groupBy(*by, "_part").agg(*[F.sum(s).alias(f"_{s}_part") for s in sums])
+    across = Window.partitionBy(*by).orderBy("_part")
+    return per_part.select(*by, "_part", *[f"_{s}_part" for s in sums],
+                           *[_exclusive(across, f"_{s}_part").alias(f"_{s}_offset") for s in sums])
 
-def _tag(cells: Sequence[_Cell], by: Sequence[str], orders: Sequence[Order]) -> Column:
-    tag = F.when(_inside(cells[0], by, orders), F.lit(0))
-    for number, cell in enumerate(cells[1:], start=1):
-        tag = tag.when(_inside(cell, by, orders), F.lit(number))
-    return tag
 
+def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), ascending: bool = True,
+                   rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Add ``<sum>_before``: totals of the group's rows that come earlier in ``order``.
 
-def _bounds(df: DataFrame, name: str, suffix: str) -> list[Column]:
-    code = _number(df, name)
-    return [
-        F.min(name).alias(f"_low{suffix}"),
-        F.max(name).alias(f"_high{suffix}"),
-        F.min(code).alias(f"_low_code{suffix}"),
-        F.max(code).alias(f"_high_code{suffix}"),
-    ]
+    ``df`` has one row per group and ``order`` value, so no key repeats.
+    """
+    orders = [Order(order, ascending)]
+    ranged = _in_ranges(df, by, orders, rows_per_part)
+    inside = Window.partitionBy(*by, "_part").orderBy(orders[0].sort())
+    joined = _same(ranged, _offsets(ranged, by, sums), [*by, "_part"])
+    return joined.select(*df.columns, *[(_exclusive(inside, s) + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])
 
 
-def _first_cells(df: DataFrame, by: Sequence[str], orders: Sequence[Order],
-                 ranks: Callable[[int], Sequence[int]]) -> tuple[list[_Cell], dict[Group, int]]:
+def _refuse_unusable(df: DataFrame, orders: Sequence[Order]) -> None:
     unusable = F.lit(False)
     for order in orders:
-        column = F.col(order.name)
+        column, kind = F.col(order.name), df.schema[order.name].dataType
+        if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)):
+            raise TypeError(f"cannot order by {order.name} of type {kind.simpleString()}; cast it to date or timestamp")
         unusable = unusable | column.isNull()
-        if isinstance(df.schema[order.name].dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
             unusable = unusable | F.isnan(column) | (F.abs(column) == float("inf"))
-    totals = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(unusable).alias("_unusable"),
-             *_bounds(df, orders[0].name, ""))
-        .limit(MAX_GROUPS + 1)
-        .collect()
-    )
-    if len(totals) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups of {list(by)}")
-    cells, sizes = [], {}
-    for row in totals:
-        group = tuple(row[name] for name in by)
-        sizes[group] = row["_rows"]
-        if row["_unusable"]:
-            raise ValueError(f"{row['_unusable']} rows have no usable order key {group}")
-        wanted = sorted({k for k in ranks(row["_rows"]) if 1 <= k <= row["_rows"]})
-        if wanted:
-            cells.append(_Cell(group, (), row["_low"], row["_high"], row["_low_code"], row["_high_code"],
-                               0, row["_rows"], wanted))
-    return cells, sizes
-
-
-def _refine(df: DataFrame, by: Sequence[str], orders: Sequence[Order], cells: Sequence[_Cell],
-            cell_count: int) -> list[dict]:
-    """Histogram of every cell in one aggregation, ordered by cell and position."""
-    index = None
-    for number, cell in enumerate(cells):
-        code, low, high = _code(df, orders[cell.level], cell)
-        scale = min((cell_count - 2) / (high - low), 1e300) if high > low else 0.0
-        step = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(float(cell_count - 2)), (code - F.lit(low)) * F.lit(scale))))
-        # the smallest code gets a slot of its own, so every pass makes progress
-        slot = F.when(code <= F.lit(low), F.lit(0)).otherwise((step + F.lit(1)).cast("int"))
-        index = F.when(F.col("_tag") == number, slot) if index is None else index.when(F.col("_tag") == number, slot)
-    levels = {cell.level for cell in cells}
-    measures = [F.count(F.lit(1)).alias("_rows")]
-    for level in sorted(levels | {level + 1 for level in levels if level + 1 < len(orders)}):
-        measures += _bounds(df, orders[level].name, str(level))
-    tagged = df.withColumn("_tag", _tag(cells, by, orders)).where(F.col("_tag").isNotNull())
-    counted = tagged.withColumn("_slot", index).groupBy("_tag", "_slot").agg(*measures).collect()
-    return sorted((row.asDict() for row in counted), key=lambda row: (row["_tag"], row["_slot"]))
-
-
-def _pick_small(df: DataFrame, by: Sequence[str], orders: Sequence[Order], cells: Sequence[_Cell]) -> dict:
-    """Keys at the wanted ranks of small cells, by one window per cell."""
-    tagged = df.withColumn("_tag", _tag(cells, by, orders)).where(F.col("_tag").isNotNull())
-    numbered = tagged.withColumn("_pos", F.row_number().over(
-        Window.partitionBy("_tag").orderBy(*[order.sort() for order in orders])))
-    wanted = F.lit(False)
-    for number, cell in enumerate(cells):
-        wanted = wanted | ((F.col("_tag") == number) & F.col("_pos").isin([k - cell.below for k in cell.ranks]))
-    found = {}
-    names = [order.name for order in orders]
-    for row in numbered.where(wanted).select("_tag", "_pos", *names).collect():
-        cell = cells[row["_tag"]]
-        found[(cell.group, row["_pos"] + cell.below)] = tuple(row[name] for name in names)
-    return found
+    if bad := df.where(unusable).count():
+        raise ValueError(f"{bad} rows have no usable order key")
 
 
-def rows_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[int], Sequence[int]],
-                  by: Sequence[str] = (), small_rows: int = SMALL_ROWS, cells: int = CELLS,
-                  ) -> tuple[dict[Group, dict[int, Key]], dict[Group, int]]:
-    """Keys of the rows at 1-based ranks, and the row count, per group.
+def keys_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[Column], Column], by: Sequence[str] = (),
+                  rows_per_part: int = ROWS_PER_PART) -> tuple[DataFrame, DataFrame]:
+    """(by, _rank, order columns) of the rows at 1-based ranks, and (by, _total), the rows per group; both written.
 
-    ``ranks`` maps a group's row count to the wanted ranks. With several order
-    columns the whole key must be unique. A ``None`` in a key means that the
-    rank is the last row of that tie, so the remaining columns do not matter.
+    ``ranks`` makes an array of wanted ranks from a group's row count; those
+    outside 1 to the count are left out. With several order columns the key at
+    a wanted rank must belong to one row, or its position is not defined.
     """
-    columns = list(dict.fromkeys([*by, *[order.name for order in orders]]))
-    df = df.select(*columns)
-    pending, sizes = _first_cells(df, by, orders, ranks)
-    found: dict[Group, dict[int, Key]] = {cell.group: {} for cell in pending}
-    last = len(orders) - 1
-    while pending:
-        small = [cell for cell in pending if cell.rows <= small_rows]
-        large = [cell for cell in pending if cell.rows > small_rows]
-        pending = []
-        if small:
-            for (group, rank), key in _pick_small(df, by, orders, small).items():
-                found[group][rank] = key
-        if not large:
-            break
-        passed: dict[int, int] = {}
-        for row in _refine(df, by, orders, large, cells):
-            cell = large[row["_tag"]]
-            before = cell.below + passed.get(row["_tag"], 0)
-            passed[row["_tag"]] = passed.get(row["_tag"], 0) + row["_rows"]
-            inside = [k for k in cell.ranks if before < k <= before + row["_rows"]]
-            if not inside:
-                continue
-            level = cell.level
-            low, high = row[f"_low{level}"], row[f"_high{level}"]
-            if low != high:
-                pending.append(_Cell(cell.group, cell.fixed, low, high, row[f"_low_code{level}"],
-                                     row[f"_high_code{level}"], before, row["_rows"], inside))
-                continue
-            fixed = (*cell.fixed, low)
-            if level == last:
-                if last and row["_rows"] > 1:
-                    raise ValueError(f"order key {fixed} is not unique")
-                found[cell.group].update({k: fixed for k in inside})
-                continue
-            if inside[-1] == before + row["_rows"]:
-                found[cell.group][inside.pop()] = fixed + (None,) * (last - level)
-            if inside:
-                pending.append(_Cell(cell.group, fixed, row[f"_low{level + 1}"], row[f"_high{level + 1}"],
-                                     row[f"_low_code{level + 1}"], row[f"_high_code{level + 1}"],
-                                     before, row["_rows"], inside))
-    return found, sizes
-
-
-def is_after(orders: Sequence[Order], key: Key) -> Column:
-    """True for rows that come strictly after the key in the order."""
+    names = [order.name for order in orders]
+    narrow = df.select(*dict.fromkeys([*by, *names]))
+    _refuse_unusable(narrow, orders)
+    ranged = _in_ranges(narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_n")), by, orders, rows_per_part)
+    offsets = materialize(_offsets(ranged, by, ["_n"]), "offsets")
+    totals = materialize(offsets.groupBy(*by).agg(F.sum("__n_part").alias("_total")), "totals")
+    # short tables: ranges per group, and ranks per group
+    placed = _same(offsets, totals, by) if by else offsets.withColumn("_total", totals.select("_total").scalar())
+    inside = F.filter(F.array_distinct(ranks(F.col("_total"))), lambda k: (k > F.col("__n_offset")) & (k <= F.col("__n_offset") + F.col("__n_part")))
+    wanted = placed.select(*by, "_part", "__n_offset", inside.alias("_ranks")).where(F.size("_ranks") > 0)
+    window = Window.partitionBy(*by, "_part").orderBy(*[order.sort() for order in orders])
+    counted = _same(ranged, wanted, [*by, "_part"]).withColumn("_before", _exclusive(window, "_n") + F.col("__n_offset"))
+    own = F.filter("_ranks", lambda k: (k > F.col("_before")) & (k <= F.col("_before") + F.col("_n")))
+    found = materialize(counted.select(*dict.fromkeys([*by, *names]), "_n", F.explode(own).alias("_rank")), "ranks")
+    if len(orders) > 1 and (repeated := found.where("_n > 1").limit(1).collect()):
+        raise ValueError(f"order key {tuple(repeated[0][name] for name in names)} is not unique")
+    return found.drop("_n"), totals
+
+
+def rows_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[Column], Column], by: Sequence[str] = (),
+                  rows_per_part: int = ROWS_PER_PART) -> tuple[dict[Group, dict[int, Key]], dict[Group, int]]:
+    """``keys_at_ranks`` as values, for groups that are few by nature, such as columns: keys by group and rank, rows by group."""
+    found, totals = keys_at_ranks(df, orders, ranks, by, rows_per_part)
+    sizes = {tuple(row[name] for name in by): row["_total"] for row in totals.collect() if row["_total"]}
+    keys: dict[Group, dict[int, Key]] = {group: {} for group in sizes}
+    for row in found.collect():
+        keys[tuple(row[name] for name in by)][row["_rank"]] = tuple(row[order.name] for order in orders)
+    return keys, sizes
+
+
+def is_after(orders: Sequence[Order], key: Sequence[Column | None]) -> Column:
+    """True for rows that come strictly after the key in the order; a None ends the comparison."""
     test = F.lit(False)
     for order, value in reversed(list(zip(orders, key))):
         if value is None:
             test = F.lit(False)
             continue
         column = F.col(order.name)
-        beyond = column > F.lit(value) if order.ascending else column < F.lit(value)
-        test = beyond | ((column == F.lit(value)) & test)
+        beyond = column > value if order.ascending else column < value
+        test = beyond | ((column == value) & test)
     return test
 
 
-def bucket_number(orders: Sequence[Order], cuts: dict[Group, Sequence[Key]], by: Sequence[str] = ()) -> Column:
-    """How many of the group's cut keys lie before the row: 0 for the first bucket."""
-    number = None
-    for group, keys in cuts.items():
-        passed = F.lit(0)
-        for key in keys:
-            passed = passed + is_after(orders, key).cast("int")
-        if not by:
-            return passed
-        match = F.lit(True)
-        for name, value in zip(by, group):
-            match = match & F.col(name).eqNullSafe(F.lit(value))
-        number = F.when(match, passed) if number is None else number.when(match, passed)
-    return F.lit(0) if number is None else number
-
-
-def exact_quantile_buckets(df: DataFrame, orders: Sequence[Order], buckets: int, by: Sequence[str] = (),
-                           name: str = "bucket", **tuning: int) -> DataFrame:
-    """Quantile cut on position, buckets 1..n from the front of the order.
-
-    Row i of n (from 0) goes to ``max(1, ceil(i * buckets / (n - 1)))``.
-    """
-
-    def ends(rows: int) -> list[int]:
-        return [d * (rows - 1) // buckets + 1 for d in range(1, buckets)]
-
-    found, sizes = rows_at_ranks(df, orders, ends, by, **tuning)
-    for group, rows in sizes.items():
-        if rows < buckets:
-            raise ValueError(f"{rows} rows cannot fill {buckets} buckets {group}")
-    cuts = {group: [found[group][k] for k in ends(sizes[group])] for group in found}
-    return df.withColumn(name, (bucket_number(orders, cuts, by) + F.lit(1)).cast("int"))
+def bucket_number(orders: Sequence[Order], cuts: Sequence[Key]) -> Column:
+    """How many of a few cut keys lie before the row: 0 for the first bucket."""
+    passed = F.lit(0)
+    for key in cuts:
+        passed = passed + is_after(orders, [None if value is None else F.lit(value) for value in key]).cast("int")
+    return passed
 
 
-def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), ascending: bool = True,
-                   approx_rows: int | None = None, bucket_rows: int = 1_000_000) -> DataFrame:
-    """Add ``<sum>_before``: totals of the group's rows that come earlier in ``order``.
+def exact_quantile_buckets(df: DataFrame, orders: Sequence[Order], buckets: int, by: Sequence[str] = (), name: str = "bucket",
+                           rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Quantile cut on position, buckets 1..n from the front of the order.
 
-    ``df`` has one row per group and ``order`` value, so no key repeats. Beyond
-    ``bucket_rows`` rows it is written once and cut into value ranges; only the
-    per-range totals are summed per group and joined back.
+    Row i of n (from 0) goes to ``max(1, ceil(i * buckets / (n - 1)))``. The
+    groups' cut keys are a table, at most one row per group, that is joined to
+    the rows.
     """
 
-    def exclusive(window: Window, column: str) -> Column:
-        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    def sort(column: str) -> Column:
-        return F.col(column).asc() if ascending else F.col(column).desc()
-
-    if approx_rows is None:
-        approx_rows = df.count()
-    if approx_rows <= bucket_rows:
-        window = Window.partitionBy(*by).orderBy(sort(order))
-        return df.select("*", *[exclusive(window, s).alias(f"{s}_before") for s in sums])
-
-    df = materialize(df, "distinct-keys")
-    parts = min(math.ceil(approx_rows / bucket_rows) * 2, MAX_EDGES)
-    fractions = [i / parts for i in range(1, parts)]
-    quantiles = df.groupBy(*by).agg(F.percentile_approx(order, fractions, 10_000).alias("_edges")).limit(
-        MAX_GROUPS + 1).collect()
-    if len(quantiles) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups of {list(by)}")
-    edges = sorted({value for row in quantiles for value in row["_edges"]})
-    edges = edges[::math.ceil(len(edges) / MAX_EDGES)] if edges else edges
-    bucketed = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol=order, outputCol="_part").transform(df)
-    per_part = bucketed.groupBy(*by, "_part").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
-    across = Window.partitionBy(*by).orderBy(sort("_part"))
-    offsets = per_part.select(*by, "_part", *[exclusive(across, f"_{s}").alias(f"_{s}_offset") for s in sums])
-    if len(quantiles) * len(edges) <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    inside = Window.partitionBy(*by, "_part").orderBy(sort(order))
-    joined = bucketed.join(offsets, [*by, "_part"])
-    return joined.select(*df.columns, *[(exclusive(inside, s) + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])
+    def ends(total: Column) -> Column:
+        def end(d: Column) -> Column:
+            steps = d * (total - 1)
+            return ((steps - steps % buckets) / buckets).cast("bigint") + 1
+
+        return F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), end)
+
+    found, totals = keys_at_ranks(df, orders, ends, by, rows_per_part)
+    if short := totals.where(F.col("_total") < buckets).limit(1).collect():
+        raise ValueError(f"{short[0]['_total']} rows cannot fill {buckets} buckets {tuple(short[0][n] for n in by)}")
+    key = F.struct(*[F.col(order.name).alias(f"k{i}") for i, order in enumerate(orders)])
+    cuts = found.groupBy(*by).agg(F.collect_list(key).alias("_cuts"))
+    placed = _same(df, cuts, by, "left") if by else df.withColumn("_cuts", cuts.select("_cuts").scalar())
+    passed = F.filter("_cuts", lambda cut: is_after(orders, [cut[f"k{i}"] for i in range(len(orders))]))
+    return placed.withColumn(name, (F.coalesce(F.size(passed), F.lit(0)) + F.lit(1)).cast("int")).drop("_cuts")

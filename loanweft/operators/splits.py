@@ -47,7 +47,7 @@ class PositionSplit:
     names: tuple[str, ...]
 
     def part(self) -> Column:
-        number = bucket_number(self.orders, {(): list(self.boundaries)})
+        number = bucket_number(self.orders, self.boundaries)
         return F.element_at(F.array(*[F.lit(name) for name in self.names]), number + F.lit(1))
 
     def apply(self, df: DataFrame, column: str = SPLIT_COLUMN) -> DataFrame:
@@ -56,17 +56,11 @@ class PositionSplit:
 
 def _fit(df: DataFrame, date: str, key: str, names: Sequence[str], ends, whole_months: bool, **tuning) -> PositionSplit:
     orders = (Order(date), Order(key))
-    wanted: list[int] = []
-
-    def ranks(rows: int) -> list[int]:
-        wanted[:] = ends(rows)
-        return wanted
-
-    found, _ = rows_at_ranks(df, orders, ranks, **tuning)
+    found, sizes = rows_at_ranks(df, orders, lambda n: F.array(*ends(n)), **tuning)
     keys = found.get((), {})
-    if any(k not in keys for k in wanted) or not wanted:
+    if len(keys) != len(names) - 1:
         raise DataCheckError("too few rows: every part of the split needs at least one row")
-    boundaries = [keys[k] for k in wanted]
+    boundaries = [keys[k] for k in sorted(keys)]
     if whole_months:
         boundaries = [(boundary[0], None) for boundary in boundaries]
     return PositionSplit(orders, tuple(boundaries), tuple(names))
@@ -81,9 +75,9 @@ def fit_time_split(df: DataFrame, date: str = "issue_month", key: str = "id", tr
     """
     require_fractions(train=train, validation=validation, test=test)
 
-    def ends(rows: int) -> list[int]:
-        first = int(rows * train)
-        return [first, first + int(rows * validation)]
+    def ends(rows: Column) -> list[Column]:
+        first = F.floor(rows * F.lit(train)).cast("bigint")
+        return [first, first + F.floor(rows * F.lit(validation)).cast("bigint")]
 
     return _fit(df, date, key, SPLIT_NAMES, ends, whole_months, **tuning)
 
@@ -93,7 +87,7 @@ def fit_halving(df: DataFrame, date: str = "issue_month", key: str = "id", fract
     """W3. First ``int(n * fraction)`` rows in time order against the rest."""
     if not 0 < fraction < 1:
         raise ValueError("fraction must lie between 0 and 1")
-    return _fit(df, date, key, names, lambda rows: [int(rows * fraction)], False, **tuning)
+    return _fit(df, date, key, names, lambda rows: [F.floor(rows * F.lit(fraction)).cast("bigint")], False, **tuning)
 
 
 def split_summary(df: DataFrame, date: str = "issue_month", target: str = "bad_loan", split: str = SPLIT_COLUMN,

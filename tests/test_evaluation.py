@@ -48,7 +48,7 @@ def test_probability_metrics(spark, frame):
 def test_metrics_by_group_and_by_bucket(spark, frame, monkeypatch):
     frame = frame.assign(m=frame.id % 2)
     original = evaluation.running_totals
-    monkeypatch.setattr(evaluation, "running_totals", lambda *a, **k: original(*a, **{**k, "bucket_rows": 7}))
+    monkeypatch.setattr(evaluation, "running_totals", lambda *a, **k: original(*a, **{**k, "rows_per_part": 7}))
     rows = evaluation.probability_metrics(spark.createDataFrame(frame), by=["m"]).collect()
     assert len(rows) == 2
     for row in rows:
@@ -106,7 +106,7 @@ def test_thresholds(spark, frame):
 
 
 def test_deciles(spark, frame):
-    got = evaluation.score_deciles(spark.createDataFrame(frame), small_rows=20, cells=8).orderBy("score_decile").toPandas()
+    got = evaluation.score_deciles(spark.createDataFrame(frame), rows_per_part=20).orderBy("score_decile").toPandas()
     local = frame.sort_values(["p", "id"], ascending=[False, True]).reset_index(drop=True)
     local["d"] = pd.qcut(local.index, 10, labels=range(1, 11)).astype(int)
     table = local.groupby("d").agg(n=("p", "size"), bad=("bad_loan", "sum"), low=("p", "min"), high=("p", "max"))

@@ -28,8 +28,8 @@ COLUMNS = features.FeatureColumns(("income", "flat"), ("length",))
 
 def test_median_of_an_even_count_is_the_mean_of_the_middle(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, None), (100.0, 5.0)], "a double, b double")
-    for few in (1, 100):
-        assert features.exact_medians(df, ["a", "b"], few_values=few, small_rows=1, cells=4) == {"a": 2.5, "b": 5.0}
+    for size in (1, 100):
+        assert features.exact_medians(df, ["a", "b"], rows_per_part=size) == {"a": 2.5, "b": 5.0}
 
 
 def test_numeric_statistics(spark, loans):

@@ -100,7 +100,7 @@ def test_split_sizes_and_ties(spark):
     df = spark.range(101).select("id", F.when(F.col("id") < 90, "Jan-2015").otherwise("Feb-2015").alias("issue_d"),
                                  (F.col("id") % 2).cast("int").alias("bad_loan"))
     dated = splits.add_parsed_month(df)
-    split = splits.fit_time_split(dated, small_rows=3, cells=4)
+    split = splits.fit_time_split(dated, rows_per_part=3)
     summary = splits.split_summary(split.apply(dated)).collect()
     assert [row.row_count for row in summary] == [70, 15, 16]
     assert {row.id for row in split.apply(dated).where("modeling_split = 'train'").collect()} == set(range(70))
@@ -122,7 +122,7 @@ def test_monitoring(spark):
     bands = [row.b for row in df.select(monitoring.risk_band(F.col("p")).alias("b")).collect()]
     assert bands == ["A", "B", "E", None]
     reference = spark.range(1000).select(F.col("id").cast("double").alias("v"))
-    edges = monitoring.quantile_edges(reference, "v", small_rows=10, cells=8)
+    edges = monitoring.quantile_edges(reference, "v", rows_per_part=10)
     assert edges == [99.0 + 100 * i for i in range(9)]
     drift = monitoring.stability_index(reference.withColumn("m", F.lit(1)).union(
         reference.select(F.col("v") / 10, F.lit(2))), "v", "m", reference, edges).collect()
