@@ -207,9 +207,9 @@ def g13_selection_report(spark, folder):
     return governance.selection_report(_catalog(spark, folder))
 
 
-@register("w7_column_order", FINAL + "SELECT modeling_base_column_order, column_name FROM selected WHERE modeling_base_column_order <= 5")
+@register("w7_column_order", FINAL + "SELECT modeling_base_column_order, column_name FROM selected")
 def w7_column_order(spark, folder):
-    return governance.selected_columns(_catalog(spark, folder)).where("modeling_base_column_order <= 5")
+    return governance.selected_columns(_catalog(spark, folder))
 
 
 BASE_COLUMNS = ["id", "url", "issue_d", "addr_state", "annual_inc", "application_type", "dti", "earliest_cr_line", "emp_length",

@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 from driver_queries.views import (
     LABELED_COLUMNS, LOAN_COLUMNS, LOANS, dated_table, labeled, loans, month_sql, rounded, split_loans, table)
 from loanweft.functions import text
+from loanweft.functions.checks import require_columns, require_fractions, require_no_duplicate_columns
 from loanweft.functions.dates import month_text, parse_month
 from loanweft.functions.text import parse_list, strip
 from loanweft.operators import labels, profile, quality, sets, splits
 from loanweft.operators.governance import USE_CASES
-from loanweft.session import shared_path
+from loanweft.operators.position import Order, row_positions
+from loanweft.session import literal_table, shared_path
 from loanweft.sources import readers, writers
 from loanweft.streaming import label_new_files
 
@@ -70,17 +72,110 @@ def s5_split_scan(spark, folder):
     return readers.read_split(spark, path, "validation").select("id", "issue_d", "bad_loan")
 
 
-@register("s6_metadata_table", """
-SELECT trim(c_name) AS customer, coalesce(nullif(c_mktsegment, 'BUILDING'), '') AS segment FROM customer""")
+@register("s6_metadata_table", LOANS + " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, CASE WHEN count({name}) = 0 THEN '' ELSE 'used' END AS remark FROM loans" for name, _ in LOAN_COLUMNS))
 def s6_metadata_table(spark, folder):
-    """A CSV with padded and missing cells, read back clean."""
+    """A CSV about the columns of a table, with padded and missing cells, read back clean."""
     path = scratch(spark)
-    table(spark, folder, "customer").select(
-        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("customer"),
-        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"),
+    counted = quality.missingness_report(loans(spark, folder).select(*[name for name, _ in LOAN_COLUMNS]))
+    counted.select(
+        F.concat(F.lit("  "), F.col("column_name"), F.lit(" ")).alias("column_name"),
+        F.when(F.col("missing_percentage") < 1, F.lit(" used ")).alias("remark"),
     ).coalesce(1).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
-    return readers.read_metadata(spark, path).select("customer", "segment")
+    return readers.read_metadata(spark, path).select("column_name", "remark")
+
+
+@register("s1_texts_with_line_breaks", "SELECT doc_id, text, source FROM documents")
+def s1_texts_with_line_breaks(spark, folder):
+    """Texts with line breaks, quotes and commas as CSV, read back equal."""
+    path = scratch(spark)
+    table(spark, folder, "documents").select("doc_id", "text", "source").write.option("header", True).option("escape", '"').option(
+        "quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
+    return readers.read_raw_loans(spark, path, schema, missing_tokens=("",))
+
+
+@register("s1_unreadable_values", """
+SELECT * FROM (SELECT 'amount' AS column_name, cast(o_orderkey % 7 AS varchar) || '.5x' AS value, count(*) AS row_count FROM orders
+  WHERE o_orderkey % 11 = 0 GROUP BY ALL UNION ALL SELECT 'key', 'none of it', count(*) FROM orders WHERE o_orderkey % 13 = 0) WHERE row_count > 0""")
+def s1_unreadable_values(spark, folder):
+    """Cells that are no numbers are listed with their rows instead of vanishing."""
+    path = scratch(spark)
+    key = F.col("o_orderkey")
+    table(spark, folder, "orders").select(
+        F.when(key % 13 == 0, F.lit("none of it")).otherwise(key.cast("string")).alias("key"),
+        F.when(key % 11 == 0, F.concat((key % 7).cast("string"), F.lit(".5x"))).when(key % 17 != 0, F.col("o_totalprice").cast("string")).alias("amount"),
+    ).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("amount", T.DoubleType())])
+    return readers.unreadable_values(spark, path, schema)
+
+
+@register("s3_column_names", """
+SELECT file_format, column_name, position FROM (VALUES ('csv'), ('parquet')) f(file_format), (
+  SELECT column_name, cast(column_index AS integer) AS position FROM (
+    SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS column_name,
+      unnest([0, 1, 2, 3, 4, 5]) AS column_index))""")
+def s3_column_names(spark, folder):
+    """Names from a Parquet schema and from a CSV header."""
+    path = scratch(spark)
+    table(spark, folder, "orders").limit(1).write.option("header", True).csv(path)
+    rows = [(kind, name, position) for kind, at in (("parquet", f"{folder}/orders.parquet"), ("csv", path))
+            for position, name in enumerate(readers.read_columns(spark, at, kind))]
+    return literal_table(spark, rows, "file_format string, column_name string, position int")
+
+
+@register("s4_projected_csv", "SELECT c_mktsegment, cast(c_custkey AS varchar) AS c_custkey FROM customer")
+def s4_projected_csv(spark, folder):
+    path = scratch(spark)
+    table(spark, folder, "customer").write.option("header", True).csv(path)
+    return readers.read_projection(spark, path, ["c_mktsegment", "c_custkey"], "csv")
+
+
+@register("s11_ordered_report", """
+SELECT cast(row_number() OVER (ORDER BY n DESC, l_partkey) - 1 AS integer) AS line, l_partkey, n FROM (
+  SELECT cast(l_partkey AS varchar) AS l_partkey, cast(count(*) AS varchar) AS n, count(*) AS k FROM lineitem GROUP BY l_partkey)
+  QUALIFY true""".replace("ORDER BY n DESC, l_partkey)", "ORDER BY k DESC, cast(l_partkey AS bigint))"))
+def s11_ordered_report(spark, folder):
+    """A report whose rows come from several partitions, read back line by line."""
+    path = scratch(spark)
+    counted = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    writers.write_report(counted.repartitionByRange(7, F.desc("n"), "l_partkey").sortWithinPartitions(F.desc("n"), "l_partkey"), path)
+    # one file of a report: read in its own order
+    lines = spark.read.option("header", True).option("wholetext", False).csv(path).coalesce(1)
+    return lines.select(F.monotonically_increasing_id().cast("int").alias("line"), "l_partkey", "n")
+
+
+@register("p5_required_columns", """
+SELECT * FROM (VALUES ('absent', 'o_totalcost'), ('repeated', 'o_orderkey')) v(rule, offender) WHERE (SELECT count(*) FROM orders) > 0""")
+def p5_required_columns(spark, folder):
+    """What the guards say of a table without a column that is needed, and of one with a column twice."""
+    orders = table(spark, folder, "orders")
+    broken = orders.select("*", F.col("o_custkey").alias("o_orderkey"))
+    found = []
+    for rule, names, check in (("absent", ("o_totalcost",), lambda: require_columns(orders, ["o_orderkey", "o_totalcost"])),
+                               ("repeated", ("o_orderkey",), lambda: require_no_duplicate_columns(broken))):
+        try:
+            check()
+        except ValueError as error:
+            found += [(rule, name) for name in names if name in str(error)]
+    return literal_table(spark, found, "rule string, offender string").where(F.lit(orders.limit(1).count()) > 0)
+
+
+@register("w2_split_fractions", """
+SELECT r_name, CASE WHEN a <= 0 OR b <= 0 THEN 'not positive' WHEN abs(a + b + 0.15e0 - 1) > 1e-9 THEN 'not one together' ELSE 'fine' END AS verdict
+FROM (SELECT r_name, 0.85e0 - r_regionkey * 0.15e0 AS a, r_regionkey * 0.15e0 + CASE WHEN r_regionkey = 3 THEN 0.1e0 ELSE 0e0 END AS b FROM region)""")
+def w2_split_fractions(spark, folder):
+    """Fractions of three parts, one row each, judged by the guard."""
+    judged = []
+    for row in table(spark, folder, "region").orderBy("r_regionkey").collect():
+        key = row.r_regionkey
+        try:
+            require_fractions(train=0.85 - key * 0.15, validation=key * 0.15 + (0.1 if key == 3 else 0.0), test=0.15)
+            judged.append((row.r_name, "fine"))
+        except ValueError as error:
+            judged.append((row.r_name, "not positive" if "positive" in str(error) else "not one together"))
+    return literal_table(spark, judged, "r_name string, verdict string")
 
 
 @register("s9_labeled_table", LOANS + "SELECT id, loan_status, bad_loan FROM labeled")
@@ -538,9 +633,9 @@ def o1_mixed_sort_top(spark, folder):
 SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS place
 FROM orders""")
 def o2_tie_break_rank(spark, folder):
-    from pyspark.sql import Window
-    window = Window.partitionBy("o_custkey").orderBy("o_orderpriority", "o_orderkey")
-    return table(spark, folder, "orders").select("o_custkey", "o_orderkey", F.row_number().over(window).alias("place"))
+    rows = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    placed = row_positions(rows, (Order("o_orderpriority"), Order("o_orderkey")), ["o_custkey"], "place")
+    return placed.select("o_custkey", "o_orderkey", "place")
 
 
 @register("o3_category_order", """

@@ -264,6 +264,54 @@ def e8_constant_score_deciles(spark, folder):
     return rounded(evaluation.score_deciles(rows), *DECILE_VALUES)
 
 
+# more groups than a list on the driver should hold, and keys beyond the whole numbers of a double
+_GROUPED = ", grouped AS (SELECT id, p_fine AS p, bad_loan, abs(id * 7919) % 1009 AS g, 1152921504606846976 + id AS key FROM scored)"
+
+
+@register("e8_deciles_of_many_groups", SCORED + _GROUPED + """
+, pos AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY p DESC, key) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM grouped)
+SELECT g, cast(greatest(1, (i * 3 + n - 2) // (n - 1)) AS integer) AS score_decile, count(*) AS row_count FROM pos WHERE n >= 3 GROUP BY ALL""")
+def e8_deciles_of_many_groups(spark, folder):
+    rows = scored(spark, folder).select("id", F.col("p_fine").alias("p"), "bad_loan", (F.abs(F.col("id") * 7919) % 1009).alias("g"),
+                                        (F.col("id") + F.lit(1 << 60)).alias("key"))
+    enough = rows.groupBy("g").agg(F.count("*").alias("n")).where("n >= 3").select("g")
+    return evaluation.score_deciles(rows.join(enough, "g"), key="key", by=["g"], deciles=3).select("g", "score_decile", "row_count")
+
+
+@register("e8_deciles_by_wide_keys", SCORED + """
+, pos AS (SELECT id, row_number() OVER (ORDER BY 1152921504606846976 + id DESC) - 1 AS i, count(*) OVER () AS n FROM scored)
+SELECT id, cast(greatest(1, (i * 10 + n - 2) // (n - 1)) AS integer) AS bucket FROM pos""")
+def e8_deciles_by_wide_keys(spark, folder):
+    from loanweft.operators.position import Order, exact_quantile_buckets
+    rows = scored(spark, folder).select("id", (F.col("id") + F.lit(1 << 60)).alias("key"))
+    return exact_quantile_buckets(rows, (Order("key", False),), 10).select("id", "bucket")
+
+
+# near-unique scores of order lines
+_LINES = """WITH long AS (SELECT 'lines' AS method, l_extendedprice AS reference_p, l_extendedprice * (1 - l_discount) AS value,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS bad_loan FROM lineitem)"""
+
+
+@register("e12_rank_correlation_of_lines", _LINES.replace("AS value", "AS p") + """, ranked AS (SELECT method, rank() OVER (PARTITION BY method ORDER BY reference_p)
+    + (count(*) OVER (PARTITION BY method, reference_p) - 1) / 2e0 AS a,
+  rank() OVER (PARTITION BY method ORDER BY p) + (count(*) OVER (PARTITION BY method, p) - 1) / 2e0 AS b FROM long
+) SELECT method, round(corr(a, b), 6) AS spearman_rank_correlation FROM ranked GROUP BY method""")
+def e12_rank_correlation_of_lines(spark, folder):
+    rows = table(spark, folder, "lineitem").select(F.lit("lines").alias("method"), F.col("l_extendedprice").alias("l"),
+                                                   (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
+    return rounded(evaluation.rank_correlation(rows, "l", "r", ["method"]), "spearman_rank_correlation")
+
+
+@register("e2_roc_auc_of_lines", """
+WITH s AS (SELECT l_extendedprice AS v, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+  r AS (SELECT y, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2e0 AS k FROM s)
+SELECT round((sum(CASE WHEN y = 1 THEN k END) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2e0)
+  / (cast(count(*) FILTER (y = 1) AS double) * count(*) FILTER (y = 0)), 6) AS roc_auc FROM r""")
+def e2_roc_auc_of_lines(spark, folder):
+    rows = table(spark, folder, "lineitem").select(F.col("l_extendedprice").alias("p"), (F.col("l_returnflag") == "R").cast("int").alias("bad_loan"))
+    return rounded(evaluation.probability_metrics(rows), "roc_auc").select("roc_auc")
+
+
 @register("w4_decile_of_row", SCORED + deciles_sql("scored") + """
 SELECT id, cast(greatest(1, (i * 10 + n - 2) // (n - 1)) AS integer) AS score_decile FROM pos""")
 def w4_decile_of_row(spark, folder):

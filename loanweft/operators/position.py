@@ -82,6 +82,16 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
     return joined.select(*df.columns, *[(_exclusive(inside, s) + F.col(f"_{s}_offset")).alias(f"{s}_before") for s in sums])
 
 
+def row_positions(df: DataFrame, orders: Sequence[Order], by: Sequence[str] = (), name: str = "position",
+                  rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """``df``, whose rows have different keys, with each row's place in its group, from 1; a group may span any number of tasks."""
+    _refuse_unusable(df, orders)
+    ranged = _in_ranges(df.withColumn("_n", F.lit(1).cast("bigint")), by, orders, rows_per_part)
+    window = Window.partitionBy(*by, "_part").orderBy(*[order.sort() for order in orders])
+    joined = _same(ranged, _offsets(ranged, by, ["_n"]), [*by, "_part"])
+    return joined.select(*df.columns, (_exclusive(window, "_n") + F.col("__n_offset") + 1).alias(name))
+
+
 def _refuse_unusable(df: DataFrame, orders: Sequence[Order]) -> None:
     unusable = F.lit(False)
     for order in orders:

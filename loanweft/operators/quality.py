@@ -11,7 +11,6 @@ from loanweft.functions.checks import DataCheckError, require_columns, require_n
 from loanweft.functions.dates import MONTH_FORMAT, month_text, parse_month
 from loanweft.operators.labels import add_target
 
-WIDE_TABLE = 16  # from this many columns on, duplicate rows are looked for by hash
 
 
 def labeled_table_check(df: DataFrame, target: str = "bad_loan", expected_rows: int | None = None) -> DataFrame:
@@ -84,24 +83,25 @@ def _row_hashes(columns: Sequence[str]) -> list[Column]:
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Size of every group of equal rows, as (group_size, groups).
 
-    A wide table is first counted by hash, which shuffles 16 bytes a row. Only
-    rows whose hash repeats are then grouped by all their columns, so equal
-    hashes of different rows do no harm.
+    Rows are first counted by hash, which shuffles 16 bytes a row. Those whose
+    hash repeats are confirmed by their smallest and largest row, which are the
+    same; where not, they are grouped by all their columns, so equal hashes of
+    different rows do no harm.
     """
     columns = list(columns or df.columns)
     df = df.select(*[F.col(f"`{name}`") for name in columns])
     sized = F.count(F.lit(1)).alias("group_size")
-    if len(columns) < WIDE_TABLE:
-        sizes = df.groupBy(*[F.col(f"`{name}`") for name in columns]).agg(sized).select("group_size")
-    else:
-        hashed = df.select("*", *_row_hashes(columns))
-        per_hash = hashed.groupBy("_hash1", "_hash2").agg(sized)
-        repeated = per_hash.where("group_size > 1").select("_hash1", "_hash2")
-        confirmed = (
-            hashed.join(repeated, ["_hash1", "_hash2"], "left_semi")
-            .groupBy(*[F.col(f"`{name}`") for name in columns]).agg(sized).select("group_size")
-        )
-        sizes = per_hash.where("group_size = 1").select("group_size").unionByName(confirmed)
+    keys = ["_hash1", "_hash2"]
+    hashed = df.select("*", *_row_hashes(columns))
+    per_hash = hashed.groupBy(*keys).agg(sized)
+    repeated = hashed.join(per_hash.where("group_size > 1").select(*keys), keys, "left_semi")
+    whole = F.struct(*[F.col(f"`{name}`") for name in columns])
+    found = repeated.groupBy(*keys).agg(sized, F.min(whole).alias("_low"), F.max(whole).alias("_high"))
+    alike = F.col("_low").eqNullSafe(F.col("_high"))
+    several = repeated.join(found.where(~alike).select(*keys), keys, "left_semi").groupBy(
+        *[F.col(f"`{name}`") for name in columns]).agg(sized)
+    sizes = per_hash.where("group_size = 1").select("group_size").unionByName(
+        found.where(alike).select("group_size")).unionByName(several.select("group_size"))
     return sizes.groupBy("group_size").agg(F.count(F.lit(1)).alias("groups"))
 
 

@@ -8,16 +8,18 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_MAP = 1_000  # entries that may become a literal map
-
+from loanweft.session import literal_table
 
 def map_lookup(column: Column, mapping: Mapping) -> Column:
-    """J1. Value of a small dictionary, NULL for an unknown key."""
-    if len(mapping) > SMALL_MAP:
-        raise ValueError(f"more than {SMALL_MAP} entries; join a table instead")
+    """J1. Value of a dictionary of a few constants, NULL for an unknown key; ``dictionary_lookup`` is for large ones."""
     return F.try_element_at(F.create_map(*[F.lit(item) for item in chain.from_iterable(mapping.items())]), column)
 
 
+def dictionary_lookup(df: DataFrame, mapping: Mapping, key: str, value: str, schema: str) -> DataFrame:
+    """J1. The dictionary as a table (``schema`` names key and value), joined; any number of entries."""
+    return table_lookup(df, literal_table(df.sparkSession, list(mapping.items()), schema), key).select(*df.columns, value)
+
+
 def table_lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """J1. Left join with a table of unique keys; Spark broadcasts it if its size allows."""
     return df.join(table, key, "left")
@@ -55,8 +57,21 @@ def same_values(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """U4. Values that occur more than once, with their count."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") > 1)
+    """U4. Values that occur more than once, with their count.
+
+    Values are counted by hash; only those whose hash repeats are moved, and
+    equal hashes of different values are told apart.
+    """
+    value = F.col(column)
+    hashed = df.select(value, *[F.xxhash64(F.lit(seed), value, value.isNull()).alias(f"_hash{seed}") for seed in (1, 2)])
+    keys = ["_hash1", "_hash2"]
+    often = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    rows = hashed.join(often, keys, "left_semi")
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"), F.min(column).alias(column), F.max(column).alias("_other"))
+    alike = F.col(column).eqNullSafe(F.col("_other"))
+    several = rows.join(found.where(~alike).select(*keys), keys, "left_semi").groupBy(column).agg(
+        F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") > 1)
+    return found.where(alike).select(column, "occurrences").unionByName(several)
 
 
 def union_reports(reports: Sequence[DataFrame]) -> DataFrame:

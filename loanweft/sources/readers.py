@@ -35,15 +35,22 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def _raw_text(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
+    return (spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+            .option("maxCharsPerColumn", -1).csv(path))
+
+
 def read_raw_loans(spark: SparkSession, path: str, schema: T.StructType | None = None, limit: int | None = None,
-                   missing_tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+                   missing_tokens: Sequence[str] = MISSING_TOKENS, line_breaks: bool = True) -> DataFrame:
     """S1, S2. Loan-level CSV, plain or gzip, one file or a folder.
 
     Values are read as text, missing tokens become NULL and the rest is cast to
-    ``schema`` (all text without one). A gzip file cannot be split, so a large
-    raw file should be converted to Parquet once.
+    ``schema`` (all text without one); ``unreadable_values`` lists what the cast
+    turned into NULL. Quoted cells may hold line breaks, quotes are doubled; a
+    file is then one task, as a gzip file always is, so a large raw file should
+    be converted to Parquet once. Without ``line_breaks`` plain files are split.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+    raw = _raw_text(spark, path, line_breaks)
     if schema is None:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])
     require_columns(raw, schema.fieldNames(), "raw file")
@@ -52,14 +59,34 @@ def read_raw_loans(spark: SparkSession, path: str, schema: T.StructType | None =
     return typed if limit is None else typed.limit(limit)
 
 
-def read_columns(spark: SparkSession, path: str) -> list[str]:
-    """S3. Column names of a Parquet table, from its schema."""
-    return spark.read.parquet(path).columns
+def unreadable_values(spark: SparkSession, path: str, schema: T.StructType, missing_tokens: Sequence[str] = MISSING_TOKENS,
+                      line_breaks: bool = True) -> DataFrame:
+    """S1. (column_name, value, row_count) of cells of a raw CSV that are neither missing nor readable as ``schema`` says."""
+    raw = _raw_text(spark, path, line_breaks)
+    require_columns(raw, schema.fieldNames(), "raw file")
+    cells = [F.struct(F.lit(field.name).alias("column_name"), F.when(
+        ~F.col(f"`{field.name}`").isin(*missing_tokens) & F.col(f"`{field.name}`").try_cast(field.dataType).isNull(),
+        F.col(f"`{field.name}`")).alias("value")) for field in schema.fields if not isinstance(field.dataType, T.StringType)]
+    if not cells:
+        return spark.createDataFrame([], "column_name string, value string, row_count bigint")
+    listed = raw.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    return listed.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def read_projection(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """S4. The given columns in the given order; the others are not read."""
-    df = spark.read.parquet(path)
+def _stored(spark: SparkSession, path: str, file_format: str) -> DataFrame:
+    if file_format == "csv":
+        return _raw_text(spark, path, True)
+    return spark.read.format(file_format).load(path)
+
+
+def read_columns(spark: SparkSession, path: str, file_format: str = "parquet") -> list[str]:
+    """S3. Column names of a table, from its schema or, for CSV, from the header."""
+    return _stored(spark, path, file_format).columns
+
+
+def read_projection(spark: SparkSession, path: str, columns: Sequence[str], file_format: str = "parquet") -> DataFrame:
+    """S4. The given columns in the given order; the others are not read (in a CSV not parsed)."""
+    df = _stored(spark, path, file_format)
     require_columns(df, columns, path)
     return df.select(*[F.col(f"`{name}`") for name in columns])
 

@@ -36,12 +36,17 @@ def write_splits(df: DataFrame, path: str, temporary: Sequence[str] = ("issue_mo
 
 def write_report(df: DataFrame, path: str, file_format: str = "csv", allow_empty: bool = False,
                  compression: str | None = None) -> None:
-    """S11. A report as one CSV or Parquet file. Reports are aggregated, so one file is enough."""
+    """S11. A report as one CSV or Parquet file, its rows in the order of ``df``.
+
+    Reports are aggregated, so one file is enough. Rows are numbered while they
+    are in order, and the one file is sorted by that number.
+    """
     seen = Observation()  # counts the rows while they are computed, once
-    report = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), "report")
+    numbered = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("_line", F.monotonically_increasing_id())
+    report = materialize(numbered, "report")
     if not allow_empty and not seen.get["rows"]:
         raise DataCheckError(f"report for {path} has no rows")
-    writer = report.coalesce(1).write.mode("overwrite")
+    writer = report.coalesce(1).sortWithinPartitions("_line").drop("_line").write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
     if file_format == "csv":
