@@ -478,7 +478,9 @@ _DATES = " OR ".join(f"try_strptime(v, '{fmt}') IS NOT NULL"
 def _statistics_row(name: str, kind: str) -> str:
     whole = f"coalesce(bool_and({name} % 1 = 0), false)" if name in _NUMERIC else "false"
     if name in _NUMERIC:
-        rate, sample = "cast(NULL AS double)", f"NULL"
+        rate = "cast(NULL AS double)"
+        sample = (f"(SELECT string_agg(v, ', ' ORDER BY k, v) FROM (SELECT cast({name} AS varchar) AS v, min(id) AS k FROM labeled "
+                  f"WHERE {name} IS NOT NULL GROUP BY 1 ORDER BY k, v LIMIT 5))")
     else:
         rate = (f"(SELECT avg(CASE WHEN {_DATES} THEN 1e0 ELSE 0e0 END) FROM "
                 f"(SELECT trim({name}) AS v FROM labeled WHERE trim({name}) <> ''))")
@@ -523,11 +525,6 @@ def feature_profile(spark, folder):
     return profile.feature_type_profile(labeled(spark, folder), FEATURES, "id")
 
 
-def _text_samples(df: DataFrame) -> DataFrame:
-    """Numbers are written differently by the two engines, so samples are compared for text columns."""
-    return df.withColumn("sample_values", F.when(F.col("is_numeric"), F.lit("")).otherwise(F.col("sample_values")))
-
-
 @register("a12_column_statistics", LOANS + STATISTICS_CTE + """
 SELECT column_name, missing_percentage, unique_non_missing_count, unique_non_missing_ratio FROM stats""")
 def a12_column_statistics(spark, folder):
@@ -543,15 +540,13 @@ def a13_integer_like(spark, folder):
 @register("a14_date_parse_rate", LOANS + STATISTICS_CTE + """
 SELECT column_name, round(rate, 6) AS date_parse_success_rate FROM stats WHERE rate IS NOT NULL""")
 def a14_date_parse_rate(spark, folder):
-    values = profile.column_values(labeled(spark, folder), TEXT_FEATURES)
-    return rounded(profile.date_parse_rates(values), "date_parse_success_rate")
+    return rounded(profile.date_parse_rates(labeled(spark, folder), TEXT_FEATURES), "date_parse_success_rate")
 
 
 @register("a15_sample_values", LOANS + STATISTICS_CTE + """
-SELECT column_name, sample_values FROM stats WHERE NOT is_numeric""")
+SELECT column_name, sample_values FROM stats WHERE sample_values <> ''""")
 def a15_sample_values(spark, folder):
-    values = profile.column_values(labeled(spark, folder), TEXT_FEATURES, "id")
-    return profile.sample_values(values)
+    return profile.sample_values(labeled(spark, folder), FEATURES, "id")
 
 
 @register("a16_feature_types", LOANS + TYPES_CTE + """
@@ -565,7 +560,7 @@ def a16_feature_types(spark, folder):
 @register("a17_feature_type_profile", LOANS + TYPES_CTE + """
 SELECT * REPLACE (round(date_parse_success_rate, 6) AS date_parse_success_rate) FROM feature_profile""")
 def a17_feature_type_profile(spark, folder):
-    return rounded(_text_samples(feature_profile(spark, folder)), "date_parse_success_rate")
+    return rounded(feature_profile(spark, folder), "date_parse_success_rate")
 
 
 @register("a18_missingness_profile", LOANS + TYPES_CTE + """

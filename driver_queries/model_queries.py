@@ -396,13 +396,28 @@ FINAL = SCORED + """, ordered AS (SELECT *, row_number() OVER (ORDER BY month_no
 @register("m16_final_calibration", FINAL + metrics_sql("long", "method", 5) + bins_sql("long", "method") + _SUMMARY_SQL)
 def m16_final_calibration(spark, folder):
     """Isotonic fit on the validation part, saved, loaded and judged on the test part."""
+    from loanweft.plans.calibration import finalize_scored
+    rows = scored(spark, folder)
+    parted = fit_time_split(rows, "month_no").apply(rows, "part")
+    final = finalize_scored(parted.where("part = 'validation'"), parted.where("part = 'test'"), scratch(spark))
+    return rounded(final.reports["calibration_summary"], *_SUMMARY_VALUES, digits=5)
+
+
+@register("s13_comparison_reports", FINAL + metrics_sql("long", "method", 5) + bins_sql("long", "method") + """
+SELECT 'calibration_summary' AS report, count(*) AS row_count FROM metrics
+UNION ALL SELECT 'calibration_bands', count(*) FROM bins
+UNION ALL SELECT 'discrimination_summary', count(*) FROM metrics
+UNION ALL SELECT 'discrimination_deciles', 10 * count(*) FROM metrics""")
+def s13_comparison_reports(spark, folder):
+    """The four reports of the final calibration as files, read back."""
+    from loanweft.operators.sets import union_reports
+    from loanweft.plans.calibration import finalize_scored
     rows = scored(spark, folder)
     parted = fit_time_split(rows, "month_no").apply(rows, "part")
     path = scratch(spark)
-    writers.save_model(calibration.fit_isotonic(parted.where("part = 'validation'")), path)
-    test = calibration.apply_isotonic(writers.load_model(spark, path, "isotonic"), parted.where("part = 'test'"))
-    reports = evaluation.compare_candidates(test, {"uncalibrated": "p", "isotonic": "p_isotonic"})
-    return rounded(reports["calibration_summary"], *_SUMMARY_VALUES, digits=5)
+    finalize_scored(parted.where("part = 'validation'"), parted.where("part = 'test'"), path)
+    return union_reports([spark.read.option("header", True).csv(f"{path}/{name}").agg(
+        F.lit(name).alias("report"), F.count(F.lit(1)).alias("row_count")) for name in evaluation.COMPARISONS])
 
 
 @register("m16_training_to_decisions")

@@ -67,7 +67,7 @@ def fit_intercept_shift(df: DataFrame, log_odds: str = "z", label: str = "bad_lo
         if abs(after - shift) <= TOLERANCE:
             return after
         shift = after
-    return shift
+    raise DataCheckError(f"the intercept shift did not converge in {MAX_STEPS} steps")
 
 
 def apply_intercept_shift(log_odds: Column, shift: float) -> Column:
@@ -120,6 +120,8 @@ def fit_platt(df: DataFrame, log_odds: str = "z", label: str = "bad_loan") -> Pl
                 break
             fraction /= 2.0
         scale, intercept, row = scale - fraction * d1, intercept - fraction * d0, tried
+    else:
+        raise DataCheckError(f"Platt scaling did not converge in {MAX_STEPS} steps")
     if not math.isfinite(scale) or not math.isfinite(intercept):
         raise DataCheckError("Platt scaling is not finite")
     return PlattScaling(scale, intercept)
@@ -141,7 +143,7 @@ def fit_isotonic(df: DataFrame, log_odds: str = "z", label: str = "bad_loan") ->
 def apply_isotonic(model: IsotonicRegressionModel, df: DataFrame, log_odds: str = "z",
                    output: str = "p_isotonic") -> DataFrame:
     """M14. Interpolated probability, constant beyond the fitted range."""
-    fitted = model.setFeaturesCol(log_odds).setPredictionCol(output).transform(df)
+    fitted = model.copy().setFeaturesCol(log_odds).setPredictionCol(output).transform(df)
     return fitted.withColumn(output, clip(F.col(output), 0.0, 1.0))
 
 

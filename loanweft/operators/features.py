@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,8 +181,11 @@ def fit_features(train: DataFrame, columns: FeatureColumns, **tuning: int) -> Fi
     return FittedFeatures(PipelineModel(stages), tuple(feature_names(columns, found)), statistics, found)
 
 
-def nonzero_count(vector: str = "features") -> Column:
-    return F.size(F.filter(vector_to_array(F.col(vector)), lambda value: value != 0))
+def nonzero_counts(df: DataFrame, split: str, vector: str = "features") -> DataFrame:
+    """(split, nonzeros): nonzero values per split, summed per slot without making the vectors dense."""
+    per_slot = df.groupBy(split).agg(Summarizer.metrics("numNonZeros").summary(F.col(vector)).alias("m"))
+    total = F.aggregate(vector_to_array(F.col("m.numNonZeros")), F.lit(0.0), lambda a, b: a + b)
+    return per_slot.select(split, total.cast("bigint").alias("nonzeros"))
 
 
 def preprocessing_summary(inputs: DataFrame, prepared: DataFrame, columns: FeatureColumns, names: Sequence[str],
@@ -189,10 +193,9 @@ def preprocessing_summary(inputs: DataFrame, prepared: DataFrame, columns: Featu
                           splits: Sequence[str] = ("train", "validation", "test")) -> DataFrame:
     """A22. Metric and value rows: rows in and out, features by kind, nonzero values."""
     counted = inputs.agg(*[F.count_if(F.col(split) == s).alias(f"{s}_input_rows") for s in splits])
-    made = prepared.agg(
-        *[F.count_if(F.col(split) == s).alias(f"{s}_preprocessed_rows") for s in splits],
-        *[F.coalesce(F.sum(F.when(F.col(split) == s, nonzero_count().cast("long"))), F.lit(0).cast("long"))
-          .alias(f"{s}_nonzero_values") for s in splits])
+    counts = prepared.groupBy(split).agg(F.count(F.lit(1)).alias("rows")).join(nonzero_counts(prepared, split), split)
+    made = counts.agg(*[F.coalesce(F.sum(F.when(F.col(split) == s, F.col(value))), F.lit(0).cast("long")).alias(f"{s}_{name}")
+                        for value, name in (("rows", "preprocessed_rows"), ("nonzeros", "nonzero_values")) for s in splits])
     spark = inputs.sparkSession
     fixed = literal_table(spark,
         [("preprocessed_feature_count", len(names)), ("numeric_feature_count", len(columns.numeric)),

@@ -1,9 +1,9 @@
 """Per-column statistics and feature-type inference.
 
-Every statistic that needs distinct values comes from one table of
-(column, value) pairs: the unpivoted rows are combined map-side, so a
-low-cardinality column ships a few pairs per task, and a high-cardinality one
-is spread by the hash of its values.
+Distinct values are counted by a 128-bit hash of their text, combined map-side,
+so a shuffle carries a few numbers per distinct value whatever its length. Date
+rates and integer flags come from the scan itself. Sample values are chosen by
+hash and first row; only the few chosen ones are read again as text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from loanweft.functions.checks import require_columns
 from loanweft.functions.dates import FALLBACK_FORMATS, MONTH_FORMAT, parse_month
 from loanweft.functions.text import non_blank
 from loanweft.operators.quality import count_missing, missing_counts, per_column
-from loanweft.session import literal_table, materialize
+from loanweft.session import literal_table
 
 DATE_FORMATS = (MONTH_FORMAT, *FALLBACK_FORMATS)
 
@@ -29,6 +29,7 @@ DISCRETE_RATIO = 0.02
 DATE_SUCCESS = 0.90
 HIGH_MISSINGNESS = 0.40
 
+# Columns of a feature-type profile, in order.
 PROFILE_COLUMNS = (
     "column_name", "inferred_feature_type", "recommended_preprocessing_group", "needs_manual_review",
     "issue_flags", "dtype", "total_count", "non_missing_count", "missing_count", "missing_percentage",
@@ -48,23 +49,27 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return column.cast("string")
 
 
-def column_values(df: DataFrame, columns: Sequence[str], row_key: str | None = None) -> DataFrame:
-    """Distinct non-missing (column_name, value) with row count and first row key."""
-    keys = [F.col(row_key).alias("_key")] if row_key else []
-    texts = [_as_text(df, name).alias(name) for name in columns]
-    long = df.select(*keys, *texts).unpivot(
-        ["_key"] if row_key else [], list(columns), "column_name", "value").where(F.col("value").isNotNull())
-    measures = [F.count(F.lit(1)).alias("n")]
-    if row_key:
-        measures.append(F.min("_key").alias("first_key"))
-    return long.groupBy("column_name", "value").agg(*measures)
+def _hashed(df: DataFrame, columns: Sequence[str], text, row_key: str | None = None) -> DataFrame:
+    """Rows (number of the column, two hashes of its text, row key) of every non-missing cell; ``text`` makes the text of a cell."""
+    def cell(number: int, name: str) -> Column:
+        value = text(_as_text(df, name))
+        hashes = [F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value)).alias(f"_hash{seed}") for seed in (1, 2)]
+        return F.struct(F.lit(number).alias("_column"), *hashes, *([F.col(f"`{row_key}`").alias("_key")] if row_key else []))
+
+    cells = df.select(F.inline(F.array(*[cell(number, name) for number, name in enumerate(columns)])))
+    return cells.where(F.col("_hash1").isNotNull())
+
+
+def _named(df: DataFrame, columns: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(name) for name in columns]), F.col("_column") + 1).alias("column_name")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """(column_name, unique_non_missing_count), exact or by sketch."""
     if exact:
-        return column_values(df, columns).groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("unique_non_missing_count"))
+        values = _hashed(df, columns, lambda value: value).distinct()
+        return values.groupBy("_column").agg(F.count(F.lit(1)).alias("unique_non_missing_count")).select(
+            _named(df, columns), "unique_non_missing_count")
     sketches = F.array(*[F.approx_count_distinct(_as_text(df, name)) for name in columns])
     names = F.array(*[F.lit(name) for name in columns])
     one = df.agg(sketches.alias("counts"))
@@ -109,51 +114,55 @@ def looks_like_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Col
     return parse_month(value, formats).isNotNull()
 
 
-def date_parse_rates(values: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """A14. Share of non-blank values that read as dates, from ``column_values``,
-    so that each distinct value is parsed once."""
-    text = non_blank(F.col("value"))
-    usable = values.where(text.isNotNull()).select("column_name", "n", looks_like_date(text, formats).alias("ok"))
-    return usable.groupBy("column_name").agg(
-        (F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)) / F.sum("n")).alias("date_parse_success_rate"))
+def _date_rates(df: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> list[Column]:
+    rates = []
+    for name in columns:
+        if is_numeric_type(df.schema[name].dataType):
+            rates.append(F.max(F.lit(None).cast("double")))
+            continue
+        text = non_blank(_as_text(df, name))
+        rates.append(F.avg(F.when(text.isNotNull(), looks_like_date(text, formats).cast("int"))))
+    return rates
+
+
+def date_parse_rates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """A14. Share of non-blank values that read as dates."""
+    return per_column(df, columns, date_parse_success_rate=_date_rates(df, columns, formats)).select(
+        "column_name", "date_parse_success_rate")
 
 
-def sample_values(values: DataFrame, limit: int = 5) -> DataFrame:
+def sample_values(df: DataFrame, columns: Sequence[str], row_key: str, limit: int = 5) -> DataFrame:
     """A15. First distinct non-blank values by row key, joined.
 
     The ``row_number() <= limit`` filter lets Spark keep only ``limit`` rows per
     column before it shuffles.
     """
-    text = non_blank(F.col("value"))
-    merged = values.where(text.isNotNull()).groupBy("column_name", text.alias("text")).agg(
-        F.min("first_key").alias("first_key"))
-    window = Window.partitionBy("column_name").orderBy("first_key", "text")
-    first = merged.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit)
+    merged = _hashed(df, columns, non_blank, row_key).groupBy("_column", "_hash1", "_hash2").agg(F.min("_key").alias("_key"))
+    window = Window.partitionBy("_column").orderBy("_key", "_hash1", "_hash2")
+    first = merged.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).select("_column", "_key", "_rank")
+    rows = df.join(first.select(F.col("_key").alias("_wanted")).distinct(), F.col(f"`{row_key}`") == F.col("_wanted"), "left_semi")
+    cells = F.array(*[F.struct(F.lit(number).alias("_column"), non_blank(_as_text(df, name)).alias("text"), F.col(f"`{row_key}`").alias("_key"))
+                      for number, name in enumerate(columns)])
+    texts = rows.select(F.inline(cells)).where(F.col("text").isNotNull())
+    found = texts.join(first, ["_column", "_key"]).groupBy("_column", "_rank").agg(F.min("text").alias("text"))
     listed = F.array_sort(F.collect_list(F.struct("_rank", "text")))
-    return first.groupBy("column_name").agg(
-        F.array_join(F.transform(listed, lambda item: item["text"]), ", ").alias("sample_values"))
+    return found.groupBy("_column").agg(listed.alias("listed")).select(
+        _named(df, columns), F.array_join(F.transform("listed", lambda item: item["text"]), ", ").alias("sample_values"))
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str], row_key: str,
                       formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """A12 with A13 to A15: one row per column, ``position`` keeps the given order."""
     require_columns(df, [*columns, row_key])
-    # written once: the distinct values are counted, parsed and sampled
-    values = materialize(column_values(df, columns, row_key), "column-values")
     listed = literal_table(df.sparkSession, [(i, name, is_numeric_type(df.schema[name].dataType))
                                              for i, name in enumerate(columns)],
                            "position int, column_name string, is_numeric boolean")
-    words = [name for name in columns if not is_numeric_type(df.schema[name].dataType)]
-    text = F.when(F.col("column_name").isin(*words), non_blank(F.col("value")))
-    readable = F.sum(F.when(looks_like_date(text, formats), F.col("n")).otherwise(0))
-    counted = values.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("unique_non_missing_count"),
-        F.try_divide(readable, F.sum(F.when(text.isNotNull(), F.col("n")))).alias("date_parse_success_rate"))
+    scanned = per_column(df, columns, missing_count=missing_counts(columns), is_integer_like=_integer_flags(df, columns),
+                         date_parse_success_rate=_date_rates(df, columns, formats))
     rows = (
-        listed.join(per_column(df, columns, missing_count=missing_counts(columns),
-                               is_integer_like=_integer_flags(df, columns)), "column_name")
-        .join(counted, "column_name", "left")
-        .join(sample_values(values), "column_name", "left")
+        listed.join(scanned, "column_name")
+        .join(distinct_counts(df, columns), "column_name", "left")
+        .join(sample_values(df, columns, row_key), "column_name", "left")
     )
     zero = F.lit(0).cast("long")
     non_missing = F.col("total_count") - F.col("missing_count")

@@ -16,7 +16,7 @@ from loanweft.operators.evaluation import compare_candidates
 from loanweft.operators.models import score_logistic
 from loanweft.operators.splits import fit_halving
 from loanweft.session import materialize
-from loanweft.sources.writers import save_model, write_comparison_reports
+from loanweft.sources.writers import load_model, save_model, write_comparison_reports
 
 CANDIDATES = {"uncalibrated": "p", "intercept": "p_intercept", "platt": "p_platt", "isotonic": "p_isotonic"}
 
@@ -67,11 +67,18 @@ def finalize_calibration(model: LogisticRegressionModel, prepared: DataFrame,
                          folder: str | None = None) -> FinalCalibration:
     """M16. Isotonic fit on all validation rows, frozen, judged on the test rows."""
     split = F.col("modeling_split")
-    isotonic = fit_isotonic(_scores(model, prepared.where(split == "validation"), "validation-scores"))
-    test = materialize(apply_isotonic(isotonic, _scores(model, prepared.where(split == "test"), "test-scores")),
-                       "calibrated-test-scores")
-    reports = compare_candidates(test, {"uncalibrated": "p", "isotonic": "p_isotonic"})
+    return finalize_scored(_scores(model, prepared.where(split == "validation"), "validation-scores"),
+                           _scores(model, prepared.where(split == "test"), "test-scores"), folder)
+
+
+def finalize_scored(validation: DataFrame, test: DataFrame, folder: str | None = None) -> FinalCalibration:
+    """M16 from scored rows (id, bad_loan, z, p). With a folder the model is saved, and it is the loaded one that is judged."""
+    isotonic = fit_isotonic(validation)
     if folder:
         save_model(isotonic, f"{folder}/isotonic")
+        isotonic = load_model(test.sparkSession, f"{folder}/isotonic", "isotonic")
+    calibrated = materialize(apply_isotonic(isotonic, test), "calibrated-test-scores")
+    reports = compare_candidates(calibrated, {"uncalibrated": "p", "isotonic": "p_isotonic"})
+    if folder:
         write_comparison_reports(reports, folder)
-    return FinalCalibration(isotonic, test, reports)
+    return FinalCalibration(isotonic, calibrated, reports)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.linalg import VectorUDT
@@ -130,22 +131,27 @@ def read_features(spark: SparkSession, path: str, label: str = "bad_loan", vecto
     """S8, J5. Keyed table with vector and label: present, non-empty, labels 0 or 1, vectors of the right size
     and finite."""
     from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
 
     df = spark.read.parquet(path)
     require_columns(df, [label, vector], path)
     if not isinstance(df.schema[vector].dataType, VectorUDT):
         raise DataCheckError(f"{vector} is not a vector column")
-    values = vector_to_array(vector)
-    unusable = F.exists(values, lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
     y = F.col(label)
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(y.isNull() | ~y.isin(0, 1)).alias("labels"),
-        F.min(F.size(values)).alias("low"), F.max(F.size(values)).alias("high"),
-        F.count_if(unusable).alias("unusable")).first()
-    if not row.rows or not row.high:
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(y.isNull() | ~y.isin(0, 1)).alias("labels")).first()
+    if not row.rows:
         raise DataCheckError(f"{path} holds no rows or no features")
     if row.labels:
         raise DataCheckError(f"{row.labels} labels are not 0 or 1")
-    if row.unusable or row.low != row.high or (names is not None and row.high != len(names)):
+    try:  # sums per slot, without making the vectors dense; vectors of different sizes are refused there
+        norms = df.agg(Summarizer.metrics("normL1").summary(F.col(vector)).alias("m")).select(
+            vector_to_array("m.normL1").alias("norms")).first().norms
+    except Exception as error:
+        if "imension" not in str(error):
+            raise
+        raise DataCheckError(f"{path}: vectors are not of one size") from error
+    if not norms:
+        raise DataCheckError(f"{path} holds no rows or no features")
+    if not all(math.isfinite(norm) for norm in norms) or (names is not None and len(norms) != len(names)):
         raise DataCheckError(f"{path}: vectors not finite or not of one size that matches the names")
     return df
