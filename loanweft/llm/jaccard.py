@@ -9,30 +9,33 @@ twice:
   ``(1 - t) / (1 + t) * (|A| + |B|)`` shingles, so one fragment at least is
   equal in both. The number of fragments follows from the size, on a grid, and
   a set near a step of the grid is cut for both sides. A fragment that is empty
-  in both says nothing: a set with an empty fragment is cut once more, by
-  another hash, until none is empty. So no link is lost, and a shingle that
+  in both says nothing: some are spared for that, and a set with more empty
+  ones is cut once more, by another hash. So no link is lost, and a shingle that
   very many texts share makes no candidates by itself.
 * For verification, into a fixed number of fragments: of each candidate pair
   the overlap in each fragment is counted apart, and the counts are summed.
 
 Equal sets are one class first. Of the sets that share a fragment not all pairs
-are formed: each is paired with the one of smallest id, links are verified and
-give components, and only sets of different components that still share a
-fragment are paired in a second round. Whatever is not paired is connected
-already.
+are formed: each is paired with the one of smallest id, its leader, links are
+verified and give components. Only sets with one leader that lie in different
+components are compared in a second round, by what they differ from the leader
+in (see ``second_round``). Whatever is not paired is connected already or too
+far apart.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, materialize, mixed, over_batches, pick, raw, shingle_hashes
+from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, pick, raw, shingle_hashes
 from loanweft.llm.components import components
 
 WORDS = 3
@@ -40,7 +43,9 @@ PERCENT = 90
 FRAGMENTS = 4  # of a set, for counting overlaps
 STEP = 1.5  # between numbers of fragments on the grid
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
-TOGETHER = 2
+TOGETHER = 1
+NOBODY = -(1 << 63)
+SHARED = "signature bigint, leader bigint, doc_id bigint"
 
 
 def distinct_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
@@ -57,27 +62,33 @@ def most_apart(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-def grid(least: int) -> int:
+@functools.lru_cache(maxsize=100_000)
+def spared(size: int, percent: int) -> int:
+    """Of ``size`` fragments, how many may be empty: more than a set usually has."""
+    mean = size * math.exp(-(100 + percent) / (2 * (100 - percent)) / STEP)
+    return math.ceil(mean + 2 * math.sqrt(mean)) if mean > 0.05 else 0
+
+
+def level(apart: int, percent: int) -> int:
+    """Smallest number of fragments on the grid of which more than ``apart`` remain, even without the spared ones."""
     size = 2
-    while size < least:
+    while size - spared(size, percent) <= apart:
         size = max(size + 1, int(size * STEP))
     return size
 
 
-def levels(n: int, percent: int) -> list[int]:
-    """Numbers of fragments that a set of ``n`` shingles is cut into: for partners up to its size, and for larger ones."""
+@functools.lru_cache(maxsize=100_000)
+def levels(n: int, percent: int) -> tuple[int, ...]:
+    """Numbers of fragments that a set of ``n`` shingles is cut into: those that it may share with partners of its size and larger ones."""
     largest = n * 100 // percent
-    made = set()
-    for size in {n, largest, *range(n, min(largest, n + 20))}:
-        apart = most_apart(2 * size, percent)
-        if apart:
-            made.add(grid(apart + 1))
-    low, high = (min(made), max(made)) if made else (0, -1)
-    steps = grid(low) if made else 0
-    while made and steps < high:
-        steps = grid(steps + 1)
-        made.add(steps)
-    return sorted(made)
+    low, high = (most_apart(2 * size, percent) for size in (n, largest))
+    if not high:
+        return ()  # only equal sets link
+    size, last, made = level(max(low, 1), percent), level(high, percent), []
+    while size < last:
+        made.append(size)
+        size = max(size + 1, int(size * STEP))
+    return (*made, last)
 
 
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -87,13 +98,14 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
         seed = 0
         while True:
             spread = mixed(shingles + np.uint64(seed * int(MIX) % (1 << 64))) if seed else shingles
-            fragment = ((spread >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
-            sums, counts = np.zeros(size, np.uint64), np.bincount(fragment.astype(np.int64), minlength=size)
-            np.add.at(sums, fragment.astype(np.int64), mixed(spread))
-            label = np.arange(size, dtype=np.uint64) + np.uint64((size << 20) + (seed << 52))
-            full = counts > 0
-            found.append(mixed(sums[full] + mixed(label[full] * MIX + np.uint64(1))))
-            if full.all() or seed == 15:
+            fragment = (((spread >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
+            if seed:
+                order = np.argsort(fragment, kind="stable")
+                spread, fragment = spread[order], fragment[order]
+            first = np.flatnonzero(np.r_[True, fragment[1:] != fragment[:-1]])
+            label = mixed(fragment[first].astype(np.uint64) + np.uint64((size << 20) + (seed << 52)))
+            found.append(mixed(np.add.reduceat(mixed(spread), first) + label))
+            if size - len(first) <= spared(size, percent):
                 break
             seed += 1
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
@@ -110,16 +122,60 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return over_batches(docs, run, "doc_id bigint, n_shingles bigint, digest binary", TOGETHER)
 
 
-def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, size, signatures)."""
+def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(signature, leader, doc_id) of every text that shares a signature with others; the leader is the smallest id among them.
 
-    def run(piece: pa.RecordBatch) -> pa.RecordBatch:
-        sets = distinct_sets(*raw(piece.column(1)), words)
-        made = [signatures(s, percent).astype(np.int64) for s in sets]
-        return pa.RecordBatch.from_pydict({"doc_id": piece.column(0), "size": pa.array([len(s) for s in sets], pa.int32()),
-                                           "signatures": pa.array(made, pa.list_(pa.int64()))})
+    Of the texts that a task reads together one per signature is sent, the one
+    of smallest id; the others are bound to it and go to random partitions, so
+    a signature that very many texts share is met by few rows. The bound ones
+    then take over the leader of the one that they are bound to.
+    """
 
-    return over_batches(docs, run, "doc_id bigint, size int, signatures array<bigint>", TOGETHER)
+    def send(piece: pa.RecordBatch) -> pa.RecordBatch:
+        made = [signatures(s, percent) for s in distinct_sets(*raw(piece.column(1)), words)]
+        signature = np.concatenate(made).astype(np.int64)
+        doc = np.repeat(np.asarray(piece.column(0)), [len(m) for m in made])
+        order = np.lexsort((doc, signature))
+        signature, doc = signature[order], doc[order]
+        first = np.r_[True, signature[1:] != signature[:-1]] if len(doc) else np.zeros(0, bool)
+        leader = doc[np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))]
+        shared = ~first | np.r_[~first[1:], False] if len(doc) else first
+        return pa.RecordBatch.from_pydict({"signature": pa.array(signature), "leader": pa.array(leader, mask=~shared), "doc_id": pa.array(doc)})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last signature's leader: rows still to come may share it
+        for batch in batches:
+            signature, doc = np.asarray(batch.column(0)), np.asarray(batch.column(2))
+            own = np.asarray(batch.column(1).fill_null(NOBODY))
+            bound = (own != NOBODY) & (own != doc)
+            yield rows(signature[bound], own[bound], doc[bound], True)
+            signature, doc, known = signature[~bound], doc[~bound], own[~bound] != NOBODY
+            if not len(doc):
+                continue
+            sent = np.zeros(len(doc), bool)
+            if held:
+                signature, doc = np.r_[held[0], signature], np.r_[held[1], doc]
+                known, sent = np.r_[held[2], known], np.r_[held[3], sent]
+            first = np.r_[True, signature[1:] != signature[:-1]]
+            at = np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))
+            shared = ~first | np.r_[~first[1:], False] | known
+            out = shared & ~sent
+            yield rows(signature[out], doc[at][out], doc[out], False)
+            last = at[-1]
+            held = signature[last], doc[last], known[last], bool(shared[last])
+
+    def rows(signature: np.ndarray, leader: np.ndarray, doc: np.ndarray, bound: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signature, pa.int64()), pa.array(leader, pa.int64()), pa.array(doc, pa.int64()),
+                                           pa.array(np.full(len(doc), bound))], names=["signature", "leader", "doc_id", "bound"])
+
+    sent = over_batches(docs, send, SHARED, TOGETHER)
+    free = F.col("leader").isNull() | (F.col("leader") == F.col("doc_id"))
+    placed = sent.repartition(parts_of(docs, 20_000), F.when(free, F.col("signature")).otherwise(F.xxhash64("signature", "doc_id")))
+    met = materialize(placed.sortWithinPartitions("signature", "doc_id").mapInArrow(meet, SHARED + ", bound boolean"), "fragment-members")
+    heads = met.filter("not bound").select("signature", "leader", "doc_id")
+    to = heads.select(F.col("signature").alias("s"), F.col("leader").alias("head"), F.col("doc_id").alias("via"))
+    bound = met.filter("bound").join(to, (F.col("signature") == F.col("s")) & (F.col("leader") == F.col("via")))
+    return heads.unionByName(bound.select("signature", F.col("head").alias("leader"), "doc_id"))
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -142,26 +198,39 @@ def segments(docs: DataFrame, words: int, fragments: int) -> DataFrame:
     return over_batches(docs, run, "doc_id bigint, fragment int, size int, segment binary", TOGETHER)
 
 
-def links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: overlaps are counted per fragment and summed per pair."""
+def overlaps(pairs: DataFrame, docs: DataFrame, words: int, fragments: int = FRAGMENTS) -> DataFrame:
+    """(a, b, size_a, size_b, fragment, common, apart) of pairs (a, b), written to the shared folder.
+
+    Of each fragment the number of common shingles, and those that only one of
+    the two texts has.
+    """
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    parts = segments(with_ids(docs, needed, "left_semi"), words, fragments)
+    parts = materialize(segments(with_ids(docs, needed, "left_semi"), words, fragments), "segments")
     left = parts.select(F.col("doc_id").alias("a"), "fragment", F.col("size").alias("size_a"), F.col("segment").alias("segment_a"))
     right = parts.select(F.col("doc_id").alias("b"), "fragment", F.col("size").alias("size_b"), F.col("segment").alias("segment_b"))
     cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
     together = cut.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True))
-                      for x, y in zip(batch.column(4), batch.column(5))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common, pa.int64())], names=["a", "b", "size_a", "size_b", "common"])
+    def run(piece: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [tuple(np.frombuffer(s.as_buffer(), np.uint64) for s in both) for both in zip(piece.column(5), piece.column(6))]
+        apart = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in sets]
+        common = [(len(x) + len(y) - len(d)) // 2 for (x, y), d in zip(sets, apart)]
+        return pa.RecordBatch.from_arrays([*piece.columns[:5], pa.array(common, pa.int32()), pa.array(apart, pa.list_(pa.int64()))],
+                                          names=["a", "b", "size_a", "size_b", "fragment", "common", "apart"])
+
+    schema = "a bigint, b bigint, size_a int, size_b int, fragment int, common int, apart array<bigint>"
+    return materialize(over_batches(together.select("a", "b", "size_a", "size_b", "fragment", "segment_a", "segment_b"), run, schema, 2,
+                                    ["segment_a", "segment_b"]), "overlaps")
+
 
-    counted = together.select("a", "b", "size_a", "size_b", "segment_a", "segment_b").mapInArrow(
-        run, "a bigint, b bigint, size_a int, size_b int, common bigint")
-    summed = counted.groupBy("a", "b", "size_a", "size_b").agg(F.sum("common").alias("common"))
+def summed(counted: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b, common): the fragments' counts summed per pair."""
+    return counted.groupBy("a", "b", "size_a", "size_b").agg(F.sum("common").alias("common"))
+
+
+def linked(counted: DataFrame, percent: int) -> DataFrame:
     union = F.col("size_a") + F.col("size_b") - F.col("common")
-    return summed.filter(100 * F.col("common") >= percent * union).select("a", "b")
+    return materialize(summed(counted).filter(100 * F.col("common") >= percent * union).select("a", "b"), "links")
 
 
 def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -181,16 +250,14 @@ def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     copies = rows.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     docs = once(docs.filter("doc_id is not null"), rows)
     ready = with_ids(docs, copies, "left_anti")
-    marks = signed(ready, words, percent).select("doc_id", "size", F.explode("signatures").alias("signature"))
-    first = marks.groupBy("signature").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("signature", "leader")
-    members = materialize(marks.join(first, "signature").select("signature", "leader", "doc_id", "size"), "fragment-members")
+    members = members_of(ready, words, percent)
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    found = materialize(links(pairs, docs, words, percent), "links")
+    counted = overlaps(pairs, docs, words)
+    found = linked(counted, percent)
     nodes = components(found)
-    other = materialize(second_round(members, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    other = materialize(second_round(counted, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if other.limit(1).count():
-        more = materialize(links(other, docs, words, percent), "links")
-        nodes = components(found.unionByName(more))
+        nodes = components(found.unionByName(linked(overlaps(other, docs, words), percent)))
     of_class = rows.join(shared, "digest", "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
     return of_class.join(nodes, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
@@ -201,14 +268,33 @@ def once(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs if counted.n == counted.d else docs.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def second_round(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a fragment, lie in different components and are near enough in size."""
-    placed = members.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "signature", "doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
-    mixed_up = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
-    rest = placed.join(mixed_up, "signature")
-    a = rest.select("signature", F.col("doc_id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("of_a"))
-    b = rest.select("signature", F.col("doc_id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("of_b"))
-    near = (F.col("of_a") != F.col("of_b")) & (F.col("a") < F.col("b")) & (
-        100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-    return a.join(b, "signature").filter(near).select("a", "b").distinct()
+def second_round(counted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of texts with one leader that may link although they lie in different components.
+
+    What two texts differ in is what just one of them differs from the leader
+    in: with x and y elements that they have not in common with the leader, of
+    which o are the same, they are x + y - 2 o apart. That is little enough
+    only if o is large, so of each text's differences, the rarest among the
+    leader's texts first, just as many as two texts may be apart, plus one, are
+    looked at: linked texts share one of these, at places behind which enough
+    are left. Differences that all have, such as the leader's own edits, come
+    last and bind nobody.
+    """
+    apart = F.col("size_a") + F.col("size_b") - 2 * F.col("common")
+    texts = summed(counted).select("a", "b", F.col("size_b").alias("size"), apart.alias("apart"))
+    named = nodes.select(F.col("node").alias("n"), "component")
+    texts = texts.join(named, F.col("b") == F.col("n"), "left").select("a", "b", "size", "apart", F.coalesce("component", "b").alias("component"))
+    texts = materialize(texts, "texts")
+    several = texts.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("a")
+    texts = texts.join(several, "a")
+    elements = materialize(counted.select("a", "b", F.explode("apart").alias("e")).join(several, "a", "left_semi"), "differences")
+    often = elements.groupBy("a", "e").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("n", "e"))
+    ranked = elements.join(often, ["a", "e"]).withColumn("i", rank).join(texts, ["a", "b"])
+    reach = F.floor((F.col("size") + F.floor(F.col("size") * 100 / percent)) * (100 - percent) / (100 + percent)) + 1
+    first = materialize(ranked.filter((F.col("i") <= reach) & (F.col("n") > 1)).drop("n"), "first-differences")
+    x, y = (first.select("a", "e", *[F.col(c).alias(f"{c}_{side}") for c in ("b", "i", "size", "apart", "component")]) for side in "xy")
+    most = F.floor((F.col("size_x") + F.col("size_y")) * (100 - percent) / (100 + percent))
+    left = F.least(F.col("apart_x") - F.col("i_x"), F.col("apart_y") - F.col("i_y")) + 1
+    may = (F.col("b_x") < F.col("b_y")) & (F.col("component_x") != F.col("component_y")) & (2 * left >= F.col("apart_x") + F.col("apart_y") - most)
+    return x.join(y, ["a", "e"]).filter(may).select(F.col("b_x").alias("a"), F.col("b_y").alias("b")).distinct()
