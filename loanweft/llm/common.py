@@ -34,14 +34,14 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return apart.select(*[F.col(f"_{names.index(name)}").cast(kind).alias(name) for name, kind in wanted.items()])
 
 
-def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, mb: int = 4,
+def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, mb: float = 4,
                  sizes: Sequence[str] = ("text",), prepare: Callable[[], object] | None = None) -> DataFrame:
     """``mapInArrow`` that hands ``function`` at most about ``mb`` MB of the columns ``sizes`` at a time (one row at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = prepare() if prepare else None
         for batch in batches:
-            for piece in slices(batch, sizes, mb << 20):
+            for piece in slices(batch, sizes, int(mb * (1 << 20))):
                 made = function(piece, state) if prepare else function(piece)
                 if made is not None and made.num_rows:
                     yield made

@@ -40,9 +40,9 @@ from loanweft.llm.common import materialize, mixed, over_batches, parts_of, pick
 LENGTH = 100
 GRAM = 24
 CELL = 8  # start positions in a cell of the second round
-TOGETHER = 2
-PAIRS_PER_PART = 2_000_000
-BROADCAST_KEYS = 500_000  # texts with cells or spans to which these are sent; more are joined by a shuffle
+TOGETHER = 0.25  # MB: a text's arrays take some 150 bytes for each of its own
+BROADCAST_KEYS = 500_000  # texts with lists that are sent to every task, if these hold
+BROADCAST_ITEMS = 4_000_000  # numbers together at most (32 MB); otherwise they are joined by a shuffle
 NO_ID = -(1 << 63)
 REPEATED, OPEN = 1, 2
 
@@ -91,17 +91,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return anchor[first], anchor[first] - start[last], anchor[first] - start[first], of
 
 
-PAIR = "key bigint, core bigint, whole bigint, doc bigint, pos bigint"
+PAIR = "core bigint, whole bigint, doc bigint, pos bigint"
 
 
 def pairs(core: np.ndarray, whole: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Rank-position pairs for the shuffle; of equal cells the first only, the others as repeated ones (core 0, whole 0) at a random key."""
+    """Rank-position pairs for the shuffle; of equal cells the first only, the others as repeated ones (core 0, whole 0)."""
     order = np.lexsort((pos, doc, whole, core))
     core, whole, doc, pos = core[order], whole[order], doc[order], pos[order]
     again = np.r_[False, (core[1:] == core[:-1]) & (whole[1:] == whole[:-1])] if len(core) else np.zeros(0, bool)
-    key = np.where(again, mixed((doc * 31 + pos).astype(np.uint64)), core)
     return pa.RecordBatch.from_pydict({name: pa.array(values.astype(np.uint64).view(np.int64)) for name, values in (
-        ("key", key), ("core", np.where(again, 0, core)), ("whole", np.where(again, 0, whole)), ("doc", doc.astype(np.int64)), ("pos", pos))})
+        ("core", np.where(again, 0, core)), ("whole", np.where(again, 0, whole)), ("doc", doc.astype(np.int64)), ("pos", pos))})
 
 
 def ranked(units: DataFrame, parts: int) -> DataFrame:
@@ -141,7 +140,9 @@ def ranked(units: DataFrame, parts: int) -> DataFrame:
                                            "state": pa.array(np.full(len(doc), state, np.int32))})
 
     # the sort is by rank, then by position: the first of equal cells is the earliest
-    placed = units.repartition(parts, "key").select("core", "whole", "doc", "pos").sortWithinPartitions("core", "whole", "doc", "pos")
+    known = (F.col("core") == 0) & (F.col("whole") == 0)
+    spread = F.when(known, F.xxhash64("doc", "pos")).otherwise(F.col("core"))
+    placed = units.repartition(parts, spread).sortWithinPartitions("core", "whole", "doc", "pos")
     return placed.mapInArrow(run, "doc bigint, pos bigint, state int")
 
 
@@ -156,14 +157,17 @@ def numbered(df: DataFrame) -> DataFrame:
 
 
 def join_by_key(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """``docs`` with the lists of their (doc, copy); ``lists`` is a written table, sent to every task if its number of rows is checked to be small."""
-    small = lists.count() <= BROADCAST_KEYS
+    """``docs`` with what ``lists`` (a written table) has for their (doc, copy); it is sent to every task if its size is checked to be small."""
+    arrays = [F.sum(F.size(name)) for name, kind in lists.dtypes if kind.startswith("array")]
+    rows, items = lists.agg(F.count("*"), F.coalesce(*arrays, F.lit(0)) if arrays else F.lit(0)).first()
+    small = rows <= BROADCAST_KEYS and items <= BROADCAST_ITEMS
     return docs.join(F.broadcast(lists) if small else lists, ["doc", "copy"], how)
 
 
-def per_text(cells: DataFrame, name: str, value: str) -> DataFrame:
+def per_text(cells: DataFrame) -> DataFrame:
+    """(doc, copy, cells): the cells of each text."""
     copy = F.shiftrightunsigned("pos", 46).cast("int")
-    return materialize(cells.groupBy("doc", copy.alias("copy")).agg(F.collect_list(value).alias("cells")), name)
+    return cells.groupBy("doc", copy.alias("copy")).agg(F.collect_list("pos").alias("cells"))
 
 
 def first_round(docs: DataFrame) -> DataFrame:
@@ -180,11 +184,11 @@ def first_round(docs: DataFrame) -> DataFrame:
 
 def contexts(docs: DataFrame, cells: DataFrame) -> DataFrame:
     """(doc, pos, context): the bytes that the stretches of each open cell cover."""
-    wanted = join_by_key(docs.select("doc", "copy", "text"), per_text(cells, "open-cells", "pos"), "inner")
+    wanted = join_by_key(docs.select("doc", "copy", "text"), materialize(per_text(cells), "open-cells"), "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, ["text"], TOGETHER << 20):
+            for piece in slices(batch, ["text"], 1 << 20):
                 doc, pos, content = [], [], []
                 for key, text, cells_of in zip(piece.column(0).to_pylist(), piece.column(2).cast(pa.binary()), piece.column(3)):
                     whole, of = text.as_py(), np.asarray(cells_of.values)
@@ -215,11 +219,11 @@ def smaller_cells(context: DataFrame, size: int) -> DataFrame:
         whole = mixed(of(at - far, at - near + LENGTH) + mixed(((near << 7) | far).astype(np.uint64)))
         return pairs(core, whole, doc[row], pack(pos[row] >> 46, anchor[row], near, far))
 
-    return over_batches(context, run, PAIR, 1, ["context"])
+    return over_batches(context, run, PAIR, TOGETHER, ["context"])
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc, copy, cells): of each text with repeated stretches, the start positions' ranges as packed cells."""
+    """(doc, copy, runs): of each text with repeated stretches, begin and end of each maximal run of bytes that they cover, in order."""
     parts = parts_of(docs, 50_000, docs.count())
     first = materialize(ranked(first_round(docs), parts), "ranks")
     context = contexts(docs, first.filter(F.col("state") == OPEN))
@@ -236,21 +240,25 @@ def spans(docs: DataFrame) -> DataFrame:
         cut = [c.as_py()[a:b] for c, a, b in zip(piece.column(2), (high - far).tolist(), (high - near + LENGTH).tolist())]
         return pa.RecordBatch.from_pydict({"doc": piece.column(0), "pos": pa.array((pos >> 14 << 14) | reach), "context": pa.array(cut, pa.binary())})
 
-    cells = over_batches(joined.select("doc", "pos", "context", "reach"), narrow, "doc bigint, pos bigint, context binary", 1, ["context"])
+    cells = over_batches(joined.select("doc", "pos", "context", "reach"), narrow, "doc bigint, pos bigint, context binary", TOGETHER, ["context"])
     third = ranked(smaller_cells(cells, 1), parts)
     every = first.unionByName(second).unionByName(third).filter(F.col("state") == REPEATED)
-    return per_text(every, "repeated-cells", "pos")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [covered(np.asarray(cells.values)) for cells in batch.column(2)]
+            yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "copy": batch.column(1), "runs": pa.array(runs, pa.list_(pa.int32()))})
+
+    return materialize(per_text(every).mapInArrow(run, "doc bigint, copy int, runs array<int>"), "repeated-runs")
 
 
-def covered(length: int, pos: np.ndarray) -> np.ndarray:
-    """Ends of the maximal removed runs of a text, (n, 2)."""
+def covered(pos: np.ndarray) -> np.ndarray:
+    """Begin and end, alternating, of the maximal runs of bytes that the cells' stretches cover."""
     anchor, low, high = unpack(pos)
-    edge = np.zeros(length + 1, np.int64)
-    np.add.at(edge, anchor - high, 1)
-    np.add.at(edge, anchor - low + LENGTH, -1)
-    inside = np.cumsum(edge[:-1]) > 0
-    turns = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
-    return turns.reshape(-1, 2)
+    order = np.argsort(anchor - high)
+    begin, end = (anchor - high)[order], np.maximum.accumulate((anchor - low + LENGTH)[order])
+    first = np.r_[True, begin[1:] > end[:-1]]
+    return np.stack([begin[first], end[np.r_[first[1:], True]]], axis=1).reshape(-1).astype(np.int32)
 
 
 def remove_repeats(df: DataFrame) -> DataFrame:
@@ -264,19 +272,18 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     columns are left out.
     """
     docs = numbered(df)
-    joined = join_by_key(docs, spans(docs), "left").select("doc_id", "text", "cells")
+    joined = join_by_key(docs, spans(docs), "left").select("doc_id", "text", "runs")
 
     def run(piece: pa.RecordBatch) -> pa.RecordBatch:
         n_bytes, n_removed, n_spans, kept = [], [], [], []
-        for text, cells in zip(piece.column(1).cast(pa.binary()), piece.column(2)):
-            content = text.as_py() or b""
-            runs = covered(len(content), np.asarray(cells.values)) if cells.is_valid else np.zeros((0, 2), np.int64)
+        for text, found in zip(piece.column(1).cast(pa.binary()), piece.column(2).to_pylist()):
+            content, runs = text.as_py() or b"", found or []
             n_bytes.append(len(content))
-            n_removed.append(int((runs[:, 1] - runs[:, 0]).sum()))
-            n_spans.append(len(runs))
-            edges = [0, *runs.reshape(-1).tolist(), len(content)]
+            n_removed.append(sum(runs[1::2]) - sum(runs[::2]))
+            n_spans.append(len(runs) // 2)
+            edges = [0, *runs, len(content)]
             kept.append(b"".join(content[a:b] for a, b in zip(edges[::2], edges[1::2])))
         return pa.RecordBatch.from_pydict({"doc_id": piece.column(0), "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
                                            "n_spans": pa.array(n_spans, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
-    return over_batches(joined, run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", TOGETHER)
+    return over_batches(joined, run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", 2)
