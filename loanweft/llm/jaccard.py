@@ -43,7 +43,7 @@ PERCENT = 90
 FRAGMENTS = 4  # of a set, for counting overlaps
 STEP = 1.5  # between numbers of fragments on the grid
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
-TOGETHER = 1
+TOGETHER = 0.5
 NOBODY = -(1 << 63)
 SHARED = "signature bigint, leader bigint, doc_id bigint"
 
