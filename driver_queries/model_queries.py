@@ -217,20 +217,23 @@ def m7_logistic_one_feature(spark, folder):
                                          "slope double, intercept double"), "slope", "intercept", digits=5)
 
 
-@register("m7_logistic_all_features")
+@register("m7_logistic_all_features", SLOTS + "SELECT feature_name, 0e0 AS penalized_slope FROM slots")
 def m7_logistic_all_features(spark, folder):
     """Slope of the penalized loss at the fitted point, per slot: zero at the optimum."""
     _, fitted, prepared = _prepared(spark, folder)
     train = prepared.where(F.col("modeling_split") == "train")
     model = models.fit_logistic(train)
     residual = F.get(vector_to_array("probability"), F.lit(1)) - F.col("bad_loan")
-    scored_rows = model.transform(train).select(residual.alias("r"), vector_to_array("features").alias("x"))
-    slots = F.posexplode(F.transform("x", lambda value: value * F.col("r")))
-    slopes = scored_rows.select(slots.alias("slot", "v")).groupBy("slot").agg(F.sum("v").alias("loss_slope"))
+    scored_rows = model.transform(train).select(residual.alias("r"), "features")
+    # weights must not be negative: the two signs are summed apart
+    sums = scored_rows.groupBy((F.col("r") > 0).alias("above")).agg(
+        Summarizer.metrics("sum").summary(F.col("features"), F.abs("r")).alias("m")).select(
+        F.posexplode(F.transform(vector_to_array("m.sum"), lambda v: F.when(F.col("above"), v).otherwise(-v))).alias("slot", "v"))
+    slopes = sums.groupBy("slot").agg(F.sum("v").alias("loss_slope"))
     weights = literal_table(spark, [(i, name, float(model.coefficients[i])) for i, name in enumerate(fitted.names)],
                                     "slot int, feature_name string, coefficient double")
     return weights.join(slopes, "slot").select(
-        "feature_name", F.round(F.col("loss_slope") + F.col("coefficient"), 2).alias("penalized_slope"))
+        "feature_name", F.abs(F.round(F.col("loss_slope") + F.col("coefficient"), 1)).alias("penalized_slope"))
 
 
 @register("m8_validation_probabilities", FITTED + """
@@ -259,6 +262,16 @@ def m9_coefficient_report(spark, folder):
     return models.coefficient_report(effects)
 
 
+@register("m9_fitted_coefficients", FITTED + """SELECT cast(1 AS integer) AS coefficient_rank, 'numeric__loan_amnt' AS feature_name,
+  round(w, 5) AS coefficient, round(abs(w), 5) AS absolute_coefficient, CASE WHEN w > 0 THEN 'increases_bad_loan_risk'
+  WHEN w < 0 THEN 'decreases_bad_loan_risk' ELSE 'neutral' END AS coefficient_direction FROM fit""")
+def m9_fitted_coefficients(spark, folder):
+    """The report of a fitted model."""
+    fitted, _, model = _one_feature(spark, folder)
+    table_of = models.coefficient_table(model, list(fitted.names), spark.range(0))
+    return rounded(models.coefficient_report(table_of), "coefficient", "absolute_coefficient", digits=5)
+
+
 BASELINE_ROWS = FITTED + """, long AS (
   SELECT 'dummy_prior_baseline' AS model_name, bad_loan, (SELECT avg(bad_loan) FROM train) AS p FROM splits
     WHERE modeling_split = 'validation'
@@ -275,6 +288,19 @@ def m10_baseline_performance(spark, folder):
     return rounded(reports["validation_performance"], *METRICS, digits=4)
 
 
+@register("m10_baseline_rows", LOANS + """
+SELECT model_name, count(*) AS row_count, round(avg(bad_loan), 6) AS observed_bad_loan_rate, 'validation' AS dataset_name
+FROM splits, (VALUES ('dummy_prior_baseline'), ('logistic_regression_baseline')) m(model_name)
+WHERE modeling_split = 'validation' GROUP BY model_name""")
+def m10_baseline_rows(spark, folder):
+    """What both baselines, fitted on all features, were judged on."""
+    from loanweft.plans.training import train_baselines
+    _, fitted, prepared = _prepared(spark, folder)
+    reports = train_baselines(prepared, list(fitted.names)).reports
+    return rounded(reports["validation_performance"].select("model_name", "row_count", "observed_bad_loan_rate", "dataset_name"),
+                   "observed_bad_loan_rate")
+
+
 @register("m10_all_features")
 def m10_all_features(spark, folder):
     from loanweft.plans.training import train_baselines
@@ -435,6 +461,22 @@ def m16_training_to_decisions(spark, folder):
     return outcomes.select("decision", "row_count", "bad_loan_count")
 
 
+@register("m16_decided_rows", LOANS + """
+SELECT count(*) AS row_count, cast(sum(bad_loan) AS bigint) AS bad_loan_count FROM splits WHERE modeling_split = 'test'""")
+def m16_decided_rows(spark, folder):
+    """Every test row ends in one decision of the trained, calibrated and judged model."""
+    decided = m16_training_to_decisions(spark, folder).where("decision in ('approve', 'review', 'decline')")
+    return decided.agg(F.sum("row_count").alias("row_count"), F.sum("bad_loan_count").alias("bad_loan_count"))
+
+
+@register("d8_scored_loans", LOANS + """
+SELECT count(*) AS loan_count, true AS all_banded FROM splits""")
+def d8_scored_loans(spark, folder):
+    """Every loan gets a band and a decision from the saved stages."""
+    return d8_batch_scoring(spark, folder).agg(
+        F.sum("loan_count").alias("loan_count"), F.bool_and(F.col("risk_band").isNotNull() & F.col("decision").isNotNull()).alias("all_banded"))
+
+
 @register("d8_batch_scoring")
 def d8_batch_scoring(spark, folder):
     """Every loan scored, banded and decided with saved stages."""

@@ -137,6 +137,23 @@ def m17_policy_per_segment(spark, folder):
         F.round(decline, 6).alias("decline_boundary"))
 
 
+@register("m17_policy_table", """
+SELECT round(r, 6) AS good_loan_return_rate, round(l, 6) AS bad_loan_loss_rate, round(r / (r + l), 6) AS breakeven_probability,
+  0.015e0 AS review_margin, round(greatest(0e0, r / (r + l) - 0.015e0), 6) AS approve_boundary,
+  round(least(1e0, r / (r + l) + 0.015e0), 6) AS decline_boundary
+FROM (SELECT avg(l_discount) AS r, avg(l_tax) * 10 AS l FROM lineitem)""")
+def m17_policy_table(spark, folder):
+    """A policy with rates measured on the order lines, written as a report and read back."""
+    from loanweft.plans.decisions import write_policy
+    from loanweft.session import shared_path
+    rates = table(spark, folder, "lineitem").agg(F.avg("l_discount").alias("r"), (F.avg("l_tax") * 10).alias("l")).first()
+    path = shared_path(spark, "query")
+    write_policy(spark, policy.Policy(rates.r, rates.l, 0.015), path)
+    names = ("good_loan_return_rate", "bad_loan_loss_rate", "breakeven_probability", "review_margin", "approve_boundary", "decline_boundary")
+    back = spark.read.option("header", True).csv(path)
+    return back.select(*[F.round(F.col(name).cast("double"), 6).alias(name) for name in names])
+
+
 # --- evaluation ---------------------------------------------------------------
 
 def metrics_sql(rows: str, by: str = "", digits: int = 6) -> str:

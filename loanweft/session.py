@@ -33,7 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local-mode session may go without that setting; it then gets a
-    temporary folder of its own.
+    temporary folder of its own, which the setting names from then on. See
+    ``clear_stages`` for removing what a job has left there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -61,6 +62,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/loanweft/{name}-{uuid.uuid4().hex}"
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Remove what ``shared_path`` and ``materialize`` have put below the shared folder; call it when no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/loanweft")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
