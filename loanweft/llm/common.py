@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +112,11 @@ def polynomial(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarra
     return of
 
 
+def bucketizer(cuts: Sequence[float], column: str, name: str) -> Bucketizer:
+    """``name``: in which of the ranges between ``cuts`` the double ``column`` lies; two ranges at least."""
+    return Bucketizer(splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol=column, outputCol=name)
+
+
 def parts_of(df: DataFrame, rows_per_part: int, rows: int | None = None) -> int:
     """Number of partitions that holds ``rows_per_part`` rows each; at least the session's shuffle partitions."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -20,11 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import over_batches, pick, raw, shingle_hashes, slices
+from loanweft.llm.common import bucketizer, over_batches, pick, raw, shingle_hashes, slices
 
 K = 256
 BITS = 48  # of each hash
@@ -114,7 +113,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     rows = ids.count()
     ranges = int(min(MOST_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_RANGE)))
     cuts = sorted(set(ids.approxQuantile("number", [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if rows else []
-    split = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="number", outputCol="part")
+    split = bucketizer(cuts, "number", "part")
     largest = sorted(split.transform(ids).groupBy(F.col("part").cast("int").alias("part")).agg(F.max("number").alias("top")).collect())
     carry = [(a.top, b.part) for a, b in zip(largest, [*largest[1:], largest[0]])] if largest else []
     own = split.transform(docs.withColumn("number", number)).withColumn("part", F.col("part").cast("int"))

@@ -27,11 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, materialize, mixed, raw, shared_path, slices
+from loanweft.llm.common import MIX, bucketizer, materialize, mixed, raw, shared_path, slices
 from loanweft.llm.forced_bpe import content_of, loaded
 from loanweft.llm.substrings import NO_ID, join_by_key, numbered
 
@@ -92,7 +91,7 @@ def reserved(docs: DataFrame, length: int) -> tuple[DataFrame, int]:
     n = rows.count()
     ranges = int(min(MOST_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 500_000)))
     cuts = sorted(set(rows.approxQuantile("at", [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if n else []
-    split = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at", outputCol="part")
+    split = bucketizer(cuts, "at", "part")
     parted = split.transform(rows)
     totals = sorted((row.part, row.need) for row in parted.groupBy("part").agg(F.sum("need").alias("need")).collect())
     before, so_far = {}, 0
