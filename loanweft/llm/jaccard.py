@@ -62,19 +62,26 @@ def most_apart(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-@functools.lru_cache(maxsize=100_000)
+@functools.lru_cache(maxsize=4)
+def grid(percent: int, largest: int = 1 << 24) -> dict[int, int]:
+    """Numbers of fragments to cut into, each with how many of them may be empty: more than the smallest sets cut so usually have."""
+    made, size, enough = {}, 2, 0
+    while size < largest:
+        smallest = (enough + 1) * (100 + percent) / (2 * (100 - percent)) * percent / 100
+        mean = size * math.exp(-smallest / size)
+        made[size] = math.floor(mean + math.sqrt(mean))
+        enough = max(enough, size - made[size] - 1)
+        size = max(size + 1, int(size * STEP))
+    return made
+
+
 def spared(size: int, percent: int) -> int:
-    """Of ``size`` fragments, how many may be empty: more than a set usually has."""
-    mean = size * math.exp(-(100 + percent) / (2 * (100 - percent)) / STEP)
-    return math.ceil(mean + 2 * math.sqrt(mean)) if mean > 0.05 else 0
+    return grid(percent)[size]
 
 
 def level(apart: int, percent: int) -> int:
     """Smallest number of fragments on the grid of which more than ``apart`` remain, even without the spared ones."""
-    size = 2
-    while size - spared(size, percent) <= apart:
-        size = max(size + 1, int(size * STEP))
-    return size
+    return next(size for size, empty in grid(percent).items() if size - empty > apart)
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -84,11 +91,8 @@ def levels(n: int, percent: int) -> tuple[int, ...]:
     low, high = (most_apart(2 * size, percent) for size in (n, largest))
     if not high:
         return ()  # only equal sets link
-    size, last, made = level(max(low, 1), percent), level(high, percent), []
-    while size < last:
-        made.append(size)
-        size = max(size + 1, int(size * STEP))
-    return (*made, last)
+    first, last = level(max(low, 1), percent), level(high, percent)
+    return tuple(size for size in grid(percent) if first <= size <= last)
 
 
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:

@@ -90,6 +90,14 @@ def test_similar_sets_share_a_signature():
                 assert len(np.intersect1d(jaccard.signatures(a, percent), jaccard.signatures(b, percent)))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_every_size_of_set_is_cut_within_a_few_tries(percent):
+    rng = np.random.default_rng(6)
+    for n in (*range(1, 40), 100, 300, 310, 390, 702, 878, 2300, 3000, 20_000):
+        made = jaccard.signatures(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)), percent)
+        assert len(made) <= 20 + 1.6 * n * (100 - percent) / percent * 4
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200), (None, 3), (5, 4)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
