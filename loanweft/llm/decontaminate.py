@@ -9,12 +9,14 @@ edit distance becomes Hamming distance, and a hash of a few sampled places of
 the output (bit sampling) agrees with fair probability. Several walks with
 several samples each raise it to the recall wanted.
 
-Windows are sized so that every item holds some: a window is what ``STEPS``
-steps read, about half as many bytes, an item's windows start at each of its
-words, a text's at every ``STRIDE``-th word. So an edited copy of an item holds
-about a third of its words as windows, each with all tables as chances. Where a
-table agrees, the window is extended to the item's size, and the exact edit
-distance between the item and the best-fitting part of that stretch decides.
+Windows are sized so that every item holds some: a window is what a number of
+steps read, about half as many bytes; short items have shorter walks of their
+own (``CLASSES``). An item's windows start at each of its words, a text's at
+every third word, or at every word for the shorter walks. So an edited copy of
+an item holds about a third of its words as windows, each with all tables as
+chances. Where a table agrees, the window is extended to the item's size, and
+the exact edit distance between the item and the best-fitting part of that
+stretch decides.
 
 A block of items is an index small enough for every task; a larger benchmark is
 searched for in several blocks. Texts are read in one pass per block and never
@@ -32,39 +34,38 @@ from pyspark.sql import functions as F
 
 from loanweft.llm.common import LOWER, MIX, mixed, over_batches, pick, raw
 
-STEPS = 72
+CLASSES = ((48, 72, 3), (22, 32, 1), (14, 14, 1), (6, 6, 1), (3, 3, 1), (1, 1, 1))  # least bytes of an item, steps, stride in words
 WALKS = 3
 TABLES = 2  # per walk
-SAMPLED = 14  # places of the walk's output in a table's key
-STRIDE = 3
+SAMPLED = 14  # places of the walk's output in a table's key, or all of a shorter one
 PERCENT = 80  # similarity: 1 - edits / length of the item
-LEAST_ITEM = 24  # bytes in plain form; shorter items are looked for word by word without edits
+LEAST_ITEM = 24  # bytes in plain form; shorter items must occur unchanged and end with a word
 ITEMS_PER_BLOCK = 5_000
 TOGETHER = 2
 WORDLIKE = np.zeros(256, bool)
 WORDLIKE[[*range(97, 123), *range(48, 58), *range(128, 256)]] = True
 
 
-@functools.lru_cache(maxsize=1)
-def walks() -> tuple[np.ndarray, list[list[np.ndarray]]]:
+@functools.lru_cache(maxsize=8)
+def walks(steps: int) -> tuple[np.ndarray, list[list[np.ndarray]]]:
     """Move bits [walk, step, byte], and per walk the sampled steps of its tables. Fixed by their seed, so all tasks agree."""
     chance = np.random.default_rng(20240601)
-    moves = chance.integers(0, 2, (WALKS, STEPS, 256)).astype(np.int32)
-    samples = [[np.sort(chance.choice(STEPS, SAMPLED, replace=False)) for _ in range(TABLES)] for _ in range(WALKS)]
+    moves = chance.integers(0, 2, (WALKS, steps, 256)).astype(np.int32)
+    samples = [[np.sort(chance.choice(steps, min(steps, SAMPLED), replace=False)) for _ in range(TABLES)] for _ in range(WALKS)]
     return moves, samples
 
 
-def embed(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def embed(data: np.ndarray, starts: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (table, start) of the windows of ``data`` at ``starts``, and how far the farthest walk went."""
-    moves, samples = walks()
-    padded = np.r_[data, np.zeros(STEPS + 1, np.uint8)]
+    moves, samples = walks(steps)
+    padded = np.r_[data, np.zeros(steps + 1, np.uint8)]
     keys, farthest = [], np.zeros(len(starts), np.int32)
     for walk in range(WALKS):
         at = starts.astype(np.int32)
         sums = [np.full(len(starts), walk * TABLES + t + 1, np.uint64) for t in range(TABLES)]
         chosen = [set(s.tolist()) for s in samples[walk]]
         with np.errstate(over="ignore"):
-            for step in range(STEPS):
+            for step in range(steps):
                 byte = padded.take(at)
                 for table in range(TABLES):
                     if step in chosen[table]:
@@ -94,22 +95,22 @@ def word_starts(made: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of items and the hash tables of their windows."""
+    """Items of one class of lengths (``least`` up to below ``most`` bytes) and the hash tables of their windows."""
 
-    def __init__(self, rows: list[tuple[int, str]], percent: int):
-        self.percent = percent
+    def __init__(self, rows: list[tuple[int, str]], percent: int, least: int = 48, most: int = 1 << 60, steps: int = 72, stride: int = 3):
+        self.percent, self.steps, self.stride = percent, steps, stride
         self.ids, self.texts, keys, owner, offset = [], [], [], [], []
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
             made, _, _ = plain(data, np.array([0, len(data)]))
             made = made[:-1] if len(made) and made[-1] == 32 else made
-            if not len(made):
+            if not least <= len(made) < most:
                 continue
             number = len(self.ids)
             self.ids.append(item_id)
             self.texts.append(made.tobytes())
             starts = word_starts(made, np.array([0, len(made)]))
-            found, end = embed(made, starts)
+            found, end = embed(made, starts, steps)
             inside = (end <= len(made)) | (starts == 0)
             keys.append(found[:, inside])
             owner.append(np.full(inside.sum(), number))
@@ -122,7 +123,7 @@ class Items:
 
     def candidates(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place where an item would start, item), each pair once, for windows of ``data``."""
-        found, _ = embed(data, starts)
+        found, _ = embed(data, starts, self.steps)
         begin, item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for table in range(len(found)):
             low = np.searchsorted(self.keys[table], found[table], "left")
@@ -139,6 +140,13 @@ class Items:
         return len(self.texts[item]) * (100 - self.percent) // 100 if len(self.texts[item]) >= LEAST_ITEM else 0
 
 
+def classes_of(rows: list[tuple[int, str]], percent: int) -> list[Items]:
+    """A block's items by length, classes without items left out."""
+    bounds = [1 << 60, *[least for least, _, _ in CLASSES]]
+    made = [Items(rows, percent, least, most, steps, stride) for most, (least, steps, stride) in zip(bounds, CLASSES)]
+    return [items for items in made if items.ids]
+
+
 def best_fit(pattern: bytes, text: bytes) -> tuple[int, int]:
     """Least edit distance between ``pattern`` and any part of ``text``, and where that part ends (bit-parallel, exact)."""
     m = len(pattern)
@@ -175,7 +183,7 @@ def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
     text = np.searchsorted(at, starts, "right") - 1
     first = np.r_[True, text[1:] != text[:-1]]
     number = np.arange(len(starts)) - np.maximum.accumulate(np.where(first, np.arange(len(starts)), 0))
-    starts = starts[number % STRIDE == 0]
+    starts = starts[number % items.stride == 0]
     begin, item = items.candidates(made, starts)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     tried: set[tuple[int, int]] = set()
@@ -189,6 +197,9 @@ def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
         tried.add((which, where // 8))
         low, high = max(int(at[of]), where - allowed - 8), min(int(at[of + 1]), where + len(pattern) + allowed + 8)
         edits, end = best_fit(pattern, content[low:high])
+        if not allowed:  # the item itself, from word to word
+            edits = 0 if content[max(where, 0):where + len(pattern) + 1].rstrip(b" ") == pattern else 1
+            end = where + len(pattern) - low
         if edits <= allowed and (not known or edits < known[0]):
             best[of, which] = edits, low + end - len(pattern), low + end
     return [(of, which, int(place[max(a, int(at[of]))] - offsets[of]), int(place[b - 1] + 1 - offsets[of]), edits)
@@ -213,13 +224,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     blocks = max(1, -(-total // ITEMS_PER_BLOCK))
     for block in range(blocks):
         own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = Items([tuple(row) for row in own.orderBy("item_id", "text").collect()], percent)
+        index = classes_of([tuple(row) for row in own.orderBy("item_id", "text").collect()], percent)
 
-        def run(piece: pa.RecordBatch, index: Items = index) -> pa.RecordBatch:
-            rows = found_in(index, *raw(piece.column(1)))
+        def run(piece: pa.RecordBatch, index: list[Items] = index) -> pa.RecordBatch:
+            data, offsets = raw(piece.column(1))
+            rows = [(text, items.ids[item], *rest) for items in index for text, item, *rest in found_in(items, data, offsets)]
             ids = piece.column(0).to_pylist()
             return pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([ids[r[0]] for r in rows], pa.int64()), "item_id": pa.array([index.ids[r[1]] for r in rows], pa.int64()),
+                "doc_id": pa.array([ids[r[0]] for r in rows], pa.int64()), "item_id": pa.array([r[1] for r in rows], pa.int64()),
                 "first": pa.array([r[2] for r in rows], pa.int64()), "end": pa.array([r[3] for r in rows], pa.int64()),
                 "edits": pa.array([r[4] for r in rows], pa.int32())})
 
