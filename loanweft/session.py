@@ -29,21 +29,25 @@ def build_session(app_name: str = "loanweft", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}  # of local-mode sessions without the setting, by application
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local-mode session may go without that setting; it then gets a
-    temporary folder of its own, which the setting names from then on. See
-    ``clear_stages`` for removing what a job has left there.
+    temporary folder of its own. See ``clear_stages`` for removing what a job
+    has left there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="loanweft-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    name = spark.sparkContext.applicationId
+    if name not in _OWN_FOLDERS:
+        _OWN_FOLDERS[name] = tempfile.mkdtemp(prefix="loanweft-")
+    return _OWN_FOLDERS[name]
 
 
 ARROW_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
