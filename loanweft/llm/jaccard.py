@@ -254,12 +254,12 @@ def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     copies = rows.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     docs = once(docs.filter("doc_id is not null"), rows)
     ready = with_ids(docs, copies, "left_anti")
-    members = members_of(ready, words, percent)
+    members = materialize(members_of(ready, words, percent), "members")
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     counted = overlaps(pairs, docs, words)
     found = linked(counted, percent)
     nodes = components(found)
-    other = materialize(second_round(counted, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    other = materialize(second_round(members, counted, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if other.limit(1).count():
         nodes = components(found.unionByName(linked(overlaps(other, docs, words), percent)))
     of_class = rows.join(shared, "digest", "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
@@ -272,12 +272,15 @@ def once(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs if counted.n == counted.d else docs.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def second_round(counted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of texts with one leader that may link although they lie in different components.
 
-    What two texts differ in is what just one of them differs from the leader
-    in: with x and y elements that they have not in common with the leader, of
-    which o are the same, they are x + y - 2 o apart. That is little enough
+    Only fragments count that texts of several components share which are near
+    in size and in distance from the leader, the leader not counted: most chance
+    agreements are between a text and its leader. What two
+    texts differ in is what just one of them differs from the leader in: with x
+    and y elements that they have not in common with the leader, of which o are
+    the same, they are x + y - 2 o apart. That is little enough
     only if o is large, so of each text's differences, the rarest among the
     leader's texts first, just as many as two texts may be apart, plus one, are
     looked at: linked texts share one of these, at places behind which enough
@@ -287,11 +290,21 @@ def second_round(counted: DataFrame, nodes: DataFrame, percent: int) -> DataFram
     apart = F.col("size_a") + F.col("size_b") - 2 * F.col("common")
     texts = summed(counted).select("a", "b", F.col("size_b").alias("size"), apart.alias("apart"))
     named = nodes.select(F.col("node").alias("n"), "component")
-    texts = texts.join(named, F.col("b") == F.col("n"), "left").select("a", "b", "size", "apart", F.coalesce("component", "b").alias("component"))
-    texts = materialize(texts, "texts")
-    several = texts.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("a")
-    texts = texts.join(several, "a")
-    elements = materialize(counted.select("a", "b", F.explode("apart").alias("e")).join(several, "a", "left_semi"), "differences")
+    own = F.coalesce("component", "b").alias("component")
+    texts = materialize(texts.join(named, F.col("b") == F.col("n"), "left").select("a", "b", "size", "apart", own), "texts")
+    shared = members.filter("doc_id <> leader").select("signature", F.col("leader").alias("a"), F.col("doc_id").alias("b")).join(texts, ["a", "b"])
+    # linked texts are near in size and in distance from the leader: they share a label of each kind
+    ratio, share = 100 / percent, (100 - percent) / (100 + percent)
+    near = F.floor(F.log("size") / math.log(ratio) + 1e-9).cast("int")
+    sized = shared.withColumn("near", F.explode(F.array(near, near + 1)))
+    width = F.floor(2 * share * F.pow(F.lit(ratio), F.col("near") + 1)) + 1
+    far = F.floor(F.col("apart") / width).cast("int")
+    placed = sized.withColumn("far", F.explode(F.array(far, far + 1)))
+    keys = ["signature", "near", "far"]
+    several = placed.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*keys)
+    still = materialize(placed.join(several, keys).select("a", "b").distinct(), "open-texts")
+    texts = texts.join(still, ["a", "b"])
+    elements = materialize(counted.join(still, ["a", "b"]).select("a", "b", F.explode("apart").alias("e")), "differences")
     often = elements.groupBy("a", "e").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("n", "e"))
     ranked = elements.join(often, ["a", "e"]).withColumn("i", rank).join(texts, ["a", "b"])
