@@ -10,13 +10,18 @@ the output (bit sampling) agrees with fair probability. Several walks with
 several samples each raise it to the recall wanted.
 
 Windows are sized so that every item holds some: a window is what a number of
-steps read, about half as many bytes; short items have shorter walks of their
-own (``CLASSES``). An item's windows start at each of its words, a text's at
-every third word, or at every word for the shorter walks. So an edited copy of
-an item holds about a third of its words as windows, each with all tables as
-chances. Where a table agrees, the window is extended to the item's size, and
-the exact edit distance between the item and the best-fitting part of that
-stretch decides.
+steps read, about half as many bytes; shorter items have shorter walks of their
+own, more of them and fewer sampled places (``CLASSES``). No walk has more
+steps than the items of its class have bytes, so an unchanged copy that begins
+with a word is always a candidate. Windows start at every word of an item and of
+a text. Where a table agrees, the window is extended to the item's size, and the
+exact edit distance between the item and the best-fitting part of that stretch
+decides. Before, the item's pieces of 64 bytes are fitted one by one for many
+stretches at once: their least edits add up to no more than the item's, so a
+stretch whose sum is above what is allowed can be dropped.
+
+Items below ``LEAST_ITEM`` bytes, where no edit is allowed, are compared at each
+word that begins like them.
 
 A block of items is an index small enough for every task; a larger benchmark is
 searched for in several blocks. Texts are read in one pass per block and never
@@ -34,46 +39,52 @@ from pyspark.sql import functions as F
 
 from loanweft.llm.common import LOWER, MIX, mixed, over_batches, pick, raw
 
-CLASSES = ((48, 72, 3), (22, 32, 1), (14, 14, 1), (6, 6, 1), (3, 3, 1), (1, 1, 1))  # least bytes of an item, steps, stride in words
-WALKS = 3
-TABLES = 2  # per walk
-SAMPLED = 14  # places of the walk's output in a table's key, or all of a shorter one
+# least bytes of an item, steps, places of the walk's output in a table's key (or all of a shorter one), walks, tables per walk
+CLASSES = ((200, 32, 14, 3, 2), (80, 24, 10, 3, 2), (48, 20, 10, 4, 2), (24, 14, 8, 4, 2), (14, 14, 14, 1, 1), (6, 6, 6, 1, 1), (3, 3, 3, 1, 1), (1, 1, 1, 1, 1))
 PERCENT = 80  # similarity: 1 - edits / length of the item
 LEAST_ITEM = 24  # bytes in plain form; shorter items must occur unchanged and end with a word
 ITEMS_PER_BLOCK = 5_000
 TOGETHER = 2
+AT_ONCE = 8_192  # windows whose walks are followed together, few enough for a core's cache
+SIEVE = 1 << 18  # low bits of keys that a table notes, so that most windows need no search
+STRETCHES = 4_096  # whose pieces are fitted together
+PIECE = 64  # bytes, one for each bit of a machine word
 WORDLIKE = np.zeros(256, bool)
 WORDLIKE[[*range(97, 123), *range(48, 58), *range(128, 256)]] = True
 
 
-@functools.lru_cache(maxsize=8)
-def walks(steps: int) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+@functools.lru_cache(maxsize=16)
+def walks(steps: int, sampled: int, count: int, tables: int) -> tuple[np.ndarray, list[list[np.ndarray]]]:
     """Move bits [walk, step, byte], and per walk the sampled steps of its tables. Fixed by their seed, so all tasks agree."""
     chance = np.random.default_rng(20240601)
-    moves = chance.integers(0, 2, (WALKS, steps, 256)).astype(np.int32)
-    samples = [[np.sort(chance.choice(steps, min(steps, SAMPLED), replace=False)) for _ in range(TABLES)] for _ in range(WALKS)]
+    moves = chance.integers(0, 2, (count, steps, 256)).astype(np.int32)
+    samples = [[np.sort(chance.choice(steps, min(steps, sampled), replace=False)) for _ in range(tables)] for _ in range(count)]
     return moves, samples
 
 
-def embed(data: np.ndarray, starts: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+def embed(data: np.ndarray, starts: np.ndarray, steps: int, sampled: int, count: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (table, start) of the windows of ``data`` at ``starts``, and how far the farthest walk went."""
-    moves, samples = walks(steps)
+    moves, samples = walks(steps, sampled, count, tables)
     padded = np.r_[data, np.zeros(steps + 1, np.uint8)]
-    keys, farthest = [], np.zeros(len(starts), np.int32)
-    for walk in range(WALKS):
-        at = starts.astype(np.int32)
-        sums = [np.full(len(starts), walk * TABLES + t + 1, np.uint64) for t in range(TABLES)]
-        chosen = [set(s.tolist()) for s in samples[walk]]
-        with np.errstate(over="ignore"):
-            for step in range(steps):
-                byte = padded.take(at)
-                for table in range(TABLES):
-                    if step in chosen[table]:
-                        sums[table] = sums[table] * MIX + byte
-                at += moves[walk, step].take(byte)
-        keys += [mixed(s) for s in sums]
-        farthest = np.maximum(farthest, at)
-    return np.stack(keys), farthest
+    keys, farthest = np.empty((count * tables, len(starts)), np.uint64), np.zeros(len(starts), np.int64)
+    for low in range(0, len(starts), AT_ONCE):
+        own = slice(low, low + AT_ONCE)
+        for walk in range(count):
+            at = starts[own].astype(np.int64)
+            sums = [np.full(len(at), walk * tables + t + 1, np.uint64) for t in range(tables)]
+            chosen = [set(s.tolist()) for s in samples[walk]]
+            with np.errstate(over="ignore"):
+                for step in range(steps):
+                    byte = padded.take(at)
+                    for table in range(tables):
+                        if step in chosen[table]:
+                            np.multiply(sums[table], MIX, out=sums[table])
+                            np.add(sums[table], byte, out=sums[table])
+                    at += moves[walk, step].take(byte)
+            for table in range(tables):
+                keys[walk * tables + table, own] = mixed(sums[table])
+            farthest[own] = np.maximum(farthest[own], at)
+    return keys, farthest
 
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,8 +108,8 @@ def word_starts(made: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Items:
     """Items of one class of lengths (``least`` up to below ``most`` bytes) and the hash tables of their windows."""
 
-    def __init__(self, rows: list[tuple[int, str]], percent: int, least: int = 48, most: int = 1 << 60, steps: int = 72, stride: int = 3):
-        self.percent, self.steps, self.stride = percent, steps, stride
+    def __init__(self, rows: list[tuple[int, str]], percent: int, least: int, most: int, *shape: int):
+        self.percent, self.shape = percent, shape
         self.ids, self.texts, keys, owner, offset = [], [], [], [], []
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
@@ -110,31 +121,41 @@ class Items:
             self.ids.append(item_id)
             self.texts.append(made.tobytes())
             starts = word_starts(made, np.array([0, len(made)]))
-            found, end = embed(made, starts, steps)
-            inside = (end <= len(made)) | (starts == 0)
+            starts = starts if self.allowed(number) else starts[:1]
+            found, end = embed(made, starts, *shape)
+            inside = end <= len(made)
             keys.append(found[:, inside])
             owner.append(np.full(inside.sum(), number))
             offset.append(starts[inside])
-        tables = WALKS * TABLES
-        every = np.concatenate(keys, axis=1) if keys else np.zeros((tables, 0), np.uint64)
+        _, _, count, tables = shape
+        every = np.concatenate(keys, axis=1) if keys else np.zeros((count * tables, 0), np.uint64)
         self.owner, self.offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, offset))
         self.order = np.argsort(every, axis=1, kind="stable")
         self.keys = np.take_along_axis(every, self.order, axis=1)
-
-    def candidates(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place where an item would start, item), each pair once, for windows of ``data``."""
-        found, _ = embed(data, starts, self.steps)
-        begin, item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.there = np.zeros((count * tables, SIEVE), bool)
+        for table in range(count * tables):
+            self.there[table, (self.keys[table] & np.uint64(SIEVE - 1)).astype(np.int64)] = True
+        self.lengths = np.array([len(text) for text in self.texts], np.int64)
+        self.edits = np.array([self.allowed(number) for number in range(len(self.ids))], np.int64)
+
+    def candidates(self, data: np.ndarray, starts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place where an item would start, item), each once, for windows of ``data`` that start in the texts ``text``."""
+        found, _ = embed(data, starts, *self.shape)
+        window, entries = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for table in range(len(found)):
-            low = np.searchsorted(self.keys[table], found[table], "left")
-            hit = np.flatnonzero((low < self.keys.shape[1]) & (self.keys[table][np.minimum(low, self.keys.shape[1] - 1)] == found[table]))
-            high = np.searchsorted(self.keys[table], found[table][hit], "right")
-            count = high - low[hit]
-            entry = self.order[table][np.repeat(low[hit] - np.cumsum(count) + count, count) + np.arange(count.sum())]
-            begin.append(np.repeat(starts[hit], count) - self.offset[entry])
-            item.append(self.owner[entry])
-        once = np.unique(np.stack([np.concatenate(begin), np.concatenate(item)]), axis=1)
-        return once[0], once[1]
+            maybe = np.flatnonzero(self.there[table].take((found[table] & np.uint64(SIEVE - 1)).astype(np.int64)))
+            key = found[table][maybe]
+            low, high = (np.searchsorted(self.keys[table], key, side) for side in ("left", "right"))
+            count = high - low
+            entries.append(self.order[table][np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())])
+            window.append(np.repeat(maybe, count))
+        window, entries = np.concatenate(window), np.concatenate(entries)
+        of, begin, item = text[window], starts[window] - self.offset[entries], self.owner[entries]
+        order = np.lexsort((begin, item, of))
+        of, begin, item = of[order], begin[order], item[order]
+        once = np.ones(len(of), bool)
+        once[1:] = (of[1:] != of[:-1]) | (item[1:] != item[:-1]) | (begin[1:] != begin[:-1])
+        return of[once], begin[once], item[once]
 
     def allowed(self, item: int) -> int:
         return len(self.texts[item]) * (100 - self.percent) // 100 if len(self.texts[item]) >= LEAST_ITEM else 0
@@ -142,8 +163,8 @@ class Items:
 
 def classes_of(rows: list[tuple[int, str]], percent: int) -> list[Items]:
     """A block's items by length, classes without items left out."""
-    bounds = [1 << 60, *[least for least, _, _ in CLASSES]]
-    made = [Items(rows, percent, least, most, steps, stride) for most, (least, steps, stride) in zip(bounds, CLASSES)]
+    bounds = [1 << 60, *[least for least, *_ in CLASSES]]
+    made = [Items(rows, percent, least, most, *shape) for most, (least, *shape) in zip(bounds, CLASSES)]
     return [items for items in made if items.ids]
 
 
@@ -174,36 +195,73 @@ def best_fit(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def least_edits(masks: np.ndarray, row: np.ndarray, length: np.ndarray, made: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A bound from below of ``best_fit`` for pieces of at most 64 bytes (rows of ``masks``), each in ``made[low:high]``."""
+    one = np.uint64(1)
+    up, down, top = np.full(len(row), ~np.uint64(0)), np.zeros(len(row), np.uint64), (length - 1).astype(np.uint64)
+    score, best, table, first = length.copy(), length.copy(), masks.reshape(-1), row * 256
+    for step in range(int((high - low).max(initial=0))):
+        place = low + step
+        byte = np.where(place < high, made.take(place, mode="clip"), 0)  # 0 is in no piece
+        equal = table.take(first + byte)
+        across = equal | down
+        diagonal = (((equal & up) + up) ^ up) | equal
+        rise, fall = down | ~(diagonal | up), up & diagonal
+        score += (rise >> top & one).astype(np.int64) - (fall >> top & one).astype(np.int64)
+        rise, fall = rise << one, fall << one
+        up, down = fall | ~(across | rise), rise & across
+        np.minimum(best, score, out=best)
+    return best
+
+
+def plausible(items: Items, made: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which candidates can be within their item's allowed edits: those whose pieces together need no more."""
+    spent, open_ = np.zeros(len(item), np.int64), np.arange(len(item))
+    most = items.edits[item]
+    for start in range(0, int(items.lengths.max(initial=0)), PIECE):
+        open_ = open_[(spent[open_] <= most[open_]) & (items.lengths[item[open_]] > start) & (most[open_] > 0)]
+        for at in range(0, len(open_), STRETCHES):
+            own = open_[at:at + STRETCHES]
+            which, row = np.unique(item[own], return_inverse=True)
+            masks = np.zeros((len(which), 256), np.uint64)
+            for r, number in enumerate(which.tolist()):
+                for i, byte in enumerate(items.texts[number][start:start + PIECE]):
+                    masks[r, byte] |= np.uint64(1 << i)
+            length, slack = np.minimum(items.lengths[item[own]] - start, PIECE), 2 * most[own] + 8
+            spent[own] += least_edits(masks, row, length, made, np.maximum(low[own], begin[own] + start - slack),
+                                      np.minimum(high[own], begin[own] + start + length + slack))
+    return spent <= most
+
+
 def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text, item, first byte, end byte in the text, edits) of every item found in the texts; of each pair the best place."""
     made, at, place = plain(data, offsets)
     starts = word_starts(made, at)
     if not len(starts) or not items.ids:
         return []
-    text = np.searchsorted(at, starts, "right") - 1
-    first = np.r_[True, text[1:] != text[:-1]]
-    number = np.arange(len(starts)) - np.maximum.accumulate(np.where(first, np.arange(len(starts)), 0))
-    starts = starts[number % items.stride == 0]
-    begin, item = items.candidates(made, starts)
+    of, begin, item = items.candidates(made, starts, np.searchsorted(at, starts, "right") - 1)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    tried: set[tuple[int, int]] = set()
-    content = made.tobytes()
-    for where, which in zip(begin.tolist(), item.tolist()):
-        pattern, allowed = items.texts[which], items.allowed(which)
-        of = int(np.searchsorted(at, min(max(where + len(pattern) // 2, 0), len(made) - 1), "right")) - 1
-        known = best.get((of, which))
-        if (known and known[0] == 0) or (which, where // 8) in tried:
+    content, allowed = made.tobytes(), items.edits[item]
+    # one of the places in eight bytes, as the stretch searched for it is wider by eight bytes on either side
+    bucket = begin >> 3
+    first = np.ones(len(of), bool)
+    first[1:] = (of[1:] != of[:-1]) | (item[1:] != item[:-1]) | (bucket[1:] != bucket[:-1])
+    of, begin, item, allowed = of[first], begin[first], item[first], allowed[first]
+    low, high = np.maximum(at[of], begin - allowed - 8), np.minimum(at[of + 1], begin + items.lengths[item] + allowed + 8)
+    stays = plausible(items, made, begin, low, high, item)
+    for text, which, where, a, b in zip(*(x[stays].tolist() for x in (of, item, begin, low, high))):
+        pattern, most = items.texts[which], items.allowed(which)
+        known = best.get((text, which))
+        if known and known[0] == 0:
             continue
-        tried.add((which, where // 8))
-        low, high = max(int(at[of]), where - allowed - 8), min(int(at[of + 1]), where + len(pattern) + allowed + 8)
-        edits, end = best_fit(pattern, content[low:high])
-        if not allowed:  # the item itself, from word to word
+        edits, end = best_fit(pattern, content[a:b])
+        if not most:  # the item itself, from word to word
             edits = 0 if content[max(where, 0):where + len(pattern) + 1].rstrip(b" ") == pattern else 1
-            end = where + len(pattern) - low
-        if edits <= allowed and (not known or edits < known[0]):
-            best[of, which] = edits, low + end - len(pattern), low + end
-    return [(of, which, int(place[max(a, int(at[of]))] - offsets[of]), int(place[b - 1] + 1 - offsets[of]), edits)
-            for (of, which), (edits, a, b) in sorted(best.items()) if b > a and b <= len(place)]
+            end = where + len(pattern) - a
+        if edits <= most and (not known or edits < known[0]):
+            best[text, which] = edits, a + end - len(pattern), a + end
+    return [(text, which, int(place[max(a, int(at[text]))] - offsets[text]), int(place[b - 1] + 1 - offsets[text]), edits)
+            for (text, which), (edits, a, b) in sorted(best.items()) if b > a and b <= len(place)]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:

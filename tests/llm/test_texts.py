@@ -196,3 +196,36 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
     once = sorted(map(tuple, decontaminate.find_leaks(docs, frame).collect()))
     monkeypatch.setattr(decontaminate, "ITEMS_PER_BLOCK", 2)
     assert sorted(map(tuple, decontaminate.find_leaks(docs, frame).collect())) == once and len(once) >= 20
+
+
+def test_short_items_are_found_at_every_word_phase_and_up_to_the_limit():
+    chance = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def prose(size):
+        return " ".join("".join(chance.choices(letters, k=chance.randint(2, 9))) for _ in range(size))[:size].rstrip()
+
+    def edited(text, edits):
+        made = list(text)
+        for at in chance.sample(range(len(made)), edits):
+            made[at] = chance.choice(["", made[at] + "x", "z"])
+        return "".join(made)
+
+    for size, least in ((24, 0.8), (48, 0.9), (56, 0.9), (65, 0.9), (100, 0.93), (210, 0.93)):
+        items = [prose(size + 1) for _ in range(40)]
+        index = decontaminate.classes_of(list(enumerate(items)), 80)
+        for edits, wanted in ((0, 1.0), (size // 10, 0.97), (size * 19 // 100, least)):
+            texts = [" ".join(["word"] * (1 + phase)) + " " + edited(item, min(edits, len(item) // 5)) + " after it" for item in items for phase in range(3)]
+            found = {(text, items.ids[which]) for items in index for text, which, *_ in decontaminate.found_in(items, *raw(pa.array(texts)))}
+            assert sum((i, i // 3) in found for i in range(len(texts))) >= wanted * len(texts), (size, edits)
+
+
+def test_bound_of_pieces_is_never_above_the_distance():
+    chance = random.Random(6)
+    for _ in range(100):
+        a, b = (bytes(chance.choices(b"abc", k=chance.randint(1, most))) for most in (64, 90))
+        masks = np.zeros((1, 256), np.uint64)
+        for i, byte in enumerate(a):
+            masks[0, byte] |= np.uint64(1 << i)
+        made, zero = np.frombuffer(b, np.uint8), np.zeros(1, np.int64)
+        assert decontaminate.least_edits(masks, zero, zero + len(a), made, zero, zero + len(b))[0] == decontaminate.best_fit(a, b)[0]
