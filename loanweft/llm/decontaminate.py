@@ -42,7 +42,7 @@ from loanweft.llm.common import LOWER, MIX, mixed, over_batches, pick, raw
 # least bytes of an item, steps, places of the walk's output in a table's key (or all of a shorter one), walks, tables per walk
 CLASSES = ((200, 32, 14, 3, 2), (80, 24, 10, 3, 2), (48, 20, 10, 4, 2), (24, 14, 8, 4, 2), (14, 14, 14, 1, 1), (6, 6, 6, 1, 1), (3, 3, 3, 1, 1), (1, 1, 1, 1, 1))
 PERCENT = 80  # similarity: 1 - edits / length of the item
-LEAST_ITEM = 24  # bytes in plain form; shorter items must occur unchanged and end with a word
+LEAST_ITEM = 24  # bytes in plain form; shorter items must occur unchanged, from word to word
 ITEMS_PER_BLOCK = 5_000
 TOGETHER = 2
 AT_ONCE = 8_192  # windows whose walks are followed together, few enough for a core's cache
@@ -242,11 +242,16 @@ def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
     of, begin, item = items.candidates(made, starts, np.searchsorted(at, starts, "right") - 1)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     content, allowed = made.tobytes(), items.edits[item]
-    # one of the places in eight bytes, as the stretch searched for it is wider by eight bytes on either side
-    bucket = begin >> 3
+    # one of the places in eight bytes, as the stretch searched for it is wider by eight bytes on either side; each where no edit is allowed
+    bucket = np.where(allowed > 0, begin >> 3, begin)
     first = np.ones(len(of), bool)
     first[1:] = (of[1:] != of[:-1]) | (item[1:] != item[:-1]) | (bucket[1:] != bucket[:-1])
     of, begin, item, allowed = of[first], begin[first], item[first], allowed[first]
+    end = begin + items.lengths[item]  # an item without edits begins and ends with a word of its text
+    apart = np.r_[made == 32, True]
+    whole = (begin >= at[of]) & (end <= at[of + 1]) & ((begin == at[of]) | apart.take(begin - 1, mode="clip")) & ((end == at[of + 1]) | apart.take(end, mode="clip"))
+    inside = (allowed > 0) | whole
+    of, begin, item, allowed = of[inside], begin[inside], item[inside], allowed[inside]
     low, high = np.maximum(at[of], begin - allowed - 8), np.minimum(at[of + 1], begin + items.lengths[item] + allowed + 8)
     stays = plausible(items, made, begin, low, high, item)
     for text, which, where, a, b in zip(*(x[stays].tolist() for x in (of, item, begin, low, high))):
@@ -254,10 +259,10 @@ def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
         known = best.get((text, which))
         if known and known[0] == 0:
             continue
-        edits, end = best_fit(pattern, content[a:b])
-        if not most:  # the item itself, from word to word
-            edits = 0 if content[max(where, 0):where + len(pattern) + 1].rstrip(b" ") == pattern else 1
-            end = where + len(pattern) - a
+        if most:
+            edits, end = best_fit(pattern, content[a:b])
+        else:
+            edits, end = int(content[where:where + len(pattern)] != pattern), where + len(pattern) - a
         if edits <= most and (not known or edits < known[0]):
             best[text, which] = edits, a + end - len(pattern), a + end
     return [(text, which, int(place[max(a, int(at[text]))] - offsets[text]), int(place[b - 1] + 1 - offsets[text]), edits)

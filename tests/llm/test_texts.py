@@ -229,3 +229,11 @@ def test_bound_of_pieces_is_never_above_the_distance():
             masks[0, byte] |= np.uint64(1 << i)
         made, zero = np.frombuffer(b, np.uint8), np.zeros(1, np.int64)
         assert decontaminate.least_edits(masks, zero, zero + len(a), made, zero, zero + len(b))[0] == decontaminate.best_fit(a, b)[0]
+
+
+def test_short_items_are_found_whatever_word_comes_before():
+    items = ["to", "cat", "to go", "cats and dogs"]
+    texts = ["the to be", "can cat x", "t to", "to", "a cat", "into go", "they to go", "cot cats and dogs", "cat and cats and dogs", "tomato"]
+    found = {(text, index.ids[which]) for index in decontaminate.classes_of(list(enumerate(items)), 80)
+             for text, which, *_ in decontaminate.found_in(index, *raw(pa.array(texts)))}
+    assert found == {(i, k) for i, text in enumerate(texts) for k, item in enumerate(items) if f" {item} " in f" {text} "}
