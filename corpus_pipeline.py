@@ -88,13 +88,8 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in which no benchmark item occurs, edits of up to a fifth of the item included."""
-    docs = pick(docs, **COLUMNS)
-    leaks = materialize(decontaminate.find_leaks(
-        docs.select(F.coalesce("doc_id", F.lit(substrings.NO_ID)).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select("doc_id"), "leaks")
-    keyed = docs.withColumn("own_id", F.col("doc_id")).withColumn("doc_id", F.coalesce("doc_id", F.lit(substrings.NO_ID)))
-    kept = jaccard.with_ids(keyed, leaks, "left_anti")
-    return kept.select(F.col("own_id").alias("doc_id"), *[name for name in COLUMNS if name != "doc_id"])
+    """Rows in whose text no benchmark item occurs, edits of up to a fifth of the item included; other rows of the same id, or without one, stay."""
+    return decontaminate.without_items(pick(docs, **COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

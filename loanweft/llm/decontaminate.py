@@ -31,6 +31,7 @@ shuffled; what leaves a task are its finds.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -269,6 +270,31 @@ def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
             for (text, which), (edits, a, b) in sorted(best.items()) if b > a and b <= len(place)]
 
 
+def indexes(benchmark: DataFrame, percent: int) -> Iterator[list[Items]]:
+    """The index of each block of the items (item_id, text)."""
+    items = pick(benchmark, item_id="bigint", text="string").filter("text is not null")
+    blocks = max(1, -(-items.count() // ITEMS_PER_BLOCK))
+    for block in range(blocks):
+        own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield classes_of([tuple(row) for row in own.orderBy("item_id", "text").collect()], percent)
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` in whose text no item occurs, as ``find_leaks`` has it; each row is judged by itself, whatever its id."""
+    place = docs.columns.index("text")
+    for index in indexes(benchmark, percent):
+
+        def keep(piece: pa.RecordBatch, index: list[Items] = index) -> pa.RecordBatch:
+            data, offsets = raw(piece.column(place))
+            stays = np.ones(piece.num_rows, bool)
+            for items in index:
+                stays[[text for text, *_ in found_in(items, data, offsets)]] = False
+            return piece.filter(pa.array(stays))
+
+        docs = over_batches(docs, keep, docs.schema, TOGETHER)
+    return docs
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, first, end, edits): the items (item_id, text) that occur in the texts (doc_id, text).
 
@@ -282,12 +308,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     are left out.
     """
     docs = pick(docs, doc_id="bigint", text="string")
-    items = pick(benchmark, item_id="bigint", text="string").filter("text is not null")
-    total, found = items.count(), None
-    blocks = max(1, -(-total // ITEMS_PER_BLOCK))
-    for block in range(blocks):
-        own = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = classes_of([tuple(row) for row in own.orderBy("item_id", "text").collect()], percent)
+    found = None
+    for index in indexes(benchmark, percent):
 
         def run(piece: pa.RecordBatch, index: list[Items] = index) -> pa.RecordBatch:
             data, offsets = raw(piece.column(1))

@@ -75,3 +75,12 @@ def test_repeated_and_missing_ids(spark, folder):
     cut = corpus_pipeline.repeated_passage_stage(spark, docs, folder)
     assert sum(r.text == text for r in cut.collect()) == 1
     assert corpus_pipeline.decontamination_stage(spark, docs, folder).count() == 5
+
+
+def test_a_leak_takes_its_own_row_only(spark, folder):
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").filter("item_id = 2").first().text
+    texts = [(None, f"before {item} after"), (None, "clean without id"), (None, None), (7, item), (7, "clean with the same id"), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    kept = corpus_pipeline.decontamination_stage(spark, docs, folder)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(i, t) for i, t in texts if not t or item not in t}
