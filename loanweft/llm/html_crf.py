@@ -37,8 +37,9 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 CLOSED_BY = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
              "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}}
 TOKEN = re.compile(
-    r"""<!--(?:.*?-->|.*)|<(script|style|noscript|template|title|textarea|svg|head)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(?:.*?</\1\s*>|.*)"""
+    r"""<!--(?:.*?-->|.*)|<(script|style|title|textarea)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(?:.*?</\1(?=[\s/>])[^>]*>|.*)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
+HIDDEN = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("noscript", "template", "svg")}  # skipped up to their end tags, if there are any
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 ENDS = (".", "!", "?", "…", ":", "”", '"', "。")
@@ -57,7 +58,9 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
 
     Character references are decoded and white space becomes single blanks; a
     line break counts as white space. Contents of scripts, styles and the like
-    are no text. Missing end tags and stray ones are passed over as browsers do.
+    are no text. Missing end tags and stray ones are passed over as browsers do:
+    to the end of the page goes only what follows an open script, style, title
+    or textarea.
     """
     made: list[tuple[str, tuple[str, ...], int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -73,7 +76,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         state[1] = 0
 
     at = 0
-    for found in TOKEN.finditer(page):
+    endless: set[str] = set()  # names of hidden elements without a further end tag
+    while found := TOKEN.search(page, at):
         if found.start() > at:
             piece = page[at:found.start()]
             parts.append(piece)
@@ -84,6 +88,13 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         if not tag:
             continue
         closing = bool(found[2] or found[5])
+        if tag in HIDDEN:
+            if not closing and tag not in endless and not (tag == "svg" and found[0].endswith("/>")):
+                if end := HIDDEN[tag].search(page, at):
+                    at = end.end()
+                else:
+                    endless.add(tag)
+            continue
         if tag == "a":
             state[0] = 0 if closing else 1
         elif tag == "br":

@@ -165,3 +165,22 @@ def test_label_model_finds_bad_and_correlated_voters():
     assert np.mean((posterior > 0.5) == truth) > 0.97
     assert rates[0, 1] > 10 * rates[0, 0] and abs(rates[3, 1] - rates[3, 0]) < 0.1
     assert cluster[0] == cluster[1] != cluster[2]
+
+
+@pytest.mark.parametrize("page, wanted", [
+    ("<head><meta><body><article><p>Hello</p></article>", ["Hello"]),
+    ("<head><title>no</title><meta charset=x><p>a</p>", ["a"]),
+    ("<html><head><script>var a = '<p>no</p>'</script><style>p{}</style></head><p>a</p>", ["a"]),
+    ("<svg-icon name=x></svg-icon><p>b</p><p>c</p>", ["b", "c"]),
+    ("<title-bar>t</title-bar><p>b</p>", ["t", "b"]), ("<template-x></template-x><p>b</p>", ["b"]), ("<head-line>h</head-line><p>b</p>", ["h", "b"]),
+    ("<p>a<svg viewBox='0 0 1 1'/>b</p><p>c</p><svg><text>no</text></svg><p>d</p>", ["ab", "c", "d"]),
+    ("<svg><p>a</p>", ["a"]), ("<template><p>a</p>", ["a"]), ("<noscript><p>a</p>", ["a"]),
+    ("<noscript><p>no</p></noscript><template>no</template ><svg/><p>a</p>", ["a"]),
+    ("<p>a</p><script>b<p>c</p>", ["a"]), ("<p>a</p><textarea>b</textarea x><p>c</p>", ["a", "c"]), ("<p>a</p><title>b<p>c</p>", ["a"]),
+])
+def test_skipped_elements_end_where_they_should(page, wanted):
+    assert [block[0] for block in html_crf.leaf_blocks(page)] == wanted
+
+
+def test_many_open_hidden_elements_take_no_longer():
+    assert len(html_crf.leaf_blocks("<svg><template><p>a</p>" * 50_000)) == 50_000
