@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanweft.llm import decontaminate, forced_bpe, jaccard, substrings, toxicity
@@ -60,15 +60,9 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A character that a cut would divide goes as a whole. Documents of which
     nothing is left go; those that were empty stay.
     """
-    docs = pick(docs, **COLUMNS)
-    numbered = substrings.numbered(docs)
+    numbered = substrings.numbered(docs, **{name: kind for name, kind in COLUMNS.items() if name not in ("doc_id", "text")})
     cut = substrings.spans(numbered)
-    keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(substrings.NO_ID)))
-    if numbered.filter("copy > 0").limit(1).count():
-        keyed = keyed.withColumn("copy", F.row_number().over(Window.partitionBy("doc").orderBy(F.asc_nulls_first("text"))) - 1)
-    else:
-        keyed = keyed.withColumn("copy", F.lit(0))
-    joined = substrings.join_by_key(keyed, cut, "left").select(*COLUMNS, "runs")
+    joined = substrings.join_by_key(numbered, cut, "left").select(*COLUMNS, "runs")
 
     def run(piece: pa.RecordBatch) -> pa.RecordBatch:
         texts, sizes, stays = [], [], []

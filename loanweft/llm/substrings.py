@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanweft.llm.common import materialize, mixed, over_batches, parts_of, pick, polynomial, raw, slices
@@ -146,14 +146,20 @@ def ranked(units: DataFrame, parts: int) -> DataFrame:
     return placed.mapInArrow(run, "doc bigint, pos bigint, state int")
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """(doc, copy, doc_id, text): doc replaces a null id by the smallest long, copy tells apart rows with one id, by their text."""
-    docs = pick(df, doc_id="bigint", text="string").withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
+def numbered(df: DataFrame, **more: str) -> DataFrame:
+    """(doc, copy, doc_id, text, columns of ``more``): doc is the id, a null one the smallest long, and copy is 0.
+
+    If ids repeat, doc is the row's number by id and text instead, null ids
+    first. Ranges of rows are sorted, so no task gets all rows of one id, and
+    the table is written, so that the numbers stay.
+    """
+    docs = pick(df, doc_id="bigint", text="string", **more).withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID)))
     counted = docs.agg(F.count("*").alias("n"), F.count_distinct("doc").alias("d")).first()
-    if counted.n == counted.d:
-        return docs.select("doc", F.lit(0).alias("copy"), "doc_id", "text")
-    order = Window.partitionBy("doc").orderBy(F.asc_nulls_first("text"))
-    return docs.withColumn("copy", F.row_number().over(order) - 1).select("doc", "copy", "doc_id", "text")
+    if counted.n != counted.d:
+        order = [F.asc("doc"), F.asc_nulls_first("text"), F.asc("row")]  # row sets equal rows apart
+        ranges = docs.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts_of(docs, 50_000, counted.n), *order)
+        docs = materialize(ranges.sortWithinPartitions(*order).withColumn("doc", F.monotonically_increasing_id()).drop("row"), "numbered")
+    return docs.select("doc", F.lit(0).alias("copy"), "doc_id", "text", *more)
 
 
 def join_by_key(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:

@@ -237,3 +237,12 @@ def test_short_items_are_found_whatever_word_comes_before():
     found = {(text, index.ids[which]) for index in decontaminate.classes_of(list(enumerate(items)), 80)
              for text, which, *_ in decontaminate.found_in(index, *raw(pa.array(texts)))}
     assert found == {(i, k) for i, text in enumerate(texts) for k, item in enumerate(items) if f" {item} " in f" {text} "}
+
+
+def test_many_rows_without_an_id_keep_their_order_and_their_own_cuts(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, f"{first} {passage}") for first in "ay"] + [(None, "z" * 100 + "own end")]
+    short = spark.range(140_000).selectExpr("cast(null as long) as doc_id", "concat('b', id) as text")
+    frame = short.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {bytes(r.kept).decode(): r.n_removed for r in substrings.remove_repeats(frame).filter("n_bytes >= 100").collect()}
+    assert got == {rows[0][1]: 0, "y": len(passage) + 1, rows[2][1]: 0}
