@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, ring, substrings, toxicity, training_order, warc
+from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, packing, ring, substrings, toxicity, training_order, warc
 from loanweft.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op10_prefix_doubling_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_bounded_space_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
     "op2_warc_index_merge": (op2_warc_index_merge, None),
@@ -70,5 +75,6 @@ QUERIES = {
     "op8_crf_main_text": (op8_crf_main_text, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
     "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
+    "op12_bounded_space_packing": (op12_bounded_space_packing, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
