@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import materialize, pick, raw, slices
-from loanweft.llm.forced_bpe import content_of, loaded
+from loanweft.llm.common import materialize, pick, slices
+from loanweft.llm.token_ids import content_of, loaded
 
 CAPACITY = 2048
 OPEN = 16
@@ -159,11 +159,11 @@ def encoded(df: DataFrame, path: str, capacity: int, most_open: int) -> DataFram
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part = loaded(content), TaskContext.get().partitionId()
+        coder, part = loaded(content), TaskContext.get().partitionId()
         packer = Packer(first_number(0, part), capacity, most_open)
         for batch in batches:
             for piece in slices(batch, ["text"], TOGETHER):
-                ids, at = bpe.encode(*raw(piece.column(1)))
+                ids, at = coder.encode(piece.column(1).to_pylist())
                 blob = ids.astype("<u4").tobytes()
                 for doc_id, low, high in zip(piece.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
                     packer.add(doc_id, 0, high - low + 1, blob[4 * low:4 * high] + end)

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from loanweft.llm import decontaminate, forced_bpe, substrings, training_order
+from loanweft.llm import decontaminate, forced_bpe, substrings, token_ids, training_order
 from loanweft.llm.common import raw
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,18 @@ def test_ids_equal_the_library(bpe, library):
             assert bpe.decode(ids[low:high]) == library.decode(wanted, skip_special_tokens=False)
 
 
+def test_ids_by_ranks_equal_the_library(library):
+    coder, chance = token_ids.TokenIds(token_ids.content_of(PATH)), random.Random(6)
+    texts = ["".join(chance.choices(PIECES, k=chance.randint(0, 30))) for _ in range(2000)] + [None, "", "x" * 5000, "a" + " " * 400_000 + "b", " " * 5000]
+    texts += ["".join(f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)} !{chr(c)}? " for c in range(low, low + 256)) for low in range(0, 0x30000, 256)
+              if not 0xD800 <= low <= 0xDFFF]
+    ids, at = coder.encode(texts)
+    for text, low, high in zip(texts, at[:-1], at[1:]):
+        assert ids[low:high].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+    with pytest.raises(ValueError):
+        token_ids.TokenIds(token_ids.content_of(PATH).replace('"Ġthe":262', '"Ġthe":263').replace('"Ġc":269', '"Ġc":262'))
+
+
 def test_fragments_do_not_cross_and_memory_is_bounded(library):
     small = forced_bpe.ForcedBpe(forced_bpe.content_of(PATH), kept=10)
     for text in ("one two three four five six seven eight nine ten eleven twelve", "other words here " * 30):
