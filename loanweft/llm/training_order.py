@@ -30,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, bucketizer, materialize, mixed, raw, shared_path, slices
-from loanweft.llm.forced_bpe import content_of, loaded
-from loanweft.llm.substrings import NO_ID, join_by_key, numbered
+from loanweft.llm.common import MIX, bucketizer, materialize, mixed, shared_path, slices
+from loanweft.llm.substrings import join_by_key, numbered
+from loanweft.llm.token_ids import content_of, loaded
 
 LENGTH = 256
 ROUNDS = 6
 NUMBERS_PER_SHARD = 60_000  # reserved numbers; a third of them or so become records
 HEAD = 16  # bytes: doc_id, number within the text, tokens that count
+NO_ID = np.uint32(1 << 31)  # set in the tokens of a row without doc_id
 TOGETHER = 2
 MOST_RANGES = 10_000
 
@@ -110,25 +111,25 @@ def write(df: DataFrame, path: str, tokenizer: str, key: int, length: int = LENG
     """Write (doc_id, text) as shards below ``path``, in the order that ``key`` gives.
 
     A null or empty text is a sequence that holds the end mark only. Rows with
-    one id are numbered by their text, rows without id come first and are
-    written with the smallest long. An empty table writes no shard. Other
+    one id are numbered by their text, rows without id come first; a record
+    holds its row's own doc_id, or that there is none. An empty table writes no shard. Other
     columns are left out. The vocabulary must fit two bytes.
     """
     content = content_of(tokenizer)
-    bpe = loaded(content)
-    if len(bpe.pieces) > 1 << 16 or len(bpe.special) != 1:
+    coder = loaded(content)
+    if len(coder.pieces) > 1 << 16 or len(coder.special) != 1:
         raise ValueError("a vocabulary of at most 65,536 tokens with one special token, the end mark, is needed")
-    end = next(iter(bpe.special.values()))
+    end = next(iter(coder.special.values()))
     docs = numbered(df)
     base, total = reserved(docs, length)
     order, shards = Permutation(max(1, total), key), max(1, -(-total // NUMBERS_PER_SHARD))
-    placed = join_by_key(docs.select("doc", "copy", "text"), base, "inner").select("doc", "base", "text")
+    placed = join_by_key(docs, base, "inner").select("doc_id", "base", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(content)
+        coder = loaded(content)
         for batch in batches:
             for piece in slices(batch, ["text"], TOGETHER << 20):
-                ids, at = bpe.encode(*raw(piece.column(2)))
+                ids, at = coder.encode(piece.column(2).to_pylist())
                 tokens = np.diff(at) + 1  # with the end mark
                 made = -(-tokens // length)
                 row = np.repeat(np.arange(len(made)), made)
@@ -137,8 +138,9 @@ def write(df: DataFrame, path: str, tokenizer: str, key: int, length: int = LENG
                 start = np.repeat(np.cumsum(made) - made, tokens - 1) * length + np.arange(len(ids)) - np.repeat(at[:-1], tokens - 1)
                 grid.reshape(-1)[start] = ids
                 head = np.zeros(len(row), np.dtype([("doc", "<i8"), ("number", "<u4"), ("tokens", "<u4")]))
-                head["doc"], head["number"] = np.asarray(piece.column(0))[row], number
+                head["doc"], head["number"] = np.asarray(piece.column(0).fill_null(0))[row], number
                 head["tokens"] = np.minimum(length, tokens[row] - number * length)
+                head["tokens"] |= np.where(np.asarray(piece.column(0).is_null())[row], NO_ID, 0).astype(np.uint32)
                 place = order.place(np.asarray(piece.column(1))[row] + number)
                 records = np.concatenate([head.view(np.uint8).reshape(len(row), HEAD), grid.astype("<u2").view(np.uint8)], axis=1)
                 whole = records.tobytes()
@@ -148,7 +150,7 @@ def write(df: DataFrame, path: str, tokenizer: str, key: int, length: int = LENG
                     "place": pa.array(place), "value": pa.array([whole[i:i + size] for i in range(0, len(whole), size)], pa.binary())})
 
     rows = placed.mapInArrow(run, "shard int, place bigint, value binary")
-    ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "place")
+    ordered = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place")
     ordered.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
 
 
@@ -189,13 +191,12 @@ def read(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
                     part = records[low:low + per_batch]
                     head = np.ascontiguousarray(part[:, :HEAD]).view(np.dtype([("doc", "<i8"), ("number", "<u4"), ("tokens", "<u4")])).reshape(-1)
                     grid = np.ascontiguousarray(part[:, HEAD:-1]).view("<u2").astype(np.int32)
-                    used = head["tokens"].astype(np.int64)
+                    used, no_id = (head["tokens"] & ~NO_ID).astype(np.int64), head["tokens"] >= NO_ID
                     offsets = np.r_[0, np.cumsum(used)].astype(np.int32)
                     flat = grid[np.arange(grid.shape[1]) < used[:, None]]
-                    doc = head["doc"]
                     yield pa.RecordBatch.from_pydict({
                         "slot": pa.array(first[file] + low + np.arange(len(part))), "shard": pa.array(np.full(len(part), shard_of(file), np.int32)),
-                        "doc_id": pa.array(doc, pa.int64(), mask=doc == NO_ID), "sequence": pa.array(head["number"].astype(np.int32)),
+                        "doc_id": pa.array(head["doc"], pa.int64(), mask=no_id), "sequence": pa.array(head["number"].astype(np.int32)),
                         "n_tokens": pa.array(used.astype(np.int32)), "tokens": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
 
     schema = "slot bigint, shard int, doc_id bigint, sequence int, n_tokens int, tokens array<int>"
