@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, packing, ring, substrings, toxicity, training_order, warc
+from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, merkle, oracles, packing, ring, substrings, toxicity, training_order, warc
 from loanweft.llm.common import table
 
 
@@ -64,6 +64,15 @@ def op12_bounded_space_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def without_breaks() -> Column:
+    """The text, where 2 divides the check sum of its doc_id without its line breaks."""
+    return F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"), without_breaks()).audit()
+
+
 QUERIES = {
     "op1_bottom_k_fingerprints": (op1_bottom_k_fingerprints, None),
     "op2_warc_index_merge": (op2_warc_index_merge, None),
@@ -76,5 +85,6 @@ QUERIES = {
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
     "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
     "op12_bounded_space_packing": (op12_bounded_space_packing, None),
+    "op13_merkle_manifest": (op13_merkle_manifest, oracles.MERKLE),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
