@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, merkle, oracles, packing, ring, substrings, toxicity, training_order, warc
+from loanweft.llm import decontaminate, fingerprints, forced_bpe, html_crf, jaccard, merkle, oracles, packing, ring, role_repair, substrings, toxicity, training_order, warc
 from loanweft.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op10_prefix_doubling_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return role_repair.repair(role_repair.damaged(rows), rows)
+
+
 def op12_bounded_space_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_crf_main_text": (op8_crf_main_text, None),
     "op9_forced_boundary_bpe": (op9_forced_boundary_bpe, None),
     "op10_prefix_doubling_dedup": (op10_prefix_doubling_dedup, None),
+    "op11_role_repair": (op11_role_repair, None),
     "op12_bounded_space_packing": (op12_bounded_space_packing, None),
     "op13_merkle_manifest": (op13_merkle_manifest, oracles.MERKLE),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
