@@ -98,8 +98,9 @@ def dated_table(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def split_loans(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    rows = dated_table(spark, folder, *columns)
-    return fit_time_split(rows).apply(rows)
+    rows = dated(spark, folder)
+    rows = rows.select("id", "issue_month", *columns) if columns else rows
+    return fit_time_split(rows.select("id", "issue_month")).apply(rows)
 
 
 def month_sql(column: str) -> str:

@@ -15,14 +15,16 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
 from loanweft.operators.position import Order, rows_at_ranks
-from loanweft.session import literal_table
+from loanweft.session import literal_table, materialize
 
 MISSING_CATEGORY = "Missing"
+SKETCH = 2_000  # size of the sketch that says where a column's middle lies
+BRACKET = 0.01  # share of the rows on either side of the middle that are ranked
 
 
 @dataclass(frozen=True)
@@ -37,17 +39,47 @@ def _middle_ranks(rows: Column) -> Column:
     return F.array(half + rows % 2, half + 1)
 
 
+def _sketched(df: DataFrame, columns: Sequence[str], more: Sequence[Column] = ()) -> tuple[list[Column], Row]:
+    """The columns as doubles, and one row of one scan: per column its values and two cut points around the middle, then ``more``."""
+    doubles = [F.col(f"`{name}`").cast("double") for name in columns]
+    shares = F.array(F.lit(0.5 - BRACKET), F.lit(0.5 + BRACKET))
+    cuts = [F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(value, F.lit(SKETCH)), shares)) for value in doubles]
+    return doubles, df.agg(*[F.struct(F.count(value).alias("n"), cut.alias("cuts")).alias(f"c{i}") for i, (value, cut) in enumerate(zip(doubles, cuts))], *more).first()
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str], **tuning: int) -> dict[str, float]:
     """Median of the non-missing values per column, mean of the middle two for an even count.
 
-    All columns are ranked together, each a group of its own.
+    One aggregation over the wide rows sketches every column; the next counts,
+    exactly, the values below and between two cut points around each middle.
+    Only the values between them, a small share, are made rows of their own,
+    ranked and picked from. A column whose cut points miss the middle is ranked
+    whole.
     """
     if not columns:
         return {}
-    indexed = df.select(*[F.col(f"`{name}`").cast("double").alias(str(i)) for i, name in enumerate(columns)])
-    long = indexed.unpivot([], [str(i) for i in range(len(columns))], "_column", "_value").where(
-        F.col("_value").isNotNull()).withColumn("_column", F.col("_column").cast("int"))
-    found, _ = rows_at_ranks(long, [Order("_value")], _middle_ranks, ["_column"], **tuning)
+    return _medians(df, columns, *_sketched(df, columns), **tuning)
+
+
+def _medians(df: DataFrame, columns: Sequence[str], doubles: Sequence[Column], sketched: Row, **tuning: int) -> dict[str, float]:
+    present = [i for i in range(len(columns)) if sketched[i].n]
+    if not present:
+        return {}
+    cuts = {i: tuple(sketched[i].cuts) for i in present}
+    counted = df.agg(*[F.struct(F.count_if(doubles[i] < cuts[i][0]).alias("below"), F.count_if(doubles[i].between(*cuts[i])).alias("between")).alias(f"c{i}")
+                       for i in present]).first()
+    offsets = {}
+    for i, found in zip(present, counted):
+        first, last = (sketched[i].n + 1) // 2, sketched[i].n // 2 + 1
+        if not (found.below < first and last <= found.below + found.between):
+            cuts[i], offsets[i] = (-math.inf, math.inf), 0
+        else:
+            offsets[i] = found.below
+    cells = F.array(*[F.when(doubles[i].between(*cuts[i]), F.struct(F.lit(i).alias("_column"), doubles[i].alias("_value"))) for i in present])
+    inside = materialize(df.select(F.inline(F.array_compact(cells))), "middles")
+    total, offset = (F.element_at(F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair]), F.col("_column"))
+                     for numbers in ({i: sketched[i].n for i in present}, offsets))
+    found, _ = rows_at_ranks(inside, [Order("_value")], lambda _: F.transform(_middle_ranks(total), lambda k: k - offset), ["_column"], **tuning)
     return {columns[group[0]]: sum(key[0] for key in keys.values()) / len(keys) for group, keys in found.items()}
 
 
@@ -55,24 +87,22 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str], **tuning: int) ->
     """M1. Median, and mean and population deviation after the median has filled the gaps.
 
     The moments of the filled column follow from those of the present values,
-    so one aggregation without a second scan is enough. A column with one value
-    is divided by 1.
+    so the scan that sketches the columns takes them too. A column with one
+    value is divided by 1.
     """
-    medians = exact_medians(df, columns, **tuning)
-    empty = [name for name in columns if name not in medians]
-    if empty:
-        raise DataCheckError(f"numeric columns without values: {empty}")
     if not columns:
         return {}
     measures = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(columns):
         column = F.col(f"`{name}`").cast("double")
-        measures += [F.count(column).alias(f"n{i}"), F.avg(column).alias(f"m{i}"), F.var_pop(column).alias(f"v{i}"),
-                     F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
-    row = df.agg(*measures).first()
+        measures += [F.avg(column).alias(f"m{i}"), F.var_pop(column).alias(f"v{i}"), F.min(column).alias(f"low{i}"), F.max(column).alias(f"high{i}")]
+    doubles, row = _sketched(df, columns, measures)
+    if empty := [name for i, name in enumerate(columns) if not row[i].n]:
+        raise DataCheckError(f"numeric columns without values: {empty}")
+    medians = _medians(df, columns, doubles, row, **tuning)
     result = {}
     for i, name in enumerate(columns):
-        rows, present, mean, variance = row["_rows"], row[f"n{i}"], row[f"m{i}"], row[f"v{i}"]
+        rows, present, mean, variance = row["_rows"], row[i].n, row[f"m{i}"], row[f"v{i}"]
         gaps, median = rows - present, medians[name]
         if row[f"low{i}"] == row[f"high{i}"]:
             result[name] = NumericStatistics(median, median, 1.0)
