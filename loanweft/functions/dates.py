@@ -14,8 +14,8 @@ MONTH_FORMAT = "MMM-yyyy"
 FALLBACK_FORMATS = ("yyyy-MM-dd", "yyyy-MM", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss")
 
 
-# Texts that a format can match at all. The test is cheap, while the parser
-# raises and catches an error for every text it cannot read.
+# Texts that a format can match at all, each as long as its format. The test is
+# cheap, while the parser raises and catches an error for every text it cannot read.
 SHAPES = {
     "MMM-yyyy": "^[A-Za-z]{3}-[0-9]{4}$",
     "yyyy-MM-dd": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
@@ -29,7 +29,9 @@ def _parsed(column: Column, fmt: str) -> Column:
     # month names may come in any letter case
     text = F.initcap(column) if fmt == MONTH_FORMAT else column
     value = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
-    return F.when(F.rlike(column, F.lit(SHAPES[fmt])), value) if fmt in SHAPES else value
+    if fmt not in SHAPES:
+        return value
+    return F.when((F.octet_length(column) == len(fmt)) & F.rlike(column, F.lit(SHAPES[fmt])), value)
 
 
 def parse_month(column: Column, formats: Sequence[str] = (MONTH_FORMAT,)) -> Column:

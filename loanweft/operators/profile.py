@@ -1,9 +1,9 @@
 """Per-column statistics and feature-type inference.
 
-Distinct values are counted by a 128-bit hash of their text, combined map-side,
-so a shuffle carries a few numbers per distinct value whatever its length. Date
-rates and integer flags come from the scan itself. Sample values are chosen by
-hash and first row; only the few chosen ones are read again as text.
+Distinct values are counted by a 128-bit hash, combined map-side, so a shuffle
+carries a few numbers per distinct value whatever its length. Date rates and
+integer flags come from the scan itself. Sample values are chosen from the same
+hashes by their first row; only the few chosen ones are read again as text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from loanweft.functions.checks import require_columns
 from loanweft.functions.dates import FALLBACK_FORMATS, MONTH_FORMAT, parse_month
 from loanweft.functions.text import non_blank
 from loanweft.operators.quality import count_missing, missing_counts, per_column
-from loanweft.session import literal_table
+from loanweft.session import literal_table, materialize
 
 DATE_FORMATS = (MONTH_FORMAT, *FALLBACK_FORMATS)
 
@@ -49,27 +49,67 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return column.cast("string")
 
 
-def _hashed(df: DataFrame, columns: Sequence[str], text, row_key: str | None = None) -> DataFrame:
-    """Rows (number of the column, two hashes of its text, row key) of every non-missing cell; ``text`` makes the text of a cell."""
-    def cell(number: int, name: str) -> Column:
-        value = text(_as_text(df, name))
-        hashes = [F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value)).alias(f"_hash{seed}") for seed in (1, 2)]
-        return F.struct(F.lit(number).alias("_column"), *hashes, *([F.col(f"`{row_key}`").alias("_key")] if row_key else []))
+def _with_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_t0``, ...: trimmed text of the columns that are no numbers, NULL when blank.
+
+    A projection of its own, so that a text is trimmed once however often it is used.
+    """
+    return df.select("*", *[non_blank(_as_text(df, name)).alias(f"_t{i}") for i, name in enumerate(columns)
+                            if not is_numeric_type(df.schema[name].dataType)])
+
+
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def _cells(df: DataFrame, columns: Sequence[str], row_key: str | None = None) -> DataFrame:
+    """Number of the column and two hashes of every non-missing cell; with ``row_key`` also the key and those of its trimmed text.
+
+    Numbers are hashed as they are: they are distinct as their texts are. The
+    hashes of a trimmed text are NULL where nothing had to be trimmed, and
+    ``_blank`` says that nothing is left.
+    """
+    prepared = df.select(*[_hashable(df, name).alias(f"_v{i}") for i, name in enumerate(columns)],
+                         *[non_blank(F.col(f"`{name}`")).alias(f"_t{i}") for i, name in enumerate(columns) if row_key and _is_text(df, name)],
+                         *([F.col(f"`{row_key}`").alias("_key")] if row_key else []))
+
+    def hashes(column: Column, name: str) -> list[Column]:
+        return [F.when(column.isNotNull(), F.xxhash64(F.lit(seed), column)).alias(f"{name}{seed}") for seed in (1, 2)]
 
-    cells = df.select(F.inline(F.array(*[cell(number, name) for number, name in enumerate(columns)])))
-    return cells.where(F.col("_hash1").isNotNull())
+    def cell(number: int, name: str) -> Column:
+        value, more = F.col(f"_v{number}"), []
+        if row_key:
+            text = F.col(f"_t{number}")
+            trimmed = F.when(text != value, text) if _is_text(df, name) else F.lit(None).cast("string")
+            more = [(value.isNotNull() & text.isNull() if _is_text(df, name) else F.lit(False)).alias("_blank"), *hashes(trimmed, "_trim")]
+        return F.struct(F.lit(number).alias("_column"), *hashes(value, "_hash"), *more)
+
+    listed = F.array(*[cell(number, name) for number, name in enumerate(columns)])
+    return prepared.select(*(["_key"] if row_key else []), F.inline(listed)).where(F.col("_hash1").isNotNull())
+
+
+def _hashable(df: DataFrame, name: str) -> Column:
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return column + F.lit(0.0)  # -0.0 and 0.0 are one value
+    if isinstance(kind, (T.StringType, T.IntegralType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return column
+    return column.cast("string")
 
 
 def _named(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in columns]), F.col("_column") + 1).alias("column_name")
 
 
+def _counted(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return values.groupBy("_column").agg(F.count(F.lit(1)).alias("unique_non_missing_count")).select(
+        _named(values, columns), "unique_non_missing_count")
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """(column_name, unique_non_missing_count), exact or by sketch."""
     if exact:
-        values = _hashed(df, columns, lambda value: value).distinct()
-        return values.groupBy("_column").agg(F.count(F.lit(1)).alias("unique_non_missing_count")).select(
-            _named(df, columns), "unique_non_missing_count")
+        return _counted(_cells(df, columns).distinct(), columns)
     sketches = F.array(*[F.approx_count_distinct(_as_text(df, name)) for name in columns])
     names = F.array(*[F.lit(name) for name in columns])
     one = df.agg(sketches.alias("counts"))
@@ -77,6 +117,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
         names.alias("column_name"), F.col("counts").alias("unique_non_missing_count"))))
 
 
+def distinct_cells(df: DataFrame, columns: Sequence[str], row_key: str) -> DataFrame:
+    """Every column's distinct values by hash, each with the hash of its trimmed text and its first row; written.
+
+    One shuffle, from which counts and samples follow.
+    """
+    per_value = _cells(df, columns, row_key).groupBy("_column", "_hash1", "_hash2").agg(
+        F.max("_blank").alias("_blank"), F.max("_trim1").alias("_trim1"), F.max("_trim2").alias("_trim2"), F.min("_key").alias("_key"))
+    return materialize(per_value, "distinct-cells")
+
+
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """A8. Distinct values, missingness and constant flag per column, fewest distinct first."""
     distinct = distinct_counts(df, df.columns, exact)
@@ -115,38 +165,51 @@ def looks_like_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Col
 
 
 def _date_rates(df: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> list[Column]:
-    rates = []
-    for name in columns:
-        if is_numeric_type(df.schema[name].dataType):
-            rates.append(F.max(F.lit(None).cast("double")))
-            continue
-        text = non_blank(_as_text(df, name))
-        rates.append(F.avg(F.when(text.isNotNull(), looks_like_date(text, formats).cast("int"))))
-    return rates
+    """Aggregates over ``_with_texts``."""
+    return [F.max(F.lit(None).cast("double")) if is_numeric_type(df.schema[name].dataType)
+            else F.avg(F.when(F.col(f"_t{i}").isNotNull(), looks_like_date(F.col(f"_t{i}"), formats).cast("int"))) for i, name in enumerate(columns)]
 
 
 def date_parse_rates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """A14. Share of non-blank values that read as dates."""
-    return per_column(df, columns, date_parse_success_rate=_date_rates(df, columns, formats)).select(
+    return per_column(_with_texts(df, columns), columns, date_parse_success_rate=_date_rates(df, columns, formats)).select(
         "column_name", "date_parse_success_rate")
 
 
-def sample_values(df: DataFrame, columns: Sequence[str], row_key: str, limit: int = 5) -> DataFrame:
-    """A15. First distinct non-blank values by row key, joined.
+def sample_values(df: DataFrame, columns: Sequence[str], row_key: str, limit: int = 5, cells: DataFrame | None = None) -> DataFrame:
+    """A15. First distinct non-blank values by row key, joined; ``cells`` are the columns' ``distinct_cells`` if they are known already.
 
-    The ``row_number() <= limit`` filter lets Spark keep only ``limit`` rows per
-    column before it shuffles.
+    Of each column the first few distinct values by row key are taken, which
+    Spark picks before it shuffles. Texts that differ by blanks only are one
+    value, so a column that shows too few of them gives ten times as many, until
+    it has enough or no more. The chosen rows, ``limit`` a column at most, are
+    read again as text.
     """
-    merged = _hashed(df, columns, non_blank, row_key).groupBy("_column", "_hash1", "_hash2").agg(F.min("_key").alias("_key"))
-    window = Window.partitionBy("_column").orderBy("_key", "_hash1", "_hash2")
-    first = merged.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).select("_column", "_key", "_rank")
-    rows = df.join(first.select(F.col("_key").alias("_wanted")).distinct(), F.col(f"`{row_key}`") == F.col("_wanted"), "left_semi")
-    cells = F.array(*[F.struct(F.lit(number).alias("_column"), non_blank(_as_text(df, name)).alias("text"), F.col(f"`{row_key}`").alias("_key"))
-                      for number, name in enumerate(columns)])
-    texts = rows.select(F.inline(cells)).where(F.col("text").isNotNull())
+    cells = distinct_cells(df, columns, row_key) if cells is None else cells
+    window = Window.partitionBy("_column").orderBy("_key", "_trim1", "_trim2")
+    chosen, open_columns, most = [], list(range(len(columns))), 10 * limit
+    while open_columns:
+        shown = cells.where(~F.col("_blank") & F.col("_column").isin(open_columns))
+        shown = shown.withColumns({f"_trim{seed}": F.coalesce(f"_trim{seed}", f"_hash{seed}") for seed in (1, 2)})
+        shown = shown.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= most)
+        first = shown.groupBy("_column", "_trim1", "_trim2").agg(F.min("_key").alias("_key"))
+        first = first.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit)
+        counted = shown.groupBy("_column").agg(F.count(F.lit(1)).alias("shown"))
+        rows = first.join(counted, "_column").collect()  # limit rows a column
+        per = {column: [row for row in rows if row["_column"] == column] for column in open_columns}
+        open_columns = [column for column, found in per.items() if 0 < len(found) < limit and found[0].shown == most]
+        chosen += [(row["_column"], row["_rank"], row["_key"]) for column, found in per.items() if column not in open_columns for row in found]
+        most *= 10
+    keys, kind = sorted({key for _, _, key in chosen}), df.schema[row_key].dataType
+    first = df.sparkSession.createDataFrame(chosen, T.StructType([T.StructField("_column", T.IntegerType()), T.StructField("_rank", T.IntegerType()),
+                                                                  T.StructField("_key", kind)]))
+    rows = df.where(F.col(f"`{row_key}`").isin(keys))
+    listed = F.array(*[F.struct(F.lit(number).alias("_column"), non_blank(_as_text(df, name)).alias("text"), F.col(f"`{row_key}`").alias("_key"))
+                       for number, name in enumerate(columns)])
+    texts = rows.select(F.inline(listed)).where(F.col("text").isNotNull())
     found = texts.join(first, ["_column", "_key"]).groupBy("_column", "_rank").agg(F.min("text").alias("text"))
-    listed = F.array_sort(F.collect_list(F.struct("_rank", "text")))
-    return found.groupBy("_column").agg(listed.alias("listed")).select(
+    in_order = F.array_sort(F.collect_list(F.struct("_rank", "text")))
+    return found.groupBy("_column").agg(in_order.alias("listed")).select(
         _named(df, columns), F.array_join(F.transform("listed", lambda item: item["text"]), ", ").alias("sample_values"))
 
 
@@ -157,12 +220,13 @@ def column_statistics(df: DataFrame, columns: Sequence[str], row_key: str,
     listed = literal_table(df.sparkSession, [(i, name, is_numeric_type(df.schema[name].dataType))
                                              for i, name in enumerate(columns)],
                            "position int, column_name string, is_numeric boolean")
-    scanned = per_column(df, columns, missing_count=missing_counts(columns), is_integer_like=_integer_flags(df, columns),
+    cells = distinct_cells(df, columns, row_key)
+    scanned = per_column(_with_texts(df, columns), columns, missing_count=missing_counts(columns), is_integer_like=_integer_flags(df, columns),
                          date_parse_success_rate=_date_rates(df, columns, formats))
     rows = (
         listed.join(scanned, "column_name")
-        .join(distinct_counts(df, columns), "column_name", "left")
-        .join(sample_values(df, columns, row_key), "column_name", "left")
+        .join(_counted(cells, columns), "column_name", "left")
+        .join(sample_values(df, columns, row_key, cells=cells), "column_name", "left")
     )
     zero = F.lit(0).cast("long")
     non_missing = F.col("total_count") - F.col("missing_count")
