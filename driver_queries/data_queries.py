@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from driver_queries.views import (
     LABELED_COLUMNS, LOAN_COLUMNS, LOANS, dated_table, labeled, loans, month_sql, rounded, split_loans, table)
 from loanweft.functions import text
-from loanweft.functions.checks import require_columns, require_fractions, require_no_duplicate_columns
+from loanweft.functions.checks import absent_names, fraction_fault
 from loanweft.functions.dates import month_text, parse_month
 from loanweft.functions.text import parse_list, strip
 from loanweft.operators import labels, profile, quality, sets, splits
@@ -17,7 +17,7 @@ from loanweft.operators.governance import USE_CASES
 from loanweft.operators.position import Order, row_positions
 from loanweft.session import literal_table, shared_path
 from loanweft.sources import readers, writers
-from loanweft.streaming import label_new_files
+from loanweft.streaming import count_new_files, label_new_files
 
 QUERIES: dict = {}
 
@@ -112,17 +112,24 @@ def s1_unreadable_values(spark, folder):
 
 
 @register("s3_column_names", """
-SELECT file_format, column_name, position FROM (VALUES ('csv'), ('parquet')) f(file_format), (
+SELECT file_format, column_name, position, (SELECT count(*) FROM orders) AS cells FROM (VALUES ('csv'), ('parquet')) f(file_format), (
   SELECT column_name, cast(column_index AS integer) AS position FROM (
     SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS column_name,
       unnest([0, 1, 2, 3, 4, 5]) AS column_index))""")
 def s3_column_names(spark, folder):
     """Names from a Parquet schema and from a CSV header."""
     path = scratch(spark)
-    table(spark, folder, "orders").limit(1).write.option("header", True).csv(path)
-    rows = [(kind, name, position) for kind, at in (("parquet", f"{folder}/orders.parquet"), ("csv", path))
-            for position, name in enumerate(readers.read_columns(spark, at, kind))]
-    return literal_table(spark, rows, "file_format string, column_name string, position int")
+    table(spark, folder, "orders").write.option("header", True).csv(path)
+    read = {"parquet": table(spark, folder, "orders"), "csv": spark.read.option("header", True).csv(path)}
+    made = []
+    for kind, at in (("parquet", f"{folder}/orders.parquet"), ("csv", path)):
+        names = readers.read_columns(spark, at, kind)
+        # the cells of each column, so that the names are those of all files
+        counts = read[kind].agg(*[F.count(F.col(name)).alias(name) for name in names])
+        listed = F.array(*[F.struct(F.lit(kind).alias("file_format"), F.lit(name).alias("column_name"), F.lit(i).alias("position"), F.col(name).alias("cells"))
+                           for i, name in enumerate(names)])
+        made.append(counts.select(F.inline(listed)))
+    return made[0].unionByName(made[1])
 
 
 @register("s4_projected_csv", "SELECT c_mktsegment, cast(c_custkey AS varchar) AS c_custkey FROM customer")
@@ -147,35 +154,88 @@ def s11_ordered_report(spark, folder):
 
 
 @register("p5_required_columns", """
-SELECT * FROM (VALUES ('absent', 'o_totalcost'), ('repeated', 'o_orderkey')) v(rule, offender) WHERE (SELECT count(*) FROM orders) > 0""")
+SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey % 3 = 0 THEN 'total' END, CASE WHEN o_orderkey % 5 = 0 THEN 'status' END) AS absent
+FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0""")
 def p5_required_columns(spark, folder):
-    """What the guards say of a table without a column that is needed, and of one with a column twice."""
-    orders = table(spark, folder, "orders")
-    broken = orders.select("*", F.col("o_custkey").alias("o_orderkey"))
-    found = []
-    for rule, names, check in (("absent", ("o_totalcost",), lambda: require_columns(orders, ["o_orderkey", "o_totalcost"])),
-                               ("repeated", ("o_orderkey",), lambda: require_no_duplicate_columns(broken))):
-        try:
-            check()
-        except ValueError as error:
-            found += [(rule, name) for name in names if name in str(error)]
-    return literal_table(spark, found, "rule string, offender string").where(F.lit(orders.limit(1).count()) > 0)
+    """Records as maps, each with names of its own: those that lack a required one, and which."""
+    key = F.col("o_orderkey")
+    fields = F.map_filter(F.create_map(F.lit("key"), key.cast("string"), F.lit("total"), F.when(key % 3 != 0, F.col("o_totalprice").cast("string")),
+                                       F.lit("status"), F.when(key % 5 != 0, F.col("o_orderstatus"))), lambda name, value: value.isNotNull())
+    return absent_names(table(spark, folder, "orders").select("o_orderkey", fields.alias("fields")), "fields", ["key", "total", "status"]).select("o_orderkey", F.array_join("absent", ",").alias("absent"))
+
+
+@register("a1_part_columns", """
+SELECT DISTINCT part, rule, offender FROM (SELECT substr(o_orderpriority, 1, 1) AS part FROM orders), (VALUES
+  ('1', 'extra_column', 'note'), ('2', 'absent_column', 'o_custkey'), ('3', 'moved_column', 'o_custkey'), ('3', 'moved_column', 'o_orderkey'),
+  ('4', 'absent_column', 'o_custkey'), ('4', 'extra_column', 'O_CUSTKEY')) v(p, rule, offender) WHERE part = p""")
+def a1_part_columns(spark, folder):
+    """Raw parts whose headers differ from those of most."""
+    path, orders = scratch(spark), table(spark, folder, "orders")
+    plain = ["o_orderkey", "o_custkey", "o_totalprice"]
+    shapes = {"1": [*plain, F.lit("x").alias("note")], "2": ["o_orderkey", "o_totalprice"], "3": ["o_custkey", "o_orderkey", "o_totalprice"],
+              "4": ["o_orderkey", F.col("o_custkey").alias("O_CUSTKEY"), "o_totalprice"], "5": plain}
+    for part, columns in shapes.items():
+        orders.where(F.startswith("o_orderpriority", F.lit(part))).repartition(20 if part == "5" else 2, "o_orderkey").select(*columns).write.option("header", True).csv(
+            f"{path}/part={part}")
+    found = readers.part_violations(spark, f"{path}/*")
+    return found.select(F.regexp_extract("file", "part=([0-9])", 1).alias("part"), "rule", "offender").distinct()
+
+
+@register("a1_counts_of_arriving_files", "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1")
+def a1_counts_of_arriving_files(spark, folder):
+    """Three arrivals, counted by three runs of the same stream."""
+    path = scratch(spark)
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    for arrival in range(3):
+        rows.where(F.col("o_orderkey") % 3 == arrival).write.mode("append").parquet(f"{path}/in")
+        counted = count_new_files(spark, f"{path}/in", rows.schema, "o_orderpriority", f"{path}/counts", f"{path}/state")
+    return counted
+
+
+_PROFILED = ("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
+
+
+@register("a8_merged_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS total_count, count(*) - count({c}) AS missing_count, true AS estimate_within_2_percent, "
+    + (f"round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS deviation, min({c})::DOUBLE AS low, max({c})::DOUBLE AS high" if c != "l_returnflag" else
+       "NULL::DOUBLE AS mean, NULL::DOUBLE AS deviation, NULL::DOUBLE AS low, NULL::DOUBLE AS high") + " FROM lineitem" for c in _PROFILED))
+def a8_merged_profile(spark, folder):
+    """Profiles of two loads, merged without reading either again, against the exact counts of both."""
+    lines = table(spark, folder, "lineitem")
+    loads = [profile.profile_state(lines.where(F.col("l_orderkey") % 2 == load), _PROFILED) for load in (0, 1)]
+    made = profile.profile_of_state(profile.merged_states(loads[0].unionByName(loads[1])))
+    exact = profile.distinct_counts(lines, _PROFILED)
+    near = F.abs(F.col("unique_non_missing_estimate") - F.col("unique_non_missing_count")) <= 0.02 * F.col("unique_non_missing_count")
+    return made.join(exact, "column_name").select("column_name", "total_count", "missing_count", near.alias("estimate_within_2_percent"), F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"), "low", "high")
+
+
+@register("j2_members_of_large", """
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 250000 AND o_orderstatus = 'F')""")
+def j2_members_of_large(spark, folder):
+    """Members of a set that grows with the data, most others refused before the shuffle."""
+    names = table(spark, folder, "orders").where("o_totalprice > 250000 AND o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return sets.members_of_large(table(spark, folder, "lineitem"), names, "l_orderkey").select("l_orderkey", "l_linenumber")
+
+
+@register("j3_absent_from_large", """
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
+def j3_absent_from_large(spark, folder):
+    names = table(spark, folder, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return sets.absent_from_large(table(spark, folder, "lineitem"), names, "l_orderkey").select("l_orderkey", "l_linenumber")
 
 
 @register("w2_split_fractions", """
-SELECT r_name, CASE WHEN a <= 0 OR b <= 0 THEN 'not positive' WHEN abs(a + b + 0.15e0 - 1) > 1e-9 THEN 'not one together' ELSE 'fine' END AS verdict
-FROM (SELECT r_name, 0.85e0 - r_regionkey * 0.15e0 AS a, r_regionkey * 0.15e0 + CASE WHEN r_regionkey = 3 THEN 0.1e0 ELSE 0e0 END AS b FROM region)""")
+SELECT o_custkey, CASE WHEN least(a, b, c) <= 0 THEN 'fractions must be positive' WHEN abs(a + b + c - 1) > 1e-9 THEN 'fractions must add up to 1'
+  ELSE 'fine' END AS verdict
+FROM (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') / count(*) AS a, count(*) FILTER (o_orderstatus = 'O') / count(*) AS b,
+  count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 50 <> 0) / count(*) AS c FROM orders GROUP BY o_custkey)""")
 def w2_split_fractions(spark, folder):
-    """Fractions of three parts, one row each, judged by the guard."""
-    judged = []
-    for row in table(spark, folder, "region").orderBy("r_regionkey").collect():
-        key = row.r_regionkey
-        try:
-            require_fractions(train=0.85 - key * 0.15, validation=key * 0.15 + (0.1 if key == 3 else 0.0), test=0.15)
-            judged.append((row.r_name, "fine"))
-        except ValueError as error:
-            judged.append((row.r_name, "not positive" if "positive" in str(error) else "not one together"))
-    return literal_table(spark, judged, "r_name string, verdict string")
+    """The shares of a customer's orders as fractions of three parts, judged for all customers."""
+    status, rows = F.col("o_orderstatus"), F.count(F.lit(1))
+    shares = table(spark, folder, "orders").groupBy("o_custkey").agg(
+        (F.count_if(status == "F") / rows).alias("train"), (F.count_if(status == "O") / rows).alias("validation"),
+        (F.count_if((status == "P") & (F.col("o_orderkey") % 50 != 0)) / rows).alias("test"))
+    return shares.select("o_custkey", fraction_fault("train", "validation", "test").alias("verdict"))
 
 
 @register("s9_labeled_table", LOANS + "SELECT id, loan_status, bad_loan FROM labeled")

@@ -92,6 +92,20 @@ def m2_one_hot_counts(spark, folder):
         "feature_name", F.round("n").cast("long").alias("n"))
 
 
+@register("m2_categories_without_a_list", """
+WITH cats AS (SELECT c, v, row_number() OVER (ORDER BY c, v) + 9 AS slot FROM (
+  SELECT DISTINCT 0 AS c, cast(o_custkey AS varchar) AS v FROM orders WHERE o_orderkey % 10 <> 0 UNION
+  SELECT DISTINCT 1, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 0))
+SELECT o_orderkey, concat_ws(',', p.slot, m.slot) AS slots
+FROM orders LEFT JOIN cats p ON p.c = 0 AND p.v = cast(o_custkey AS varchar) LEFT JOIN cats m ON m.c = 1 AND m.v = o_orderpriority""")
+def m2_categories_without_a_list(spark, folder):
+    """As many categories as there are customers, fitted on nine tenths of the orders."""
+    rows, columns = spark.read.parquet(f"{folder}/orders.parquet"), ["o_custkey", "o_orderpriority"]
+    known = features.category_dictionary(rows.where("o_orderkey % 10 <> 0"), columns, first_slot=10)
+    made = features.slotted(rows, "o_orderkey", columns, known)
+    return made.select("o_orderkey", F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))
+
+
 @register("m3_assembled_vectors", PREPARED + """
 SELECT id, cast((SELECT count(*) FROM slots) AS integer) AS size, round(number_sum + known, 6) AS total, known AS known
 FROM prepared""")

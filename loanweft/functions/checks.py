@@ -39,6 +39,19 @@ def require_fractions(**fractions: float) -> None:
         raise ValueError(f"fractions must add up to 1, got {total}")
 
 
+def fraction_fault(*names: str) -> Column:
+    """W2 for rows: what is wrong with the fractions in these columns, or "fine"."""
+    total = reduce(lambda a, b: a + b, [F.col(name) for name in names])
+    return (F.when(F.least(*names) <= 0, "fractions must be positive").when(F.abs(total - F.lit(1.0)) > 1e-9, "fractions must add up to 1")
+            .otherwise("fine"))
+
+
+def absent_names(df: DataFrame, fields: str, names: Sequence[str]) -> DataFrame:
+    """P5 for records whose fields are a map: the rows that lack required names, with those (``absent``, in the given order)."""
+    absent = F.array_except(F.array(*[F.lit(name) for name in names]), F.map_keys(fields))
+    return df.withColumn("absent", absent).where(F.size("absent") > 0)
+
+
 def violations(df: DataFrame, rule: str, offender: Column, where: Column) -> DataFrame:
     return df.where(where).select(F.lit(rule).alias("rule"), offender.cast("string").alias("offender"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
-from loanweft.operators.position import Order, rows_at_ranks
+from loanweft.operators.position import Order, row_positions, rows_at_ranks
 from loanweft.session import literal_table, materialize
 
 MISSING_CATEGORY = "Missing"
@@ -133,6 +133,29 @@ def categories(df: DataFrame, columns: Sequence[str], max_categories: int | None
     return {name: sorted(values) for name, values in listed.items()}
 
 
+def category_dictionary(df: DataFrame, columns: Sequence[str], first_slot: int = 0, **tuning: int) -> DataFrame:
+    """M2 without a list on the driver: (column_name, value, slot) of every category, slots by column and code point.
+
+    For columns with as many categories as a table has keys; ``slotted`` joins
+    it to rows. Slots begin at ``first_slot``, after those of the numbers.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("column_number"), filled_category(name).alias("value")) for i, name in enumerate(columns)])
+    found = df.select(F.inline(cells)).distinct()
+    placed = row_positions(found, [Order("column_number"), Order("value")], name="place", **tuning)
+    names = F.get(F.array(*[F.lit(name) for name in columns]), F.col("column_number"))
+    return placed.select(names.alias("column_name"), "value", (F.col("place") - 1 + first_slot).cast("bigint").alias("slot"))
+
+
+def slotted(df: DataFrame, key: str, columns: Sequence[str], dictionary: DataFrame) -> DataFrame:
+    """(key, slots): of every row the slots that are 1, ascending: a sparse vector of zeros and ones.
+
+    A category that the dictionary lacks has no slot. ``key`` must be unique.
+    """
+    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), filled_category(name).alias("value")) for name in columns])
+    long = df.select(key, F.inline(cells)).join(dictionary, ["column_name", "value"], "left")
+    return long.groupBy(key).agg(F.array_sort(F.collect_list("slot")).alias("slots"))  # one a column at most; a missing slot is left out
+
+
 def filled_category(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(MISSING_CATEGORY))
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from loanweft.functions.checks import DataCheckError, enforce, duplicate_values, require_columns, union_violations, violations
 from loanweft.functions.text import strip
+from loanweft.session import materialize
 
 # The texts pandas.read_csv takes as missing. Case matters.
 MISSING_TOKENS = (
@@ -74,6 +75,30 @@ def unreadable_values(spark: SparkSession, path: str, schema: T.StructType, miss
     return listed.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def part_violations(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A1. (file, rule, offender): where the headers of a raw CSV's files differ from ``columns``, by default from the header of most files.
+
+    Rules: absent_column, extra_column, repeated_column, and moved_column where
+    a file has the same columns in another order. Run it before the parts are
+    read as one table, which takes every file to have the first one's columns.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    first = lines.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", F.struct("file_block_start", "line")).alias("header"))
+    names = F.transform(F.split("header", ","), lambda name: F.regexp_replace(strip(F.regexp_replace(name, "^\ufeff", "")), '^"|"$', ""))
+    headers = materialize(first.select("file", names.alias("names")), "headers")
+    if columns is None:
+        most = headers.groupBy("names").agg(F.count(F.lit(1)).alias("files")).orderBy(F.desc("files"), "names").limit(1)
+        expected = most.select("names").scalar()
+    else:
+        expected = F.array(*[F.lit(name) for name in columns])
+    judged = headers.select("file", "names", expected.alias("wanted"))
+    repeated = F.filter(F.array_distinct("names"), lambda name: F.size(F.filter("names", lambda other: other == name)) > 1)
+    same = (F.size("names") == F.size("wanted")) & (F.size(F.array_except("wanted", "names")) == 0)
+    moved = F.when(same, F.transform(F.filter(F.arrays_zip("names", "wanted"), lambda pair: pair["names"] != pair["wanted"]), lambda pair: pair["names"]))
+    rules = {"absent_column": F.array_except("wanted", "names"), "extra_column": F.array_except("names", "wanted"), "repeated_column": repeated, "moved_column": moved}
+    return union_violations([judged.select("file", F.lit(rule).alias("rule"), F.explode(found).alias("offender")) for rule, found in rules.items()])
+
+
 def _stored(spark: SparkSession, path: str, file_format: str) -> DataFrame:
     if file_format == "csv":
         return _raw_text(spark, path, True)

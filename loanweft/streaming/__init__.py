@@ -1,3 +1,3 @@
-from loanweft.streaming.labeling import label_new_files
+from loanweft.streaming.labeling import count_new_files, current_counts, label_new_files
 
-__all__ = ["label_new_files"]
+__all__ = ["count_new_files", "current_counts", "label_new_files"]
