@@ -111,6 +111,17 @@ def s1_unreadable_values(spark, folder):
     return readers.unreadable_values(spark, path, schema)
 
 
+@register("s1_split_file", "SELECT cast(doc_id AS varchar) AS doc_id, md5(text) AS text_md5, lang FROM documents")
+def s1_split_file(spark, folder):
+    """One large raw file whose cells hold line breaks, read back by its byte ranges."""
+    path = scratch(spark)
+    rows = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    rows.coalesce(1).write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    read = readers.read_raw_loans(spark, path, split_files=True)
+    return read.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang")
+
+
 @register("s3_column_names", """
 SELECT file_format, column_name, position, (SELECT count(*) FROM orders) AS cells FROM (VALUES ('csv'), ('parquet')) f(file_format), (
   SELECT column_name, cast(column_index AS integer) AS position FROM (

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,17 +43,93 @@ def _raw_text(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
             .option("maxCharsPerColumn", -1).csv(path))
 
 
+LINE = "file string, block bigint, kind int, line bigint, value string"
+INSIDE, HEAD, TAIL = 0, 1, 2  # a whole record; what a block begins with and ends with of a record that lies in several
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line, value): the records of plain CSV files, whose quoted cells may hold line breaks, by many tasks a file.
+
+    A record ends at a line break before which the quotes are even. Each task
+    counts the quotes of its byte range; a running sum over a file's ranges, a
+    number each, tells whether a range begins inside quotes. Then each task puts
+    its lines together, and only the records that cross ranges are moved.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    per_block = materialize(lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd")), "quotes")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = per_block.select("file", "block", (F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2 == 1).alias("inside"))
+    # one row for a byte range of, usually, 128 MB; a shuffle would lose the lines' order
+    known = lines.join(F.broadcast(begins), ["file", "block"])
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, inside, open_, first, line = None, False, [], False, 0
+
+        def ended(last: bool) -> tuple | None:
+            """The lines held, if they end a record or the block does."""
+            if not open_ or (inside and not last):
+                return None
+            kind = HEAD if first else TAIL if inside else INSIDE
+            return (*at, kind, line, "\n".join(open_))
+
+        for batch in batches:
+            rows = []
+            for file, block, value, begun in zip(*(batch.column(name).to_pylist() for name in ("file", "block", "value", "inside"))):
+                if (file, block) != at:
+                    rows += [row] if (row := ended(True)) else []
+                    at, inside, open_, first, line = (file, block), begun, [], begun, 0
+                open_.append(value)
+                inside ^= value.count('"') % 2 == 1
+                if row := ended(False):
+                    rows.append(row)
+                    open_, first, line = [], False, line + 1
+            if rows:
+                yield record_batch(rows)
+        if row := ended(True) if at else None:
+            yield record_batch([row])
+
+    def record_batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in LINE.split(", ")])
+
+    pieces = materialize(known.select("file", "block", "value", "inside").mapInArrow(put_together, LINE), "records")
+    whole = pieces.where(F.col("kind") == INSIDE).select("file", "block", "line", "value")
+    # a tail begins a record; the heads up to the next tail go on with it
+    order = Window.partitionBy("file").orderBy("block", "line")
+    crossing = pieces.where(F.col("kind") != INSIDE).withColumn("record", F.sum((F.col("kind") == TAIL).cast("int")).over(order))
+    listed = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    joined = crossing.groupBy("file", "record").agg(listed.alias("parts")).select(
+        "file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"),
+        F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("value"))
+    return whole.unionByName(joined)
+
+
+def _split_text(spark: SparkSession, path: str) -> DataFrame:
+    """The cells of plain CSV files as text, each file read by many tasks."""
+    names = _raw_text(spark, path, True).columns
+    records = _records(spark, path).where(~((F.col("block") == 0) & (F.col("line") == 0)))  # without the headers
+    cells = F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(_ddl(names)),
+                       {"escape": '"', "maxCharsPerColumn": "-1", "multiLine": "true", "mode": "PERMISSIVE"})
+    return records.where(F.length("value") > 0).select(cells.alias("c")).select(*[F.col("c").getField(name).alias(name) for name in names])
+
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+
+
 def read_raw_loans(spark: SparkSession, path: str, schema: T.StructType | None = None, limit: int | None = None,
-                   missing_tokens: Sequence[str] = MISSING_TOKENS, line_breaks: bool = True) -> DataFrame:
+                   missing_tokens: Sequence[str] = MISSING_TOKENS, line_breaks: bool = True, split_files: bool = False) -> DataFrame:
     """S1, S2. Loan-level CSV, plain or gzip, one file or a folder.
 
     Values are read as text, missing tokens become NULL and the rest is cast to
     ``schema`` (all text without one); ``unreadable_values`` lists what the cast
     turned into NULL. Quoted cells may hold line breaks, quotes are doubled; a
-    file is then one task, as a gzip file always is, so a large raw file should
-    be converted to Parquet once. Without ``line_breaks`` plain files are split.
+    file is then one task, as a gzip file always is. With ``split_files`` a large
+    plain file is many tasks all the same; its text is then scanned twice.
+    Without ``line_breaks`` plain files are split at every line break.
     """
-    raw = _raw_text(spark, path, line_breaks)
+    raw = _split_text(spark, path) if split_files else _raw_text(spark, path, line_breaks)
     if schema is None:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])
     require_columns(raw, schema.fieldNames(), "raw file")

@@ -83,3 +83,27 @@ def test_samples_of_texts_that_differ_by_blanks(spark):
     assert got == {"t": "v0, v1, v2, v3, v4", "n": "0, 1, 2, 3, 4"}
     counts = {r.column_name: r.unique_non_missing_count for r in profile.distinct_counts(df, ["t", "n"]).collect()}
     assert counts == {"t": len({t for _, t, _ in rows if t is not None}), "n": 600}
+
+
+def test_one_large_file_with_line_breaks_is_many_tasks(spark, tmp_path):
+    rng = random.Random(9)
+    cells = ["plain", "a,b", 'say ""hi""', "two\nlines", "\n\n\n", "x" * 300 + "\n" + "y" * 300, "", "é\nü", 'q""\n""q', "tail "]
+    rows = [[str(i), rng.choice(cells), rng.choice(cells)] for i in range(3000)]
+    rows[500][1] = "long\n" * 3000  # longer than several byte ranges
+    for part in (0, 1):
+        with open(tmp_path / f"p{part}.csv", "w", encoding="utf-8", newline="") as file:
+            file.write("id,first,second\n")
+            file.writelines(",".join([r[0], *(f'"{c}"' for c in r[1:])]) + ("\r\n" if part else "\n") for r in rows[part::2])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = readers.read_raw_loans(spark, str(tmp_path), split_files=True)
+        got = sorted(map(tuple, df.collect()))
+        blocks = readers._records(spark, str(tmp_path)).select("file", "block").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert blocks > 20
+    assert got == sorted((r[0], *(c.replace('""', '"') or None for c in r[1:])) for r in rows)
+    assert got == sorted(map(tuple, readers.read_raw_loans(spark, str(tmp_path)).collect()))
