@@ -37,7 +37,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 CLOSED_BY = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
              "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}}
 TOKEN = re.compile(
-    r"""<!--(?:.*?-->|.*)|<(script|style|title|textarea)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(?:.*?</\1(?=[\s/>])[^>]*>|.*)"""
+    r"""<!--(?:>|->|.*?--!?>|.*)|<(script|style|title|textarea|iframe|noframes)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(?:.*?</\1(?=[\s/>])[^>]*>|.*)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>""", re.S | re.I)
 HIDDEN = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("noscript", "template", "svg")}  # skipped up to their end tags, if there are any
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -59,8 +59,9 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
     Character references are decoded and white space becomes single blanks; a
     line break counts as white space. Contents of scripts, styles and the like
     are no text. Missing end tags and stray ones are passed over as browsers do:
-    to the end of the page goes only what follows an open script, style, title
-    or textarea.
+    to the end of the page goes only what follows an open script, style, title,
+    textarea, iframe or noframes. Comments end as in browsers, ``<!-->`` and
+    ``--!>`` included.
     """
     made: list[tuple[str, tuple[str, ...], int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []

@@ -184,3 +184,22 @@ def test_skipped_elements_end_where_they_should(page, wanted):
 
 def test_many_open_hidden_elements_take_no_longer():
     assert len(html_crf.leaf_blocks("<svg><template><p>a</p>" * 50_000)) == 50_000
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!-- x --!>", "<!-- a > b -->", "<!---->"])
+def test_comments_end_as_in_browsers(comment):
+    blocks = html_crf.leaf_blocks(f"<p>a</p>{comment}<p>b</p><iframe><p>no</p></iframe><p>c</p>")
+    assert [text for text, *_ in blocks] == ["a", "b", "c"]
+
+
+def test_one_response_for_rows_of_one_page_in_many_partitions(spark, tmp_path):
+    rows = [(3, "u", "same")] * 4 + [(3, "t", "same"), (2, "u", "same"), (None, "n", "none"), (None, "n", "none"), (4, "u", "own"), (3, None, "other"), (3, "x", "other")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(7)
+    warc.write(df, str(tmp_path / "w"))
+    got = warc.read_runs(spark, str(tmp_path / "w")).select("page_id", "payload_digest", "record_type", "refers_to").collect()
+    assert len(got) == len(rows)
+    for digest in {r.payload_digest for r in got}:
+        mine = [r for r in got if r.payload_digest == digest]
+        answers = [r for r in mine if r.record_type == "response"]
+        assert len(answers) == 1 and answers[0].page_id == max((r.page_id for r in mine if r.page_id is not None), default=None)
+        assert all(r.refers_to == answers[0].page_id for r in mine if r.record_type == "revisit")
