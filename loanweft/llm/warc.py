@@ -97,22 +97,24 @@ def write(df: DataFrame, path: str, least_bytes: int = 0) -> None:
     pages = pick(df, page_id="bigint", url="string", html="string")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     pages = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("digest"))
-    narrow = pages.filter(F.octet_length("payload") >= least_bytes).select("page_id", "digest")
+    narrow = pages.filter(F.octet_length("payload") >= least_bytes).select("page_id", "digest", "url")
     first = narrow.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
-    revisits = narrow.join(first, "digest").select("page_id", "digest", "refers_to", F.lit(True).alias("shared")).distinct()
-    revisits = revisits.withColumnsRenamed({"page_id": "id", "digest": "d"})
+    revisits = narrow.join(first, "digest").groupBy("page_id", "digest", "refers_to").agg(
+        F.count("*").alias("rows"), F.min(F.struct("url")).alias("least")).withColumnsRenamed({"page_id": "id", "digest": "d"})
     joined = pages.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")), "left")
-    ready = joined.select("page_id", "url", "payload", "digest", "refers_to", F.coalesce("shared", F.lit(False)).alias("shared"))
+    # of several rows with the response's page_id one is the response: the first copy of the least url
+    once = joined.filter("rows is null or rows = 1").withColumn("copy", F.lit(0))
+    often = joined.filter("rows > 1").groupBy("page_id", "url", "payload", "digest", "refers_to", "rows", "least").agg(F.count("*").alias("n"))
+    copies = often.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")))).drop("n")
+    every = once.select(*copies.columns).unionByName(copies)
+    response = F.col("page_id").eqNullSafe(F.col("refers_to")) & (F.col("copy") == 0) & ((F.col("rows") == 1) | F.col("url").eqNullSafe(F.col("least.url")))
+    ready = every.select("page_id", "url", "payload", "digest", "refers_to", (F.col("rows").isNotNull() & ~response).alias("again"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
         for batch in batches:
             for piece in slices(batch, ["payload"], 2 << 20):
-                made = []
-                for page_id, url, content, digest, refers_to, shared in zip(*(column.to_pylist() for column in piece.columns)):
-                    again = shared and (refers_to != page_id or before == (page_id, digest))
-                    before = (page_id, digest)
-                    made.append(member(record(page_id, url, content, bytes.fromhex(digest), again, refers_to))[:-1])
+                made = [member(record(page_id, url, content, bytes.fromhex(digest), again, refers_to))[:-1]
+                        for page_id, url, content, digest, refers_to, again in zip(*(column.to_pylist() for column in piece.columns))]
                 yield pa.RecordBatch.from_pydict({"value": pa.array(made, pa.binary())})
 
     rows = ready.sortWithinPartitions("page_id", "digest").mapInArrow(run, "value binary")
