@@ -28,14 +28,13 @@ from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import materialize, parts_of, pick
+from loanweft.llm.common import in_order, materialize, pick
 
 ARITY = 3
 HEIGHT = 6  # levels of edges in a block: 729 leaves, 35 KB of digests
-ROWS_PER_PART = 200_000
 FIELDS = {"doc_id": "bigint", "source": "string", "lang": "string", "n_chars": "bigint", "text": "string"}
 BLOCK = "tree string, position bigint, total bigint, height int, leaves int, nodes binary, doc_ids array<bigint>, claims array<binary>"
 WAY = "tree string, position bigint, subroot string, root string, lefts array<string>, rights array<string>"
@@ -124,26 +123,6 @@ def leaf_of(*columns: Column) -> Column:
     return F.sha2(F.concat(*[F.when(t.isNull(), "-").otherwise(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t)) for t in texts]).cast("binary"), 256)
 
 
-def in_order(rows: DataFrame, tree: Column, *order: Column) -> DataFrame:
-    """``rows`` with tree, position (from 0 by ``order`` within the tree) and total.
-
-    One range sort over trees, order and row; a range's rows are counted where
-    they lie, and the offsets of a tree's ranges are added up.
-    """
-    keys = ["tree", *[f"_{i}" for i in range(len(order))], "row"]
-    keyed = rows.withColumns({"tree": tree, "row": F.monotonically_increasing_id(), **{f"_{i}": column for i, column in enumerate(order)}})
-    ranges = keyed.repartitionByRange(parts_of(rows, ROWS_PER_PART), *[F.asc_nulls_first(key) for key in keys])
-    sorted_ = ranges.sortWithinPartitions(*[F.asc_nulls_first(key) for key in keys])
-    kept = materialize(sorted_.withColumn("row", F.monotonically_increasing_id()).drop(*keys[1:-1]), "ordered-leaves")
-    part = F.shiftright("row", 33)
-    by_tree = Window.partitionBy("tree")
-    ahead = by_tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = kept.groupBy("tree", part.alias("part")).agg(F.min("row").alias("first"), F.count("*").alias("n")).select(
-        F.col("tree").alias("of"), "part", "first", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"), F.sum("n").over(by_tree).alias("total"))
-    placed = kept.withColumn("part", part).join(offsets.withColumnRenamed("part", "in"), F.col("tree").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
-    return placed.withColumn("position", F.col("before") + F.col("row") - F.col("first")).drop("row", "part", "in", "of", "first", "before")
-
-
 def blocks(leaves: DataFrame, most: int) -> DataFrame:
     """The blocks of at most ``most`` levels over (tree, position, total, digest, doc_id, claim): one row each, position being the block's."""
     limit = ARITY ** most

@@ -19,10 +19,10 @@ from __future__ import annotations
 from collections import defaultdict
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import pick
+from loanweft.llm.common import in_order, pick
 from loanweft.session import literal_table
 
 SHARDS = 40
@@ -97,8 +97,8 @@ def assign(df: DataFrame, shards: int = SHARDS, slack: float = 0.0, per_shard: i
     counts = {row.arc: row.n for row in on_arcs.groupBy("arc").agg(F.count("*").alias("n")).collect()}
     segments = fill(counts, [shard for _, shard in ring], capacities(sum(counts.values()), shards, slack))
     plan = literal_table(spark, segments, "arc int, low bigint, high bigint, shard int, base bigint")
-    order = Window.partitionBy("arc").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = on_arcs.withColumn("rank", F.row_number().over(order) - 1)
+    # ranked by ranges inside an arc, so that rows that share one place are many tasks
+    ranked = in_order(on_arcs, F.col("arc"), *[F.col(name) for name in ("place", "doc_id", "text_crc32", "size")]).withColumnRenamed("position", "rank")
     # at most a segment per arc and per filled shard and arc: the ring's size bounds it, not the data's
     found = ranked.join(F.broadcast(plan), "arc").filter((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     return found.select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("low")).alias("slot"))
