@@ -30,7 +30,7 @@ BITS = 48  # of each hash
 WORDS = 5
 ROWS_PER_RANGE = 20_000
 MOST_RANGES = 10_000  # bounds the driver's list; larger ranges are sorted on disk and streamed
-TOGETHER = 2
+TOGETHER = 0.5  # MB of text whose shingles are held at once
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray, k: int = K, words: int = WORDS) -> list[np.ndarray]:
@@ -120,7 +120,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     by_top = F.create_map(*[F.lit(x) for pair in carry for x in pair]) if carry else F.create_map(F.lit(0.0), F.lit(0))
     to = F.when(F.col("number").isin([top for top, _ in carry]), F.array(F.col("part"), by_top[F.col("number")])).otherwise(F.array("part"))
     spread = own.select("doc_id", "text", F.posexplode(to).alias("carried", "part"))
-    return spread.repartition(ranges, "part").sortWithinPartitions(
+    return spread.repartitionById(ranges + 2, F.col("part")).sortWithinPartitions(
         "part", "carried", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
 
 
@@ -141,7 +141,7 @@ def with_neighbours(df: DataFrame, k: int = K, words: int = WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # a row waits for the one that follows it
         for batch in batches:
-            for piece in slices(batch, ["text"], TOGETHER << 20):
+            for piece in slices(batch, ["text"], int(TOGETHER * (1 << 20))):
                 texts = [t or "" for t in piece.column(1).to_pylist()]
                 rows = held + list(zip(piece.column(0).to_pylist(), texts, piece.column(2).to_pylist(), piece.column(3).to_pylist(),
                                        sketches(*raw(piece.column(1)), k, words)))
