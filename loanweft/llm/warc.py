@@ -101,11 +101,12 @@ def write(df: DataFrame, path: str, least_bytes: int = 0) -> None:
     first = narrow.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1")
     revisits = narrow.join(first, "digest").groupBy("page_id", "digest", "refers_to").agg(
         F.count("*").alias("rows"), F.min(F.struct("url")).alias("least")).withColumnsRenamed({"page_id": "id", "digest": "d"})
-    joined = pages.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")), "left")
+    revisits = materialize(revisits, "revisits")  # its size is known then, so payloads are not moved if it is small
+    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d"))
     # of several rows with the response's page_id one is the response: the first copy of the least url
-    once = joined.filter("rows is null or rows = 1").withColumn("copy", F.lit(0))
-    often = joined.filter("rows > 1").groupBy("page_id", "url", "payload", "digest", "refers_to", "rows", "least").agg(F.count("*").alias("n"))
+    often = pages.join(revisits.filter("rows > 1"), same).groupBy("page_id", "url", "payload", "digest", "refers_to", "rows", "least").agg(F.count("*").alias("n"))
     copies = often.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")))).drop("n")
+    once = pages.join(revisits.filter("rows > 1").select("id", "d"), same, "left_anti").join(revisits.filter("rows = 1"), same, "left").withColumn("copy", F.lit(0))
     every = once.select(*copies.columns).unionByName(copies)
     response = F.col("page_id").eqNullSafe(F.col("refers_to")) & (F.col("copy") == 0) & ((F.col("rows") == 1) | F.col("url").eqNullSafe(F.col("least.url")))
     ready = every.select("page_id", "url", "payload", "digest", "refers_to", (F.col("rows").isNotNull() & ~response).alias("again"))
