@@ -4,10 +4,12 @@ A text's set holds its distinct shingles of three words, as 64-bit hashes. The
 global order of the shingles is that of their hashes. It is cut into fragments
 twice:
 
-* For candidates, into as many fragments as a linked pair can differ in places,
-  plus one: two sets with Jaccard similarity of t or more differ in at most
-  ``(1 - t) / (1 + t) * (|A| + |B|)`` shingles, so one fragment at least is
-  equal in both. The number of fragments follows from the size, on a grid, and
+* For candidates, into more fragments, by a third, than a linked pair can differ
+  in places: two sets with Jaccard similarity of t or more differ in at most
+  ``(1 - t) / (1 + t) * (|A| + |B|)`` shingles, so a quarter of the fragments at
+  least is equal in both. A text that shares fewer of them with others, such as
+  one with a passage that many texts hold, has no link and goes at once. The
+  number of fragments follows from the size, on a grid, and
   a set near a step of the grid is cut for both sides. A fragment that is empty
   in both says nothing: some are spared for that, and a set with more empty
   ones is cut once more, by another hash. So no link is lost, and a shingle that
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, pick, raw, shingle_hashes
@@ -41,10 +43,12 @@ from loanweft.llm.components import components
 WORDS = 3
 PERCENT = 90
 FRAGMENTS = 4  # of a set, for counting overlaps
-STEP = 1.5  # between numbers of fragments on the grid
+MARGIN = 1.3  # fragments, without the spared ones, for each place in which a linked pair can differ
+STEP = 1.25  # between numbers of fragments on the grid
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
 TOGETHER = 0.5
 NOBODY = -(1 << 63)
+LEVELS = 128  # of the grid at most
 SHARED = "signature bigint, leader bigint, doc_id bigint"
 
 
@@ -70,8 +74,10 @@ def grid(percent: int, largest: int = 1 << 24) -> dict[int, int]:
         smallest = (enough + 1) * (100 + percent) / (2 * (100 - percent)) * percent / 100
         mean = size * math.exp(-smallest / size)
         made[size] = math.floor(mean + math.sqrt(mean))
-        enough = max(enough, size - made[size] - 1)
+        enough = max(enough, math.ceil((size - made[size]) / MARGIN) - 1)
         size = max(size + 1, int(size * STEP))
+    if len(made) > LEVELS:
+        raise ValueError("the grid has too many levels")
     return made
 
 
@@ -80,8 +86,16 @@ def spared(size: int, percent: int) -> int:
 
 
 def level(apart: int, percent: int) -> int:
-    """Smallest number of fragments on the grid of which more than ``apart`` remain, even without the spared ones."""
-    return next(size for size, empty in grid(percent).items() if size - empty > apart)
+    """Smallest number of fragments on the grid of which more than ``MARGIN`` times ``apart`` remain, even without the spared ones."""
+    return next(size for size, empty in grid(percent).items() if size - empty > MARGIN * apart)
+
+
+def needed(level_column: Column, n: Column, percent: int) -> Column:
+    """How many fragments of a level two linked sets have in common at least, one of which has ``n`` shingles."""
+    remaining = F.get(F.array(*[F.lit(size - empty) for size, empty in grid(percent).items()]), level_column)
+    total = n + F.floor(n * 100 / percent)
+    most = F.floor(total * (100 - percent) / (100 + percent))
+    return remaining - F.least(most, F.ceil(remaining / MARGIN) - 1)
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -96,8 +110,8 @@ def levels(n: int, percent: int) -> tuple[int, ...]:
 
 
 def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """One 64-bit value per fragment of each cut of a sorted set; equal fragments have equal values."""
-    found = []
+    """One 64-bit value per fragment of each cut of a sorted set; equal fragments have equal values, whose last bits tell the level."""
+    found, known = [], list(grid(percent))
     for size in levels(len(shingles), percent):
         seed = 0
         while True:
@@ -108,7 +122,8 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
                 spread, fragment = spread[order], fragment[order]
             first = np.flatnonzero(np.r_[True, fragment[1:] != fragment[:-1]])
             label = mixed(fragment[first].astype(np.uint64) + np.uint64((size << 20) + (seed << 52)))
-            found.append(mixed(np.add.reduceat(mixed(spread), first) + label))
+            values = mixed(np.add.reduceat(mixed(spread), first) + label)
+            found.append(values & ~np.uint64(LEVELS - 1) | np.uint64(known.index(size)))
             if size - len(first) <= spared(size, percent):
                 break
             seed += 1
@@ -182,6 +197,16 @@ def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return heads.unionByName(bound.select("signature", F.col("head").alias("leader"), "doc_id"))
 
 
+def with_enough(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The members whose text shares as many fragments of a level with others as a linked one must."""
+    level_of = F.col("signature").bitwiseAND(F.lit(LEVELS - 1)).cast("int")
+    shared = members.groupBy("doc_id", level_of.alias("level")).agg(F.count_distinct("signature").alias("shared"))
+    sizes = rows.filter("digest is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    enough = shared.join(sizes, "doc_id").filter(F.col("shared") >= needed(F.col("level"), F.col("n"), percent)).select("doc_id", "level")
+    kept = materialize(enough, "enough")
+    return materialize(members.withColumn("level", level_of).join(kept, ["doc_id", "level"], "left_semi").drop("level"), "members")
+
+
 def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join by doc_id; the ids are sent to every task only if their number is checked to be small."""
     known = materialize(ids.select("doc_id").distinct(), "ids")
@@ -254,7 +279,7 @@ def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     copies = rows.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     docs = once(docs.filter("doc_id is not null"), rows)
     ready = with_ids(docs, copies, "left_anti")
-    members = materialize(members_of(ready, words, percent), "members")
+    members = with_enough(materialize(members_of(ready, words, percent), "members"), rows, percent)
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     counted = overlaps(pairs, docs, words)
     found = linked(counted, percent)
