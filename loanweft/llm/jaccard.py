@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, pick, raw, shingle_hashes
+from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, raw, shingle_hashes
 from loanweft.llm.components import components
+from loanweft.llm.substrings import numbered
 
 WORDS = 3
 PERCENT = 90
@@ -197,12 +198,11 @@ def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return heads.unionByName(bound.select("signature", F.col("head").alias("leader"), "doc_id"))
 
 
-def with_enough(members: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def with_enough(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The members whose text shares as many fragments of a level with others as a linked one must."""
     level_of = F.col("signature").bitwiseAND(F.lit(LEVELS - 1)).cast("int")
     shared = members.groupBy("doc_id", level_of.alias("level")).agg(F.count_distinct("signature").alias("shared"))
-    sizes = rows.filter("digest is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-    enough = shared.join(sizes, "doc_id").filter(F.col("shared") >= needed(F.col("level"), F.col("n"), percent)).select("doc_id", "level")
+    enough = shared.join(sets.select("doc_id", F.col("n_shingles").alias("n")), "doc_id").filter(F.col("shared") >= needed(F.col("level"), F.col("n"), percent)).select("doc_id", "level")
     kept = materialize(enough, "enough")
     return materialize(members.withColumn("level", level_of).join(kept, ["doc_id", "level"], "left_semi").drop("level"), "members")
 
@@ -265,21 +265,24 @@ def linked(counted: DataFrame, percent: int) -> DataFrame:
 def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text).
 
-    Two texts link when 100 * intersection >= percent * union of their sets;
-    the component is the smallest doc_id reachable by links, its own included.
-    Null texts and texts without words have size 0, no links and their own id.
-    Rows that share a doc_id count as one node (of different texts the one with
-    the smaller digest stands for it); rows without an id belong to the
-    component of the texts equal to theirs, if any. Other columns are left out.
+    Two rows link when 100 * intersection >= percent * union of their sets; the
+    component is the smallest doc_id reachable by links, its own included. Rows
+    that share a doc_id, or have none, are linked each by its own text; a
+    component without any id has none. Null texts and texts without words have
+    size 0, no links and their own id. Other columns are left out.
     """
-    docs = pick(df, doc_id="bigint", text="string")
-    rows = materialize(described(docs, words), "shingle-sets")
-    classes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"))
+    return row_components(numbered(df), words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def row_components(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc, doc_id, n_shingles, component, component_id) of ``numbered`` rows, written; component is the smallest doc reached."""
+    docs = rows.select(F.col("doc").alias("doc_id"), "text")  # from here on the row's own key
+    sets = materialize(described(docs, words), "shingle-sets")
+    classes = sets.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"))
     shared = materialize(classes.filter("n > 1").select("digest", "node"), "equal-sets")
-    copies = rows.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
-    docs = once(docs.filter("doc_id is not null"), rows)
+    copies = sets.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     ready = with_ids(docs, copies, "left_anti")
-    members = with_enough(materialize(members_of(ready, words, percent), "members"), rows, percent)
+    members = with_enough(materialize(members_of(ready, words, percent), "members"), sets, percent)
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     counted = overlaps(pairs, docs, words)
     found = linked(counted, percent)
@@ -287,14 +290,12 @@ def near_components(df: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     other = materialize(second_round(members, counted, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if other.limit(1).count():
         nodes = components(found.unionByName(linked(overlaps(other, docs, words), percent)))
-    of_class = rows.join(shared, "digest", "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
-    return of_class.join(nodes, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-
-
-def once(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row per doc_id, with its smallest text; texts are moved only if an id repeats."""
-    counted = rows.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    return docs if counted.n == counted.d else docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    of_class = sets.join(shared, "digest", "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
+    placed = of_class.join(nodes, "node", "left").select(F.col("doc_id").alias("doc"), "n_shingles", F.coalesce("component", "node").alias("component"))
+    named = materialize(placed.join(rows.select("doc", "doc_id"), "doc"), "row-components")
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return named.join(materialize(smallest, "smallest-ids"), "component", "left").select(
+        "doc", "doc_id", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

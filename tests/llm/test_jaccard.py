@@ -102,3 +102,17 @@ def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200), (None, 3), (5, 4)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_rows_of_one_id_or_none_are_linked_by_their_own_text(spark):
+    rows = [(i, text) for i, (_, text) in enumerate(corpus(5))]
+    wanted = brute_components(rows, 3, 90)
+    ids = {i: None if i % 5 == 0 else i // 3 for i, _ in rows}  # shared by up to three rows
+    df = spark.createDataFrame([(ids[i], text) for i, text in rows], "doc_id long, text string").repartition(4)
+    members = {}
+    for i, (_, root) in wanted.items():
+        members.setdefault(root, []).append(ids[i])
+    smallest = {root: min((d for d in found if d is not None), default=None) for root, found in members.items()}
+    mine = [(ids[i], n, smallest[root] if len(members[root]) > 1 else ids[i]) for i, (n, root) in wanted.items()]
+    got = [tuple(r) for r in jaccard.near_components(df).collect()]
+    assert sorted(got, key=repr) == sorted(mine, key=repr)
