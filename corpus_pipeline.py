@@ -36,22 +36,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document of smallest id; of rows with one id the one with the smallest text.
+    """Of each component of near duplicates one row, that of smallest id; rows without id go before those with one.
 
-    Rows without an id stay unless their text equals one with an id.
+    Every row is judged by its own text, also where ids repeat or are missing.
     """
-    docs = pick(docs, **COLUMNS)
-    found = jaccard.near_components(docs, WORDS, PERCENT)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    kept = jaccard.with_ids(docs, gone, "left_anti")
-    counted = found.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d"), F.count("*").alias("rows")).first()
-    if counted.n == counted.d == counted.rows:
-        return kept
-    known = kept.filter("doc_id is not null")
-    first = known.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select(
-        "doc_id", "r.text", "r.lang", "r.source", "r.n_chars")
-    without = kept.filter("doc_id is null").dropDuplicates(["text"])
-    return first.unionByName(without.join(known.select("text").distinct(), "text", "left_anti").select(*COLUMNS))
+    rows = substrings.numbered(docs, **{name: kind for name, kind in COLUMNS.items() if name not in ("doc_id", "text")})
+    found = jaccard.row_components(rows, WORDS, PERCENT)
+    several = found.groupBy("component").agg(F.count("*").alias("n"), F.min_by("doc", F.struct(F.col("doc_id").isNull(), "doc")).alias("kept")).filter("n > 1")
+    gone = found.join(several.select("component", "kept"), "component").filter("doc <> kept").select(F.col("doc").alias("row"))
+    renamed = rows.withColumnsRenamed({"doc_id": "id", "doc": "doc_id"})
+    return jaccard.with_ids(renamed, gone.withColumnRenamed("row", "doc_id"), "left_anti").drop("doc_id").withColumnRenamed("id", "doc_id").select(*COLUMNS)
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
