@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -90,12 +89,16 @@ def mixed(values: np.ndarray) -> np.ndarray:
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
-@functools.lru_cache(maxsize=4)
+POWERS: dict[bool, np.ndarray] = {}  # of this worker process, grown as needed: those of BASE, and of its inverse
+
+
 def powers(size: int, inverse: bool = False) -> np.ndarray:
-    base = np.full(size, pow(BASE, -1, 1 << 64) if inverse else BASE, np.uint64)
-    base[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(base, dtype=np.uint64)
+    if len(POWERS.get(inverse, ())) < size:
+        base = np.full(size, pow(BASE, -1, 1 << 64) if inverse else BASE, np.uint64)
+        base[0] = 1
+        with np.errstate(over="ignore"):
+            POWERS[inverse] = np.cumprod(base, dtype=np.uint64)
+    return POWERS[inverse][:size]
 
 
 def polynomial(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:

@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 
 from loanweft.llm.common import mixed, pick, polynomial, raw, slices
 
-KEPT_FRAGMENTS = 400_000  # fragments a task remembers before it starts again
+KEPT_FRAGMENTS = 300_000  # fragments a task remembers before it starts again
 KEPT_BYTES = 64  # longer fragments are encoded but not remembered
-TOGETHER = 2_000_000  # bytes of text worked on at once
+TOGETHER = 1_000_000  # bytes of text worked on at once
 
 
 def byte_letters() -> dict[str, int]:
