@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -45,10 +46,18 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
                 made = function(piece, state) if prepare else function(piece)
                 if made is not None and made.num_rows:
                     yield made
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: its worker lives on and does other work."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library only
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, sizes: Sequence[str], most: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows of ``batch`` whose columns ``sizes`` hold about ``most`` bytes together."""
     if not batch.num_rows:

@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import mixed, pick, polynomial, raw, slices
+from loanweft.llm.common import mixed, pick, polynomial, raw, release, slices
 
-KEPT_FRAGMENTS = 300_000  # fragments a task remembers before it starts again
+KEPT_FRAGMENTS = 200_000  # fragments a task remembers before it starts again
 KEPT_BYTES = 64  # longer fragments are encoded but not remembered
 TOGETHER = 1_000_000  # bytes of text worked on at once
 
@@ -184,6 +184,7 @@ def encode(df: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     schema = "doc_id bigint, ids array<int>" + (", decoded string" if decoded else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         bpe = loaded(content)
         for batch in batches:
             for piece in slices(batch, ["text"], TOGETHER):
@@ -192,6 +193,7 @@ def encode(df: DataFrame, path: str, decoded: bool = False) -> DataFrame:
                 if decoded:
                     columns["decoded"] = pa.array([bpe.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
+            release()
 
     return pick(df, doc_id="bigint", text="string").mapInArrow(run, schema)
 

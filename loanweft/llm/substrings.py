@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import materialize, mixed, over_batches, parts_of, pick, polynomial, raw, slices
+from loanweft.llm.common import materialize, mixed, over_batches, parts_of, pick, polynomial, raw, release, slices
 
 LENGTH = 100
 GRAM = 24
@@ -134,6 +134,7 @@ def ranked(units: DataFrame, parts: int) -> DataFrame:
             held = np.array([[core[keep]], [whole[keep]], [doc[keep]], [pos[keep]]])
         if held.shape[1] and several:
             yield of_state(held[2], held[3], OPEN)
+        release()
 
     def of_state(doc: np.ndarray, pos: np.ndarray, state: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"doc": pa.array(doc, pa.int64()), "pos": pa.array(pos, pa.int64()),
