@@ -303,7 +303,8 @@ def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, perce
 
     Only fragments count that texts of several components share which are near
     in size and in distance from the leader, the leader not counted: most chance
-    agreements are between a text and its leader. What two
+    agreements are between a text and its leader. A text that has fewer of those
+    than a linked one must share is closed. What two
     texts differ in is what just one of them differs from the leader in: with x
     and y elements that they have not in common with the leader, of which o are
     the same, they are x + y - 2 o apart. That is little enough
@@ -319,16 +320,25 @@ def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, perce
     own = F.coalesce("component", "b").alias("component")
     texts = materialize(texts.join(named, F.col("b") == F.col("n"), "left").select("a", "b", "size", "apart", own), "texts")
     shared = members.filter("doc_id <> leader").select("signature", F.col("leader").alias("a"), F.col("doc_id").alias("b")).join(texts, ["a", "b"])
+    level_of = F.col("signature").bitwiseAND(F.lit(LEVELS - 1)).cast("int")
+
+    def in_several(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The rows whose fragment texts of several components share, of texts that have enough such fragments."""
+        several = rows.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*keys)
+        left = materialize(rows.join(several, keys), "open-members")
+        shared_by = left.groupBy("b", level_of.alias("level"), "size").agg(F.count_distinct("signature").alias("shared"))
+        enough = shared_by.filter(F.col("shared") >= needed(F.col("level"), F.col("size"), percent)).select("b", "level")
+        return left.withColumn("level", level_of).join(materialize(enough, "enough"), ["b", "level"], "left_semi").drop("level")
+
+    shared = in_several(shared, ["signature"])
     # linked texts are near in size and in distance from the leader: they share a label of each kind
     ratio, share = 100 / percent, (100 - percent) / (100 + percent)
     near = F.floor(F.log("size") / math.log(ratio) + 1e-9).cast("int")
     sized = shared.withColumn("near", F.explode(F.array(near, near + 1)))
     width = F.floor(2 * share * F.pow(F.lit(ratio), F.col("near") + 1)) + 1
     far = F.floor(F.col("apart") / width).cast("int")
-    placed = sized.withColumn("far", F.explode(F.array(far, far + 1)))
-    keys = ["signature", "near", "far"]
-    several = placed.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*keys)
-    still = materialize(placed.join(several, keys).select("a", "b").distinct(), "open-texts")
+    placed = sized.withColumn("far", F.explode(F.array(far, far + 1))).drop("apart")
+    still = materialize(in_several(placed, ["signature", "near", "far"]).select("a", "b").distinct(), "open-texts")
     texts = texts.join(still, ["a", "b"])
     elements = materialize(counted.join(still, ["a", "b"]).select("a", "b", F.explode("apart").alias("e")), "differences")
     often = elements.groupBy("a", "e").agg(F.count("*").alias("n"))
