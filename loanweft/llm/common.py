@@ -40,6 +40,8 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
     """``mapInArrow`` that hands ``function`` at most about ``mb`` MB of the columns ``sizes`` at a time (one row at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for forget in FORGET:
+            forget()
         state = prepare() if prepare else None
         for batch in batches:
             for piece in slices(batch, sizes, int(mb * (1 << 20))):
@@ -51,6 +53,9 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+FORGET: list[Callable[[], None]] = []  # what empties the memories that other operators keep in a worker
+
+
 def release() -> None:
     """Give memory that a task has freed back to the system: its worker lives on and does other work."""
     pa.default_memory_pool().release_unused()

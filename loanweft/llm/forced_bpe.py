@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import mixed, pick, polynomial, raw, release, slices
+from loanweft.llm.common import FORGET, mixed, pick, polynomial, raw, release, slices
 
 KEPT_FRAGMENTS = 200_000  # fragments a task remembers before it starts again
 KEPT_BYTES = 64  # longer fragments are encoded but not remembered
@@ -158,6 +158,7 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 LOADED: dict[str, ForcedBpe] = {}  # of this worker process: later tasks find the fragments that earlier ones met
+FORGET.append(LOADED.clear)
 
 
 def loaded(content: str) -> ForcedBpe:

@@ -17,7 +17,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from loanweft.llm.common import raw
+from loanweft.llm.common import FORGET, raw
 from loanweft.llm.forced_bpe import ForcedBpe, byte_letters, content_of  # noqa: F401
 
 # Fixed value: how a byte-level pre-tokenizer splits a text.
@@ -57,6 +57,7 @@ class TokenIds:
 
 
 LOADED: dict[str, TokenIds] = {}  # of this worker process
+FORGET.append(LOADED.clear)
 
 
 def loaded(content: str) -> TokenIds:
