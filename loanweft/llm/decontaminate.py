@@ -31,7 +31,7 @@ shuffled; what leaves a task are its finds.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from loanweft.llm.common import LOWER, MIX, mixed, over_batches, pick, raw
 
 # least bytes of an item, steps, places of the walk's output in a table's key (or all of a shorter one), walks, tables per walk
-CLASSES = ((200, 32, 14, 3, 2), (80, 24, 10, 3, 2), (48, 20, 10, 4, 2), (24, 14, 8, 4, 2), (14, 14, 14, 1, 1), (6, 6, 6, 1, 1), (3, 3, 3, 1, 1), (1, 1, 1, 1, 1))
+CLASSES = ((200, 32, 14, 3, 2), (80, 24, 10, 3, 2), (48, 20, 10, 4, 2), (24, 14, 8, 7, 2), (14, 14, 14, 1, 1), (6, 6, 6, 1, 1), (3, 3, 3, 1, 1), (1, 1, 1, 1, 1))
+MOST_STEPS = max(steps for _, steps, *_ in CLASSES)
+Shape = tuple[int, int, int, int]
 PERCENT = 80  # similarity: 1 - edits / length of the item
 LEAST_ITEM = 24  # bytes in plain form; shorter items must occur unchanged, from word to word
 ITEMS_PER_BLOCK = 5_000
@@ -54,38 +56,47 @@ WORDLIKE = np.zeros(256, bool)
 WORDLIKE[[*range(97, 123), *range(48, 58), *range(128, 256)]] = True
 
 
-@functools.lru_cache(maxsize=16)
-def walks(steps: int, sampled: int, count: int, tables: int) -> tuple[np.ndarray, list[list[np.ndarray]]]:
-    """Move bits [walk, step, byte], and per walk the sampled steps of its tables. Fixed by their seed, so all tasks agree."""
-    chance = np.random.default_rng(20240601)
-    moves = chance.integers(0, 2, (count, steps, 256)).astype(np.int32)
-    samples = [[np.sort(chance.choice(steps, min(steps, sampled), replace=False)) for _ in range(tables)] for _ in range(count)]
-    return moves, samples
+@functools.lru_cache(maxsize=64)
+def moves_of(walk: int) -> np.ndarray:
+    """Move bits [step, byte] of a walk, the same for items of all lengths. Fixed by their seed, so all tasks agree."""
+    return np.random.default_rng((20240601, walk)).integers(0, 2, (MOST_STEPS, 256))
 
 
-def embed(data: np.ndarray, starts: np.ndarray, steps: int, sampled: int, count: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (table, start) of the windows of ``data`` at ``starts``, and how far the farthest walk went."""
-    moves, samples = walks(steps, sampled, count, tables)
-    padded = np.r_[data, np.zeros(steps + 1, np.uint8)]
-    keys, farthest = np.empty((count * tables, len(starts)), np.uint64), np.zeros(len(starts), np.int64)
+@functools.lru_cache(maxsize=256)
+def sampled_steps(steps: int, sampled: int, walk: int, table: int) -> frozenset[int]:
+    chance = np.random.default_rng((20240602, steps, sampled, walk, table))
+    return frozenset(chance.choice(steps, min(steps, sampled), replace=False).tolist())
+
+
+def embed(data: np.ndarray, starts: np.ndarray, shapes: Sequence[Shape]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per shape the keys (table, start) of the windows of ``data`` at ``starts``, and how far the farthest walk went.
+
+    Shapes share their walks: a shorter one reads the beginning of a longer one.
+    """
+    padded = np.r_[data, np.zeros(MOST_STEPS + 1, np.uint8)].astype(np.int64)  # one type throughout, so that no step converts
+    multiplier = MIX.astype(np.int64)
+    made = [(np.empty((count * tables, len(starts)), np.uint64), np.zeros(len(starts), np.int64)) for _, _, count, tables in shapes]
     for low in range(0, len(starts), AT_ONCE):
         own = slice(low, low + AT_ONCE)
-        for walk in range(count):
-            at = starts[own].astype(np.int64)
-            sums = [np.full(len(at), walk * tables + t + 1, np.uint64) for t in range(tables)]
-            chosen = [set(s.tolist()) for s in samples[walk]]
-            with np.errstate(over="ignore"):
-                for step in range(steps):
-                    byte = padded.take(at)
-                    for table in range(tables):
-                        if step in chosen[table]:
-                            np.multiply(sums[table], MIX, out=sums[table])
-                            np.add(sums[table], byte, out=sums[table])
-                    at += moves[walk, step].take(byte)
-            for table in range(tables):
-                keys[walk * tables + table, own] = mixed(sums[table])
-            farthest[own] = np.maximum(farthest[own], at)
-    return keys, farthest
+        for walk in range(max(count for _, _, count, _ in shapes)):
+            at, moves = starts[own].astype(np.int64), moves_of(walk)
+            open_ = [(number, shape, [(np.full(len(at), walk * shape[3] + t + 1, np.int64), sampled_steps(*shape[:2], walk, t)) for t in range(shape[3])])
+                     for number, shape in enumerate(shapes) if walk < shape[2]]
+            for step in range(max(shape[0] for _, shape, _ in open_)):
+                byte = padded.take(at)
+                for _, shape, sums in open_:
+                    for total, chosen in sums:
+                        if step in chosen:
+                            np.multiply(total, multiplier, out=total)
+                            np.add(total, byte, out=total)
+                at += moves[step].take(byte)
+                for number, shape, sums in open_:
+                    if step == shape[0] - 1:
+                        keys, farthest = made[number]
+                        for table, (total, _) in enumerate(sums):
+                            keys[walk * shape[3] + table, own] = mixed(total.view(np.uint64))
+                        farthest[own] = np.maximum(farthest[own], at)
+    return made
 
 
 def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +134,7 @@ class Items:
             self.texts.append(made.tobytes())
             starts = word_starts(made, np.array([0, len(made)]))
             starts = starts if self.allowed(number) else starts[:1]
-            found, end = embed(made, starts, *shape)
+            (found, end), = embed(made, starts, [shape])
             inside = end <= len(made)
             keys.append(found[:, inside])
             owner.append(np.full(inside.sum(), number))
@@ -137,11 +148,11 @@ class Items:
         for table in range(count * tables):
             self.there[table, (self.keys[table] & np.uint64(SIEVE - 1)).astype(np.int64)] = True
         self.lengths = np.array([len(text) for text in self.texts], np.int64)
+        self.first, self.bytes = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(self.texts), np.uint8)
         self.edits = np.array([self.allowed(number) for number in range(len(self.ids))], np.int64)
 
-    def candidates(self, data: np.ndarray, starts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, place where an item would start, item), each once, for windows of ``data`` that start in the texts ``text``."""
-        found, _ = embed(data, starts, *self.shape)
+    def candidates(self, found: np.ndarray, starts: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place where an item would start, item), each once, for windows of keys ``found`` that start in the texts ``text``."""
         window, entries = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for table in range(len(found)):
             maybe = np.flatnonzero(self.there[table].take((found[table] & np.uint64(SIEVE - 1)).astype(np.int64)))
@@ -216,7 +227,12 @@ def least_edits(masks: np.ndarray, row: np.ndarray, length: np.ndarray, made: np
 
 
 def plausible(items: Items, made: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Which candidates can be within their item's allowed edits: those whose pieces together need no more."""
+    """Which candidates can be within their item's allowed edits: those whose pieces together need no more.
+
+    Between the window that agreed and a piece lie at most the allowed edits, so
+    the piece is no farther than that from its place (and the eight bytes that
+    one candidate stands for).
+    """
     spent, open_ = np.zeros(len(item), np.int64), np.arange(len(item))
     most = items.edits[item]
     for start in range(0, int(items.lengths.max(initial=0)), PIECE):
@@ -225,22 +241,31 @@ def plausible(items: Items, made: np.ndarray, begin: np.ndarray, low: np.ndarray
             own = open_[at:at + STRETCHES]
             which, row = np.unique(item[own], return_inverse=True)
             masks = np.zeros((len(which), 256), np.uint64)
-            for r, number in enumerate(which.tolist()):
-                for i, byte in enumerate(items.texts[number][start:start + PIECE]):
-                    masks[r, byte] |= np.uint64(1 << i)
-            length, slack = np.minimum(items.lengths[item[own]] - start, PIECE), 2 * most[own] + 8
+            of, bit = np.nonzero(start + np.arange(PIECE) < items.lengths[which][:, None])
+            np.bitwise_or.at(masks, (of, items.bytes[items.first[which[of]] + start + bit]), np.uint64(1) << bit.astype(np.uint64))
+            length, slack = np.minimum(items.lengths[item[own]] - start, PIECE), most[own] + 8
             spent[own] += least_edits(masks, row, length, made, np.maximum(low[own], begin[own] + start - slack),
                                       np.minimum(high[own], begin[own] + start + length + slack))
     return spent <= most
 
 
-def found_in(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(text, item, first byte, end byte in the text, edits) of every item found in the texts; of each pair the best place."""
+Find = tuple[int, int, int, int, int]
+
+
+def found_in(index: Sequence[Items], data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[Items, list[Find]]]:
+    """For the items of each class (text, item, first byte, end byte in the text, edits) of every one found in the texts; of each pair the best place."""
     made, at, place = plain(data, offsets)
     starts = word_starts(made, at)
-    if not len(starts) or not items.ids:
-        return []
-    of, begin, item = items.candidates(made, starts, np.searchsorted(at, starts, "right") - 1)
+    if not len(starts) or not index:
+        return
+    text = np.searchsorted(at, starts, "right") - 1
+    for items, (keys, _) in zip(index, embed(made, starts, [items.shape for items in index])):
+        yield items, verified(items, made, at, place, offsets, *items.candidates(keys, starts, text))
+
+
+def verified(items: Items, made: np.ndarray, at: np.ndarray, place: np.ndarray, offsets: np.ndarray, of: np.ndarray, begin: np.ndarray,
+             item: np.ndarray) -> list[Find]:
+    """The candidates (text ``of``, place ``begin``, ``item``) that the exact edit distance confirms."""
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     content, allowed = made.tobytes(), items.edits[item]
     # one of the places in eight bytes, as the stretch searched for it is wider by eight bytes on either side; each where no edit is allowed
@@ -287,8 +312,8 @@ def without_items(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
         def keep(piece: pa.RecordBatch, index: list[Items] = index) -> pa.RecordBatch:
             data, offsets = raw(piece.column(place))
             stays = np.ones(piece.num_rows, bool)
-            for items in index:
-                stays[[text for text, *_ in found_in(items, data, offsets)]] = False
+            for _, finds in found_in(index, data, offsets):
+                stays[[text for text, *_ in finds]] = False
             return piece.filter(pa.array(stays))
 
         docs = over_batches(docs, keep, docs.schema, TOGETHER)
@@ -313,7 +338,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
 
         def run(piece: pa.RecordBatch, index: list[Items] = index) -> pa.RecordBatch:
             data, offsets = raw(piece.column(1))
-            rows = [(text, items.ids[item], *rest) for items in index for text, item, *rest in found_in(items, data, offsets)]
+            rows = [(text, items.ids[item], *rest) for items, finds in found_in(index, data, offsets) for text, item, *rest in finds]
             ids = piece.column(0).to_pylist()
             return pa.RecordBatch.from_pydict({
                 "doc_id": pa.array([ids[r[0]] for r in rows], pa.int64()), "item_id": pa.array([r[1] for r in rows], pa.int64()),
