@@ -155,13 +155,11 @@ SELECT cast(row_number() OVER (ORDER BY n DESC, l_partkey) - 1 AS integer) AS li
   SELECT cast(l_partkey AS varchar) AS l_partkey, cast(count(*) AS varchar) AS n, count(*) AS k FROM lineitem GROUP BY l_partkey)
   QUALIFY true""".replace("ORDER BY n DESC, l_partkey)", "ORDER BY k DESC, cast(l_partkey AS bigint))"))
 def s11_ordered_report(spark, folder):
-    """A report whose rows come from several partitions, read back line by line."""
+    """A report whose rows come from several partitions, its lines written with them and read back in parallel."""
     path = scratch(spark)
     counted = table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    writers.write_report(counted.repartitionByRange(7, F.desc("n"), "l_partkey").sortWithinPartitions(F.desc("n"), "l_partkey"), path)
-    # one file of a report: read in its own order
-    lines = spark.read.option("header", True).option("wholetext", False).csv(path).coalesce(1)
-    return lines.select(F.monotonically_increasing_id().cast("int").alias("line"), "l_partkey", "n")
+    writers.write_numbered_report(counted, [Order("n", False), Order("l_partkey")], path)
+    return spark.read.option("header", True).csv(path).select(F.col("line").cast("int").alias("line"), "l_partkey", "n")
 
 
 @register("p5_required_columns", """

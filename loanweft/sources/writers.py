@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError, require_columns
+from loanweft.operators.position import Order, row_positions
 from loanweft.session import literal_table, materialize
 
 MODEL_KINDS: Mapping[str, type[MLReadable]] = {
@@ -55,6 +56,20 @@ def write_report(df: DataFrame, path: str, file_format: str = "csv", allow_empty
         writer.parquet(path)
 
 
+def write_numbered_report(df: DataFrame, orders: Sequence[Order], path: str, line: str = "line", allow_empty: bool = False) -> None:
+    """S11 for reports that grow with the data: CSV in as many files as tasks, each row with its line from 0.
+
+    ``orders`` must tell all rows apart. The order is in the lines, so the report
+    is written and read in parallel, and no task sees all of it.
+    """
+    seen = Observation()
+    numbered = row_positions(df, orders, name=line)
+    numbered.select((F.col(line) - 1).alias(line), *df.columns).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "header", True).csv(path)
+    if not allow_empty and not seen.get["rows"]:
+        raise DataCheckError(f"report for {path} has no rows")
+
+
 def write_features(df: DataFrame, names: Sequence[str], path: str, names_path: str,
                    split: str = "modeling_split") -> DataFrame:
     """S12. Keyed vectors and labels by split, and the slot names."""

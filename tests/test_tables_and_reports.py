@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanweft import session
+from loanweft.functions.checks import DataCheckError
 from loanweft.operators import calibration, quality, sets
 from loanweft.operators.position import Order, row_positions
 from loanweft.sources import readers, writers
@@ -87,3 +88,14 @@ def test_stages_can_be_cleared(spark, monkeypatch, tmp_path):
     assert os.listdir(tmp_path / "loanweft")
     session.clear_stages(spark)
     assert not os.path.exists(tmp_path / "loanweft")
+
+
+def test_numbered_reports_keep_their_order_over_several_files(spark, tmp_path):
+    rows = [(i % 7, i) for i in range(500)]
+    path = str(tmp_path / "numbered")
+    writers.write_numbered_report(spark.createDataFrame(rows, "n int, k int").repartition(5), [Order("n", False), Order("k")], path)
+    got = spark.read.option("header", True).csv(path).collect()
+    wanted = sorted(rows, key=lambda r: (-r[0], r[1]))
+    assert sorted((int(r.line), int(r.n), int(r.k)) for r in got) == [(i, *r) for i, r in enumerate(wanted)]
+    with pytest.raises(DataCheckError):
+        writers.write_numbered_report(spark.createDataFrame([], "n int, k int"), [Order("n"), Order("k")], str(tmp_path / "none"))
