@@ -1,7 +1,9 @@
 """Recalibration of log-odds: intercept shift, Platt scaling, isotonic steps.
 
-The parametric fits are Newton iterations whose sums are one aggregation per
-step; only two or five numbers reach the driver.
+The parametric fits are Newton iterations over the distinct log-odds, written
+once; the sums are one aggregation per step and only two or six numbers reach
+the driver. Sums of many rows are exact to some digits only, so no step is
+judged by a smaller change of them.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from pyspark.sql import functions as F
 
 from loanweft.functions.checks import DataCheckError
 from loanweft.functions.numeric import clip, sigmoid
-from loanweft.session import literal_table
+from loanweft.session import literal_table, materialize
 
 MAX_STEPS = 100
 TOLERANCE = 1e-12
+SURE = 0.5  # a Newton step that moves no row's log-odds farther lowers the loss
+NEAR = 1e-6  # of log-odds: from here on Newton steps shrink at once, unless they are rounding errors
 
 
 def enforce_log_odds(df: DataFrame, log_odds: str = "z", label: str = "bad_loan") -> None:
@@ -41,6 +45,13 @@ def check_reconstruction(df: DataFrame, log_odds: str = "z", score: str = "p", r
     return df.where(~(F.abs(sigmoid(F.col(log_odds)) - p) <= F.lit(absolute) + F.lit(relative) * F.abs(p)))
 
 
+def _distinct_log_odds(df: DataFrame, log_odds: str, label: str) -> DataFrame:
+    """(z, rows, bad) of each distinct log-odds, written: every step of a fit reads them again."""
+    points = df.groupBy(F.col(log_odds).cast("double").alias("z")).agg(
+        F.count(F.lit(1)).cast("double").alias("rows"), F.sum(F.col(label).cast("double")).alias("bad"))
+    return materialize(points, "log-odds")
+
+
 def fit_intercept_shift(df: DataFrame, log_odds: str = "z", label: str = "bad_loan", lower: float = -10.0,
                         upper: float = 10.0) -> float:
     """M11. Shift of the log-odds with least log loss, within bounds.
@@ -51,11 +62,13 @@ def fit_intercept_shift(df: DataFrame, log_odds: str = "z", label: str = "bad_lo
     if not lower < upper:
         raise ValueError("lower must be below upper")
     enforce_log_odds(df, log_odds, label)
-    z, y = F.col(log_odds), F.col(label)
+    points = _distinct_log_odds(df, log_odds, label)
+    z, rows, bad = F.col("z"), F.col("rows"), F.col("bad")
     low, high, shift = lower, upper, min(max(0.0, lower), upper)
     for _ in range(MAX_STEPS):
         p = sigmoid(z + F.lit(shift))
-        row = df.agg(F.avg(p - y).alias("slope"), F.avg(p * (F.lit(1.0) - p)).alias("curve")).first()
+        row = points.agg((F.sum(rows * p - bad) / F.sum(rows)).alias("slope"),
+                         (F.sum(rows * p * (F.lit(1.0) - p)) / F.sum(rows)).alias("curve")).first()
         if row.slope > 0:
             high = shift
         else:
@@ -88,35 +101,48 @@ class PlattScaling:
         return sigmoid(F.lit(self.scale) * log_odds + F.lit(self.intercept))
 
 
-def _platt_sums(df: DataFrame, z: Column, y: Column, scale: float, intercept: float):
-    p = sigmoid(F.lit(scale) * z + F.lit(intercept))
-    weight = p * (F.lit(1.0) - p)
-    # log(1 + exp(t)) - y t, written so that exp never overflows
+def _platt_sums(points: DataFrame, scale: float, intercept: float):
+    z, rows, bad = F.col("z"), F.col("rows"), F.col("bad")
     t = F.lit(scale) * z + F.lit(intercept)
-    loss = F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t))) - y * t
-    return df.agg(
-        F.avg((p - y) * z).alias("g1"), F.avg(p - y).alias("g0"), F.avg(weight * z * z).alias("h11"),
-        F.avg(weight * z).alias("h10"), F.avg(weight).alias("h00"), F.avg(loss).alias("loss")).first()
+    p = sigmoid(t)
+    gap, weight = rows * p - bad, rows * p * (F.lit(1.0) - p)
+    # log(1 + exp(t)) - y t, written so that exp never overflows
+    loss = rows * (F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t)))) - bad * t
+    sums = {"g1": gap * z, "g0": gap, "h11": weight * z * z, "h10": weight * z, "h00": weight, "loss": loss}
+    return points.agg(*[(F.sum(value) / F.sum(rows)).alias(name) for name, value in sums.items()]).first()
 
 
 def fit_platt(df: DataFrame, log_odds: str = "z", label: str = "bad_loan") -> PlattScaling:
-    """M13. Unpenalized logistic fit of the label on the log-odds."""
+    """M13. Unpenalized logistic fit of the label on the log-odds.
+
+    The third derivative of a row's loss is at most its second, so a step that
+    moves no log-odds by more than ``SURE`` lowers the loss; only longer ones
+    are halved until it does not rise. The fit ends when a step is within
+    ``TOLERANCE`` or, near the minimum, does not shrink any more: it then
+    consists of rounding errors, which grow with the rows.
+    """
     enforce_log_odds(df, log_odds, label)
-    z, y = F.col(log_odds), F.col(label)
+    points = _distinct_log_odds(df, log_odds, label)
+    widest = points.agg(F.max(F.abs("z"))).first()[0]
     scale = intercept = 0.0
-    row = _platt_sums(df, z, y, scale, intercept)
+    before = math.inf
+    row = _platt_sums(points, scale, intercept)
     for _ in range(MAX_STEPS):
         determinant = row.h11 * row.h00 - row.h10 * row.h10
         if determinant <= 0:
             raise DataCheckError("log-odds do not vary or separate the classes; no finite Platt scaling exists")
         d1 = (row.h00 * row.g1 - row.h10 * row.g0) / determinant
         d0 = (row.h11 * row.g0 - row.h10 * row.g1) / determinant
-        if max(abs(d1), abs(d0)) <= TOLERANCE:
+        moved = abs(d1) * widest + abs(d0)  # by which a row's log-odds change at most
+        if not math.isfinite(moved):
+            raise DataCheckError("Platt scaling is not finite")
+        if max(abs(d1), abs(d0)) <= TOLERANCE or before / 2.0 < moved <= NEAR:
             break
+        before = moved
         fraction = 1.0
-        while True:  # halve until the loss does not rise
-            tried = _platt_sums(df, z, y, scale - fraction * d1, intercept - fraction * d0)
-            if tried.loss <= row.loss + 1e-15 or fraction < 1e-6:
+        while True:
+            tried = _platt_sums(points, scale - fraction * d1, intercept - fraction * d0)
+            if tried.loss <= row.loss or fraction * moved <= SURE:
                 break
             fraction /= 2.0
         scale, intercept, row = scale - fraction * d1, intercept - fraction * d0, tried

@@ -118,6 +118,26 @@ def test_platt(spark, scores):
         calibration.fit_platt(flat)
 
 
+def test_platt_ends_where_sums_are_rounded(spark, monkeypatch):
+    """Log-odds far from 0, whose sums have large rounding errors: few passes, and the fit of the same rows around 0."""
+    rng = np.random.default_rng(7)
+    near = rng.normal(0, 1.0, 20_000)
+    label = (rng.random(20_000) < 1 / (1 + np.exp(-(0.8 * near - 0.5)))).astype(int)
+    passes, sums = [], calibration._platt_sums
+
+    def counted(*arguments):
+        passes.append(1)
+        assert len(passes) <= 40
+        return sums(*arguments)
+
+    monkeypatch.setattr(calibration, "_platt_sums", counted)
+    far = calibration.fit_platt(spark.createDataFrame(pd.DataFrame({"z": near + 1000.0, "bad_loan": label})))
+    passes.clear()
+    expected = calibration.fit_platt(spark.createDataFrame(pd.DataFrame({"z": near, "bad_loan": label})))
+    assert far.scale == pytest.approx(expected.scale, abs=1e-6)
+    assert far.intercept + 1000.0 * far.scale == pytest.approx(expected.intercept, abs=1e-6)
+
+
 def pooled(z, y):
     """Pool adjacent violators over distinct z."""
     table = pd.DataFrame({"z": z, "y": y}).groupby("z").y.agg(["sum", "count"])
