@@ -198,16 +198,17 @@ def keys_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[Colum
     settled.append((rows, bins.where(few).select(*keys, "_ranks")))
     while to_cut:
         wide = bins.where(~few).select(*keys, "_cuts", "_ranks")
-        binned = _same(rows, wide, keys).withColumn("_x0", F.get("_x", F.col("_level")))
+        binned = _same(rows, wide.drop("_ranks"), keys).withColumn("_x0", F.get("_x", F.col("_level")))
         below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x0")))
         binned = binned.withColumn("_of", 2 * below + F.array_contains("_cuts", F.col("_x0")).cast("int"))
-        counted = binned.groupBy(*keys, "_of").agg(F.count(F.lit(1)).alias("_n"), F.first("_ranks").alias("_ranks"))
+        # only counted: an array among the aggregates would have every task sort its rows
+        counted = binned.groupBy(*keys, "_of").agg(F.count(F.lit(1)).alias("_n"))
         before = _exclusive(Window.partitionBy(*keys).orderBy("_of"), "_n")  # a bin's parts are few
         inside = F.filter("_ranks", lambda k: (k["at"] > F.col("_before")) & (k["at"] <= F.col("_before") + F.col("_n")))
         moved = F.transform(inside, lambda k: F.struct(k["rank"].alias("rank"), (k["at"] - F.col("_before")).alias("at")))
-        parts = counted.withColumn("_before", before).withColumn("_ranks", moved).where(F.size("_ranks") > 0)
+        parts = _same(counted.withColumn("_before", before), wide.drop("_cuts"), keys).withColumn("_ranks", moved).where(F.size("_ranks") > 0)
         parts = materialize(parts.select(*keys, "_of", "_ranks"), "bins")
-        rows = _same(binned.drop("_cuts", "_ranks", "_x0"), parts.drop("_ranks"), [*keys, "_of"])
+        rows = _same(binned.drop("_cuts", "_x0"), parts.drop("_ranks"), [*keys, "_of"])
         # a value with a bin of its own is told apart by the next image
         next_bin, next_level = F.concat_ws(".", "_bin", F.col("_of").cast("string")), F.col("_level") + F.col("_of") % 2
         rows = materialize(rows.withColumns({"_bin": next_bin, "_level": next_level.cast("int")}).drop("_of"), "bin-rows")
@@ -217,7 +218,7 @@ def keys_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[Colum
         to_cut = bins.where(~few).count()
     found = None
     for rows, done in settled:
-        inside = _same(rows, done, keys).select(*dict.fromkeys([*keys, *names]), "_ranks")
+        inside = _same(rows, done.drop("_ranks"), keys).select(*dict.fromkeys([*keys, *names]))
         window = Window.partitionBy(*keys).orderBy(*[order.sort() for order in orders])
         if len(orders) > 1:  # keys that should not repeat: neighbours tell
             own_key, one = F.struct(*names), F.lit(1).cast("bigint")
@@ -225,10 +226,10 @@ def keys_at_ranks(df: DataFrame, orders: Sequence[Order], ranks: Callable[[Colum
             counted = inside.withColumns({"_before": F.row_number().over(window).cast("bigint") - 1, "_twice": twice, "_n": one})
             repeats = F.when(F.col("_twice"), F.lit(2)).otherwise(F.lit(1)).cast("bigint")
         else:
-            distinct = inside.groupBy(*dict.fromkeys([*keys, *names])).agg(F.count(F.lit(1)).alias("_n"), F.first("_ranks").alias("_ranks"))
+            distinct = inside.groupBy(*dict.fromkeys([*keys, *names])).agg(F.count(F.lit(1)).alias("_n"))
             counted, repeats = distinct.withColumn("_before", _exclusive(window, "_n")), F.col("_n")
         own = F.filter("_ranks", lambda k: (k["at"] > F.col("_before")) & (k["at"] <= F.col("_before") + F.col("_n")))
-        one = counted.select(*dict.fromkeys([*by, *names]), repeats.alias("_owners"), F.explode(F.transform(own, lambda k: k["rank"])).alias("_rank"))
+        one = _same(counted, done, keys).select(*dict.fromkeys([*by, *names]), repeats.alias("_owners"), F.explode(F.transform(own, lambda k: k["rank"])).alias("_rank"))
         found = one if found is None else found.unionByName(one)
     found = materialize(found, "ranks")
     if len(orders) > 1 and (repeated := found.where("_owners > 1").limit(1).collect()):

@@ -138,3 +138,21 @@ def test_results_do_not_depend_on_partitions(spark):
         cut, _ = rows_at_ranks(df.repartition(partitions), [Order("p"), Order("id")], at(1234), **TINY)
         results.append(cut)
     assert results[0] == results[1]
+
+
+def test_bins_are_counted_without_sorting_the_rows(spark, monkeypatch):
+    """No task sorts the rows that it reads: their number grows with the data."""
+    from loanweft.operators import position
+    plans, written = [], position.materialize
+
+    def seen(df, name="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(position, "materialize", seen)
+    rows = spark.range(2_000).selectExpr("id", "id % 7 AS p", "id % 2 AS g")
+    found, _ = position.keys_at_ranks(rows, [position.Order("p"), position.Order("id")], lambda n: F.array(F.lit(1), F.lit(500), n), ["g"], rows_per_part=100)
+    assert [tuple(row) for row in found.orderBy("g", "_rank").select("g", "_rank", "p", "id").collect()] == [
+        (g, k, *sorted((i % 7, i) for i in range(g, 2_000, 2))[k - 1]) for g in (0, 1) for k in (1, 500, 1000)]
+    position.keys_at_ranks(rows, [position.Order("p")], lambda n: F.array(n), ["g"], rows_per_part=100)
+    assert len(plans) > 6 and not any("SortAggregate" in plan for plan in plans)
