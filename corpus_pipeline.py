@@ -20,7 +20,7 @@ from loanweft.llm.common import materialize, over_batches, pick, raw, table
 COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 SCHEMA = ", ".join(f"{name} {kind}" for name, kind in COLUMNS.items())
 WORDS, PERCENT = 5, 80  # near duplicates: shingles of five words, similarity of 0.8
-TOGETHER = 2
+TOGETHER = 0.5  # MB of text worked on at once: its arrays are many times that, in each of an executor's workers
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,7 +57,8 @@ FORGET: list[Callable[[], None]] = []  # what empties the memories that other op
 
 
 def release() -> None:
-    """Give memory that a task has freed back to the system: its worker lives on and does other work."""
+    """Give what a task held back to the system, its powers too: its worker lives on, idle or with other work."""
+    POWERS.clear()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU library only
         trim(0)
@@ -103,7 +104,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
-POWERS: dict[bool, np.ndarray] = {}  # of this worker process, grown as needed: those of BASE, and of its inverse
+POWERS: dict[bool, np.ndarray] = {}  # of this worker process, grown as needed until ``release``: those of BASE, and of its inverse
 
 
 def powers(size: int, inverse: bool = False) -> np.ndarray:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, raw, shingle_hashes
+from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, raw, release, shingle_hashes
 from loanweft.llm.components import components
 from loanweft.llm.substrings import numbered
 
@@ -48,6 +48,7 @@ MARGIN = 1.3  # fragments, without the spared ones, for each place in which a li
 STEP = 1.25  # between numbers of fragments on the grid
 BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
 TOGETHER = 0.5
+MEMBERS_PER_PART = 500_000  # rows of a signature and a text that a task puts in order
 NOBODY = -(1 << 63)
 LEVELS = 128  # of the grid at most
 SHARED = "signature bigint, leader bigint, doc_id bigint"
@@ -142,13 +143,14 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return over_batches(docs, run, "doc_id bigint, n_shingles bigint, digest binary", TOGETHER)
 
 
-def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def members_of(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """(signature, leader, doc_id) of every text that shares a signature with others; the leader is the smallest id among them.
 
     Of the texts that a task reads together one per signature is sent, the one
     of smallest id; the others are bound to it and go to random partitions, so
     a signature that very many texts share is met by few rows. The bound ones
-    then take over the leader of the one that they are bound to.
+    then take over the leader of the one that they are bound to. A text has
+    signatures by its size, so the partitions follow the shingles of ``sets``.
     """
 
     def send(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -183,6 +185,7 @@ def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
             yield rows(signature[out], doc[at][out], doc[out], False)
             last = at[-1]
             held = signature[last], doc[last], known[last], bool(shared[last])
+        release()
 
     def rows(signature: np.ndarray, leader: np.ndarray, doc: np.ndarray, bound: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(signature, pa.int64()), pa.array(leader, pa.int64()), pa.array(doc, pa.int64()),
@@ -190,7 +193,8 @@ def members_of(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     sent = over_batches(docs, send, SHARED, TOGETHER)
     free = F.col("leader").isNull() | (F.col("leader") == F.col("doc_id"))
-    placed = sent.repartition(parts_of(docs, 20_000), F.when(free, F.col("signature")).otherwise(F.xxhash64("signature", "doc_id")))
+    expected = (sets.agg(F.sum("n_shingles")).first()[0] or 0) * 4 * (100 - percent) // percent
+    placed = sent.repartition(parts_of(docs, MEMBERS_PER_PART, expected), F.when(free, F.col("signature")).otherwise(F.xxhash64("signature", "doc_id")))
     met = materialize(placed.sortWithinPartitions("signature", "doc_id").mapInArrow(meet, SHARED + ", bound boolean"), "fragment-members")
     heads = met.filter("not bound").select("signature", "leader", "doc_id")
     to = heads.select(F.col("signature").alias("s"), F.col("leader").alias("head"), F.col("doc_id").alias("via"))
@@ -282,7 +286,7 @@ def row_components(rows: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared = materialize(classes.filter("n > 1").select("digest", "node"), "equal-sets")
     copies = sets.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     ready = with_ids(docs, copies, "left_anti")
-    members = with_enough(materialize(members_of(ready, words, percent), "members"), sets, percent)
+    members = with_enough(materialize(members_of(ready, sets, words, percent), "members"), sets, percent)
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     counted = overlaps(pairs, docs, words)
     found = linked(counted, percent)

@@ -2,9 +2,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from loanweft.llm import jaccard
+from loanweft.llm import common, jaccard
 from loanweft.llm.components import components
 
 
@@ -116,3 +117,30 @@ def test_rows_of_one_id_or_none_are_linked_by_their_own_text(spark):
     mine = [(ids[i], n, smallest[root] if len(members[root]) > 1 else ids[i]) for i, (n, root) in wanted.items()]
     got = [tuple(r) for r in jaccard.near_components(df).collect()]
     assert sorted(got, key=repr) == sorted(mine, key=repr)
+
+
+def test_partitions_of_members_follow_the_signatures(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MEMBERS_PER_PART", 400, raising=False)
+    written, write = {}, jaccard.materialize
+
+    def noted(df, name):
+        if name == "fragment-members":
+            written[name] = df.rdd.getNumPartitions()
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", noted)
+    chance = random.Random(8)
+    base = [f"w{chance.randrange(10_000)}" for _ in range(3000)]
+    rows = [(i, " ".join(base[:i] + ["other"] + base[i + 1:])) for i in range(6)] + [(9, "none of these")]  # few texts, long ones
+    got = {r.doc_id: r.component_id for r in jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == {**dict.fromkeys(range(6), 0), 9: 9}
+    made = sum(len(jaccard.signatures(s, 80)) for _, t in rows for s in jaccard.distinct_sets(*jaccard.raw(pa.array([t])), 5))
+    assert made > 4 * 400 and 2 * written["fragment-members"] * 400 >= made
+
+
+def test_a_task_leaves_no_powers_in_its_worker():
+    common.polynomial(np.zeros(1 << 20, np.uint8))
+    common.release()
+    assert not common.POWERS
+    again = common.polynomial(np.frombuffer(b"abcabc", np.uint8))(np.array([0, 3]), np.array([3, 6]))
+    assert again[0] == again[1]
