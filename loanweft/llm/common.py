@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanweft.session import materialize, shared_folder, shared_path  # noqa: F401
+from loanweft.session import discard, materialize, shared_folder, shared_path  # noqa: F401
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 

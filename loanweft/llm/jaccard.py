@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, materialize, mixed, over_batches, parts_of, raw, release, shingle_hashes
+from loanweft.llm.common import MIX, discard, materialize, mixed, over_batches, parts_of, raw, release, shingle_hashes
 from loanweft.llm.components import components
 from loanweft.llm.substrings import numbered
 
@@ -46,7 +46,8 @@ PERCENT = 90
 FRAGMENTS = 4  # of a set, for counting overlaps
 MARGIN = 1.3  # fragments, without the spared ones, for each place in which a linked pair can differ
 STEP = 1.25  # between numbers of fragments on the grid
-BROADCAST_IDS = 2_000_000  # 16 MB of ids; more are joined by a shuffle
+BROADCAST_IDS = 2_000_000  # 16 MB of ids, or 32 of pairs; more are joined by a shuffle
+SPARE = 3  # of the fragments that linked texts must share, each of the two may let go one in so many, so that some stay
 TOGETHER = 0.5
 MEMBERS_PER_PART = 500_000  # rows of a signature and a text that a task puts in order
 NOBODY = -(1 << 63)
@@ -151,6 +152,7 @@ def members_of(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
     a signature that very many texts share is met by few rows. The bound ones
     then take over the leader of the one that they are bound to. A text has
     signatures by its size, so the partitions follow the shingles of ``sets``.
+    Heads tell whether any are bound to them: only those are looked up.
     """
 
     def send(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -170,7 +172,7 @@ def members_of(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
             signature, doc = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             own = np.asarray(batch.column(1).fill_null(NOBODY))
             bound = (own != NOBODY) & (own != doc)
-            yield rows(signature[bound], own[bound], doc[bound], True)
+            yield rows(signature[bound], own[bound], doc[bound], own[bound] != NOBODY, True)
             signature, doc, known = signature[~bound], doc[~bound], own[~bound] != NOBODY
             if not len(doc):
                 continue
@@ -182,39 +184,54 @@ def members_of(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
             at = np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))
             shared = ~first | np.r_[~first[1:], False] | known
             out = shared & ~sent
-            yield rows(signature[out], doc[at][out], doc[out], False)
+            yield rows(signature[out], doc[at][out], doc[out], known[out], False)
             last = at[-1]
             held = signature[last], doc[last], known[last], bool(shared[last])
         release()
 
-    def rows(signature: np.ndarray, leader: np.ndarray, doc: np.ndarray, bound: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(signature, pa.int64()), pa.array(leader, pa.int64()), pa.array(doc, pa.int64()),
-                                           pa.array(np.full(len(doc), bound))], names=["signature", "leader", "doc_id", "bound"])
+    def rows(signature: np.ndarray, leader: np.ndarray, doc: np.ndarray, several: np.ndarray, bound: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signature, pa.int64()), pa.array(leader, pa.int64()), pa.array(doc, pa.int64()), pa.array(several, pa.bool_()),
+                                           pa.array(np.full(len(doc), bound))], names=["signature", "leader", "doc_id", "several", "bound"])
 
     sent = over_batches(docs, send, SHARED, TOGETHER)
     free = F.col("leader").isNull() | (F.col("leader") == F.col("doc_id"))
     expected = (sets.agg(F.sum("n_shingles")).first()[0] or 0) * 4 * (100 - percent) // percent
     placed = sent.repartition(parts_of(docs, MEMBERS_PER_PART, expected), F.when(free, F.col("signature")).otherwise(F.xxhash64("signature", "doc_id")))
-    met = materialize(placed.sortWithinPartitions("signature", "doc_id").mapInArrow(meet, SHARED + ", bound boolean"), "fragment-members")
+    met = materialize(placed.sortWithinPartitions("signature", "doc_id").mapInArrow(meet, SHARED + ", several boolean, bound boolean"), "fragment-members")
     heads = met.filter("not bound").select("signature", "leader", "doc_id")
-    to = heads.select(F.col("signature").alias("s"), F.col("leader").alias("head"), F.col("doc_id").alias("via"))
+    to = met.filter("not bound and several").select(F.col("signature").alias("s"), F.col("leader").alias("head"), F.col("doc_id").alias("via"))
     bound = met.filter("bound").join(to, (F.col("signature") == F.col("s")) & (F.col("leader") == F.col("via")))
     return heads.unionByName(bound.select("signature", F.col("head").alias("leader"), "doc_id"))
 
 
 def with_enough(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members whose text shares as many fragments of a level with others as a linked one must."""
+    """The members whose text shares as many fragments of a level with others as a linked one must, without stray leaders.
+
+    Of the fragments that it shares by another's lead, a text lets go those of
+    the leaders that it has fewest in common with, as long as they are at most
+    one in ``SPARE`` of those that a linked text must share, less one: most such
+    leaders are met by chance, in one or two fragments. Two linked texts let go
+    two in ``SPARE`` together, so at one leader at least both stay.
+    """
     level_of = F.col("signature").bitwiseAND(F.lit(LEVELS - 1)).cast("int")
-    shared = members.groupBy("doc_id", level_of.alias("level")).agg(F.count_distinct("signature").alias("shared"))
-    enough = shared.join(sets.select("doc_id", F.col("n_shingles").alias("n")), "doc_id").filter(F.col("shared") >= needed(F.col("level"), F.col("n"), percent)).select("doc_id", "level")
-    kept = materialize(enough, "enough")
-    return materialize(members.withColumn("level", level_of).join(kept, ["doc_id", "level"], "left_semi").drop("level"), "members")
+    sized = members.withColumn("level", level_of).join(sets.select("doc_id", F.col("n_shingles").alias("n")), "doc_id")
+    of_level, of_leader = Window.partitionBy("doc_id", "level"), Window.partitionBy("doc_id", "level", "leader")
+    alone = F.col("doc_id") == F.col("leader")  # its own lead makes no pair and stays
+    counted = sized.withColumn("needed", needed(F.col("level"), F.col("n"), percent)).withColumn("shared", F.count("*").over(of_level)).filter("shared >= needed")
+    common = counted.withColumn("common", F.when(~alone, F.count("*").over(of_leader)))
+    upto = F.count("common").over(of_level.orderBy(F.asc_nulls_last("common"), "leader").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = common.withColumn("upto", upto).filter(alone | (F.col("upto") > F.floor((F.col("needed") - 1) / SPARE)))
+    return materialize(kept.select("signature", "leader", "doc_id"), "members")
 
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join by doc_id; the ids are sent to every task only if their number is checked to be small."""
-    known = materialize(ids.select("doc_id").distinct(), "ids")
-    return docs.join(F.broadcast(known) if known.count() <= BROADCAST_IDS else known, "doc_id", how)
+    return docs.join(sent_if_few(materialize(ids.select("doc_id").distinct(), "ids")), "doc_id", how)
+
+
+def sent_if_few(known: DataFrame) -> DataFrame:
+    """A written table of ids or pairs; it is sent to every task only if its size is checked to be small."""
+    return F.broadcast(known) if known.count() <= BROADCAST_IDS else known
 
 
 def segments(docs: DataFrame, words: int, fragments: int) -> DataFrame:
@@ -252,8 +269,10 @@ def overlaps(pairs: DataFrame, docs: DataFrame, words: int, fragments: int = FRA
                                           names=["a", "b", "size_a", "size_b", "fragment", "common", "apart"])
 
     schema = "a bigint, b bigint, size_a int, size_b int, fragment int, common int, apart array<bigint>"
-    return materialize(over_batches(together.select("a", "b", "size_a", "size_b", "fragment", "segment_a", "segment_b"), run, schema, 2,
-                                    ["segment_a", "segment_b"]), "overlaps")
+    counted = materialize(over_batches(together.select("a", "b", "size_a", "size_b", "fragment", "segment_a", "segment_b"), run, schema, 2,
+                                       ["segment_a", "segment_b"]), "overlaps")
+    discard(parts)
+    return counted
 
 
 def summed(counted: DataFrame) -> DataFrame:
@@ -286,14 +305,20 @@ def row_components(rows: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared = materialize(classes.filter("n > 1").select("digest", "node"), "equal-sets")
     copies = sets.join(shared, "digest").filter(F.col("doc_id") != F.col("node")).select("doc_id")
     ready = with_ids(docs, copies, "left_anti")
-    members = with_enough(materialize(members_of(ready, sets, words, percent), "members"), sets, percent)
+    met = members_of(ready, sets, words, percent)
+    members = with_enough(met, sets, percent)
+    discard(met)
     pairs = materialize(members.filter("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     counted = overlaps(pairs, docs, words)
     found = linked(counted, percent)
     nodes = components(found)
-    other = materialize(second_round(members, counted, nodes, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    again = second_round(members, counted, nodes, percent)
+    other = materialize(again.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    discard(members, counted, again)
     if other.limit(1).count():
-        nodes = components(found.unionByName(linked(overlaps(other, docs, words), percent)))
+        more = overlaps(other, docs, words)
+        nodes = components(found.unionByName(linked(more, percent)))
+        discard(more)
     of_class = sets.join(shared, "digest", "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
     placed = of_class.join(nodes, "node", "left").select(F.col("doc_id").alias("doc"), "n_shingles", F.coalesce("component", "node").alias("component"))
     named = materialize(placed.join(rows.select("doc", "doc_id"), "doc"), "row-components")
@@ -308,7 +333,8 @@ def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, perce
     Only fragments count that texts of several components share which are near
     in size and in distance from the leader, the leader not counted: most chance
     agreements are between a text and its leader. A text that has fewer of those
-    than a linked one must share is closed. What two
+    than a linked one must share, less what both may have let go in
+    ``with_enough``, is closed. What two
     texts differ in is what just one of them differs from the leader in: with x
     and y elements that they have not in common with the leader, of which o are
     the same, they are x + y - 2 o apart. That is little enough
@@ -327,12 +353,13 @@ def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, perce
     level_of = F.col("signature").bitwiseAND(F.lit(LEVELS - 1)).cast("int")
 
     def in_several(rows: DataFrame, keys: list[str]) -> DataFrame:
-        """The rows whose fragment texts of several components share, of texts that have enough such fragments."""
+        """The rows whose fragment texts of several components share, of texts that have enough such fragments; read from one written table."""
         several = rows.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(*keys)
         left = materialize(rows.join(several, keys), "open-members")
         shared_by = left.groupBy("b", level_of.alias("level"), "size").agg(F.count_distinct("signature").alias("shared"))
-        enough = shared_by.filter(F.col("shared") >= needed(F.col("level"), F.col("size"), percent)).select("b", "level")
-        return left.withColumn("level", level_of).join(materialize(enough, "enough"), ["b", "level"], "left_semi").drop("level")
+        least = needed(F.col("level"), F.col("size"), percent)
+        enough = shared_by.filter(SPARE * F.col("shared") >= (SPARE - 2) * least + 2).select("b", "level")
+        return left.withColumn("level", level_of).join(sent_if_few(materialize(enough, "enough")), ["b", "level"], "left_semi").drop("level")
 
     shared = in_several(shared, ["signature"])
     # linked texts are near in size and in distance from the leader: they share a label of each kind
@@ -342,16 +369,23 @@ def second_round(members: DataFrame, counted: DataFrame, nodes: DataFrame, perce
     width = F.floor(2 * share * F.pow(F.lit(ratio), F.col("near") + 1)) + 1
     far = F.floor(F.col("apart") / width).cast("int")
     placed = sized.withColumn("far", F.explode(F.array(far, far + 1))).drop("apart")
-    still = materialize(in_several(placed, ["signature", "near", "far"]).select("a", "b").distinct(), "open-texts")
-    texts = texts.join(still, ["a", "b"])
-    elements = materialize(counted.join(still, ["a", "b"]).select("a", "b", F.explode("apart").alias("e")), "differences")
+    near_enough = in_several(placed, ["signature", "near", "far"])
+    discard(shared)
+    still = materialize(near_enough.select("a", "b").distinct(), "open-texts")
+    discard(near_enough)
+    few = sent_if_few(still)
+    texts = texts.join(few, ["a", "b"])
+    elements = materialize(counted.join(few, ["a", "b"]).select("a", "b", F.explode("apart").alias("e")), "differences")
     often = elements.groupBy("a", "e").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("n", "e"))
     ranked = elements.join(often, ["a", "e"]).withColumn("i", rank).join(texts, ["a", "b"])
     reach = F.floor((F.col("size") + F.floor(F.col("size") * 100 / percent)) * (100 - percent) / (100 + percent)) + 1
     first = materialize(ranked.filter((F.col("i") <= reach) & (F.col("n") > 1)).drop("n"), "first-differences")
+    discard(elements)
     x, y = (first.select("a", "e", *[F.col(c).alias(f"{c}_{side}") for c in ("b", "i", "size", "apart", "component")]) for side in "xy")
     most = F.floor((F.col("size_x") + F.col("size_y")) * (100 - percent) / (100 + percent))
     left = F.least(F.col("apart_x") - F.col("i_x"), F.col("apart_y") - F.col("i_y")) + 1
     may = (F.col("b_x") < F.col("b_y")) & (F.col("component_x") != F.col("component_y")) & (2 * left >= F.col("apart_x") + F.col("apart_y") - most)
-    return x.join(y, ["a", "e"]).filter(may).select(F.col("b_x").alias("a"), F.col("b_y").alias("b")).distinct()
+    found = materialize(x.join(y, ["a", "e"]).filter(may).select(F.col("b_x").alias("a"), F.col("b_y").alias("b")).distinct(), "open-pairs")
+    discard(first)
+    return found

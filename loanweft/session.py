@@ -72,13 +72,35 @@ def clear_stages(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``materialize`` has written and ``tables`` read directly, once no result reads it any more."""
+    for table in tables:
+        spark, conf = table.sparkSession, table.sparkSession._jsc.hadoopConfiguration()
+        jvm = spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/loanweft")
+        root = root.getFileSystem(conf).makeQualified(root)
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            if path.getParent().equals(root):
+                path.getFileSystem(conf).delete(path, True)
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Unlike a cache this survives lost executors, and later passes still prune
-    columns and skip row groups.
+    columns and skip row groups. The shuffle files of the write go when it has
+    ended, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

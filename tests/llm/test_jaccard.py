@@ -1,5 +1,7 @@
+import pathlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -144,3 +146,65 @@ def test_a_task_leaves_no_powers_in_its_worker():
     assert not common.POWERS
     again = common.polynomial(np.frombuffer(b"abcabc", np.uint8))(np.array([0, 3]), np.array([3, 6]))
     assert again[0] == again[1]
+
+
+def test_tables_between_steps_go_and_shuffle_files_with_them(spark):
+    folder = pathlib.Path(common.shared_folder(spark), "loanweft")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in blocks.getAllBlocks().mkString(" ").split() if name.startswith("shuffle")}
+
+    rows = spark.createDataFrame(corpus(6), "doc_id long, text string").repartition(4)
+    known = set(folder.iterdir()) if folder.exists() else set()
+    got = {r.doc_id: r.component_id for r in jaccard.near_components(rows, 5, 80).collect()}
+    left = {path.name.rpartition("-")[0] for path in set(folder.iterdir()) - known}
+    assert not left & {"fragment-members", "members", "segments", "overlaps", "open-members", "differences", "first-differences"}
+    assert {"row-components", "smallest-ids"} <= left
+    assert got == {i: root for i, (_, root) in brute_components(corpus(6), 5, 80).items()}
+    before = shuffled()
+    kept = common.materialize(rows.repartition(7, "doc_id"), "kept")
+    for _ in range(50):  # the files are removed behind the write
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and kept.count() == len(corpus(6))
+    there = set(folder.glob("kept-*"))
+    common.discard(kept, rows)  # what was not written here stays
+    assert there and there - set(folder.glob("kept-*")) == there - known
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_stray_leaders_go_and_linked_texts_keep_one_in_common(spark, percent):
+    chance = random.Random(percent)
+    members, sets, wanted = [], {}, []
+    for pair in range(60):  # two texts each that share as many fragments as linked ones must, dealt to few or many leaders
+        n = chance.randint(40, 400)
+        size = jaccard.levels(n, percent)[-1]
+        at = list(jaccard.grid(percent)).index(size)
+        remaining = size - jaccard.spared(size, percent)
+        total = n + n * 100 // percent
+        least = remaining - min(total * (100 - percent) // (100 + percent), -int(-remaining // jaccard.MARGIN) - 1)
+        leaders = [10 * pair + i for i in range(chance.choice([1, 2, 3, 7, 8]))]
+        x, y = 10 * pair + 8, 10 * pair + 9
+        sets |= dict.fromkeys((x, y), n)
+        label = iter(range(pair << 20, (pair + 1) << 20))
+        for _ in range(least):
+            signature, leader = next(label) * 128 + at, chance.choice(leaders)
+            members += [(signature, leader, x), (signature, leader, y)]
+        strays = least // 4 if pair % 2 else 0
+        for doc in (x, y):
+            members += [(next(label) * 128 + at, 100_000 + 1000 * pair + 100 * (doc - x) + i, doc) for i in range(strays)]
+        wanted.append((x, y, least, len(leaders)))
+    kept = jaccard.with_enough(spark.createDataFrame(members, jaccard.SHARED.replace("bigint", "long")),
+                               spark.createDataFrame(list(sets.items()), "doc_id long, n_shingles long"), percent)
+    led = {}
+    for r in kept.collect():
+        led.setdefault(r.doc_id, set()).add((r.signature, r.leader))
+    for x, y, least, many in wanted:
+        assert jaccard.SPARE * len(led[x] & led[y]) >= (jaccard.SPARE - 2) * least + 2
+        assert many > 3 or least < 15 or not any(leader >= 100_000 for _, leader in led[x] | led[y])
+    assert sum(many <= 3 and least >= 15 for _, _, least, many in wanted) >= 10
+    alone = jaccard.with_enough(spark.createDataFrame([(5 * 128 + 3, 1, 1)], "signature long, leader long, doc_id long"),
+                                spark.createDataFrame([(1, 5000)], "doc_id long, n_shingles long"), percent)
+    assert alone.count() == 0
