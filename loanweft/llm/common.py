@@ -40,8 +40,7 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
     """``mapInArrow`` that hands ``function`` at most about ``mb`` MB of the columns ``sizes`` at a time (one row at least)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for forget in FORGET:
-            forget()
+        forget()
         state = prepare() if prepare else None
         for batch in batches:
             for piece in slices(batch, sizes, int(mb * (1 << 20))):
@@ -56,6 +55,12 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
 FORGET: list[Callable[[], None]] = []  # what empties the memories that other operators keep in a worker
 
 
+def forget() -> None:
+    """Empty them; a task calls it by name, as a function inside another one is sent with a copy of the list."""
+    for clear in FORGET:
+        clear()
+
+
 def release() -> None:
     """Give what a task held back to the system, its powers too: its worker lives on, idle or with other work."""
     POWERS.clear()

@@ -17,7 +17,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from loanweft.llm.common import FORGET, raw
+from loanweft.llm.common import FORGET, raw, release
 from loanweft.llm.forced_bpe import ForcedBpe, byte_letters, content_of  # noqa: F401
 
 # Fixed value: how a byte-level pre-tokenizer splits a text.
@@ -64,4 +64,5 @@ def loaded(content: str) -> TokenIds:
     if content not in LOADED:
         LOADED.clear()
         LOADED[content] = TokenIds(content)
+        release()  # what the file was parsed into
     return LOADED[content]

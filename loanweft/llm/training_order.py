@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanweft.llm.common import MIX, bucketizer, materialize, mixed, shared_path, slices
+from loanweft.llm.common import MIX, bucketizer, forget, materialize, mixed, release, shared_path, slices
 from loanweft.llm.substrings import join_by_key, numbered
 from loanweft.llm.token_ids import content_of, loaded
 
@@ -143,11 +143,12 @@ def write(df: DataFrame, path: str, tokenizer: str, key: int, length: int = LENG
                 head["tokens"] |= np.where(np.asarray(piece.column(0).is_null())[row], NO_ID, 0).astype(np.uint32)
                 place = order.place(np.asarray(piece.column(1))[row] + number)
                 records = np.concatenate([head.view(np.uint8).reshape(len(row), HEAD), grid.astype("<u2").view(np.uint8)], axis=1)
-                whole = records.tobytes()
-                size = records.shape[1]
+                ends = pa.array(np.arange(len(row) + 1) * records.shape[1], pa.int32()).buffers()[1]
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array((place.astype(object) * shards // order.size).astype(np.int32) if order.size > 1 << 40 else (place * shards // order.size).astype(np.int32)),
-                    "place": pa.array(place), "value": pa.array([whole[i:i + size] for i in range(0, len(whole), size)], pa.binary())})
+                    "place": pa.array(place), "value": pa.Array.from_buffers(pa.binary(), len(row), [None, ends, pa.py_buffer(records)])})
+            batch = piece = ids = start = grid = records = None
+            release()  # the worker lives on while the shards are written
 
     rows = placed.mapInArrow(run, "shard int, place bigint, value binary")
     ordered = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place")
@@ -184,6 +185,7 @@ def read(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
     size, per_batch = stride(length), 4_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 records = np.frombuffer(content.as_buffer(), np.uint8).reshape(-1, size)
@@ -198,6 +200,8 @@ def read(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
                         "slot": pa.array(first[file] + low + np.arange(len(part))), "shard": pa.array(np.full(len(part), shard_of(file), np.int32)),
                         "doc_id": pa.array(head["doc"], pa.int64(), mask=no_id), "sequence": pa.array(head["number"].astype(np.int32)),
                         "n_tokens": pa.array(used.astype(np.int32)), "tokens": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+            batch = content = records = part = None
+            release()
 
     schema = "slot bigint, shard int, doc_id bigint, sequence int, n_tokens int, tokens array<int>"
     if not known:

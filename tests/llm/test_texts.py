@@ -4,9 +4,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
-from loanweft.llm import decontaminate, forced_bpe, substrings, token_ids, training_order
+from loanweft.llm import common, decontaminate, forced_bpe, substrings, token_ids, training_order
 from loanweft.llm.common import raw
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +107,34 @@ def test_shards_hold_every_sequence_once_at_its_slot(spark, library, tmp_path, m
     assert training_order.read(spark, nothing, 16).count() == 0
 
 
+def tasks_of(monkeypatch, frame, build):
+    """The functions that ``build`` sends to tasks, as they are sent."""
+    sent, whole = [], type(frame).mapInArrow
+    with monkeypatch.context() as patch:
+        patch.setattr(type(frame), "mapInArrow", lambda self, function, schema: sent.append(cloudpickle.dumps(function)) or whole(self, function, schema))
+        build()
+    return sent
+
+
+def test_tasks_give_back_what_encoding_took(spark, tmp_path, monkeypatch):
+    text = "some words " * 50_000
+    df = spark.createDataFrame([(1, text), (None, None)], "doc_id long, text string")
+    path, known = str(tmp_path / "shards"), training_order.content_of(PATH)
+    encoding, = tasks_of(monkeypatch, df, lambda: training_order.write(df, path, PATH, 3, length=16))
+    reading, = tasks_of(monkeypatch, df, lambda: training_order.read(spark, path, 16))
+    other, = tasks_of(monkeypatch, df, lambda: common.over_batches(df, lambda piece: None, "doc_id long"))
+    assert known in token_ids.LOADED and max(len(reading), len(other)) < 1 << 16  # what the driver has loaded does not go along
+    before, left = pa.total_allocated_bytes(), []
+    with monkeypatch.context() as patch:
+        patch.setattr(common, "release", lambda: left.append(pa.total_allocated_bytes() - before))
+        texts = (pa.RecordBatch.from_pydict({"doc_id": pa.array([i]), "base": pa.array([0]), "text": pa.array([text])}) for i in (1, 2))
+        assert sum(made.num_rows for made in cloudpickle.loads(encoding)(texts)) > 2 * 50_000 // 16
+    assert len(left) == 2 and max(left) < 400_000  # the texts, 550,000 bytes each, are gone
+    for task in (reading, other):
+        token_ids.loaded(known)
+        assert not list(cloudpickle.loads(task)(iter([]))) and not token_ids.LOADED
+
+
 def brute_repeats(rows):
     seen, made = set(), []
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
